@@ -55,20 +55,26 @@ def _is_header(value: Column) -> Column:
 
 
 def file_headers(lines: DataFrame) -> DataFrame:
-    """One row per file with its header fields; NULL when the file has no header line."""
+    """One row per file that has a header line, with its field names in order."""
     value = F.col("value")
-    return lines.groupBy("file").agg(F.max(F.when(_is_header(value), value)).alias("header")).select(
-        "file", F.filter(_fields(F.col("header")), lambda f: f != "").alias("fields")
+    return (
+        lines.where(_is_header(value))
+        .groupBy("file")
+        .agg(F.max(value).alias("header"))
+        .select("file", _fields(F.col("header")).alias("fields"))
     )
 
 
 def named_fields(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Data lines as text columns found by name in the header of their own file."""
+    """Data lines as text columns found by name in the header of their own file.
+
+    Lines of a file without a header have no names and are left out;
+    ``observation_file_audit`` lists such files.
+    """
     value = F.col("value")
-    headers = file_headers(lines)
     return (
         lines.where(~_is_header(value) & (F.length(F.trim(value)) > 0))
-        .join(headers, "file")
+        .join(file_headers(lines), "file")
         .select(
             "file",
             *[

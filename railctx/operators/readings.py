@@ -17,15 +17,16 @@ def strip_header(raw: DataFrame) -> DataFrame:
 
 def hourly_readings(raw: DataFrame, values: dict[str, Column], period: Period) -> DataFrame:
     """Readings of the period at sensor-hour grain, with the given value columns."""
+    in_period = period.holds_stamp(F.trim(F.col("MESS_DATUM").cast("string")))
+    hour = parse_hour_stamp(F.col("MESS_DATUM"))
     return (
         strip_header(raw)
-        .where(F.col("STATIONS_ID").isNotNull())
+        .where(F.col("STATIONS_ID").isNotNull() & in_period & hour.isNotNull())
         .select(
             sensor_key(F.col("STATIONS_ID")).alias("dwd_station_id"),
-            parse_hour_stamp(F.col("MESS_DATUM")).alias("observation_hour_utc"),
+            hour.alias("observation_hour_utc"),
             *[column.alias(name) for name, column in values.items()],
         )
-        .where(period.holds_instant(F.col("observation_hour_utc")))
     )
 
 

@@ -50,6 +50,13 @@ class Period:
         """Half-open membership of an instant."""
         return (column >= self.start_utc) & (column < self.end_utc)
 
+    def holds_stamp(self, stamp: Column) -> Column:
+        """Half-open membership of a YYYYMMDDHH text, which sorts like its time.
+
+        Decided on the text, so that the other months of an archive are never parsed.
+        """
+        return (stamp >= self.start.strftime("%Y%m%d00")) & (stamp < self.end.strftime("%Y%m%d00"))
+
     def holds_validity(self, first: Column, last: Column) -> Column:
         """Whether a YYYYMMDD validity range covers the whole period, ends included."""
         return (first <= F.lit(self.first_day)) & (last >= F.lit(self.last_day))

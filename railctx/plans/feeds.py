@@ -171,18 +171,23 @@ def raw_sensor_lines(supplier: DataFrame, nation: DataFrame, member: Column) ->
     return body.unionByName(furniture)
 
 
+def _slot() -> Column:
+    """Hour of a line item, counted from the last day before the period."""
+    return ((F.col("l_orderkey") * 7 + F.col("l_partkey")) % STAMP_HOURS).cast("int").alias("slot")
+
+
 def _stamp() -> Column:
-    """Hour stamp of a line item, partly before the period; one order in a few is unreadable."""
-    hours = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % STAMP_HOURS
-    start = F.lit("2023-12-31T00:00:00Z").cast("timestamp")
-    stamp = F.date_format(F.timestamp_add("HOUR", hours.cast("int"), start), "yyyyMMddHH")
-    return F.when(hours == 100, F.lit("not a stamp")).otherwise(stamp)
+    """The slot as an hour stamp from 2023-12-31 on; one slot is unreadable."""
+    day = F.floor(F.col("slot") / 24).cast("int")
+    date = F.when(day == 0, 20231231).otherwise(20240100 + day)
+    stamp = (date * 100 + F.col("slot") % 24).cast("string")
+    return F.when(F.col("slot") == 100, F.lit("2024010599")).otherwise(stamp).alias("MESS_DATUM")
 
 
 def raw_temperature(lineitem: DataFrame) -> DataFrame:
     """Line items as text readings; the feed is unique per sensor and hour."""
     return (
-        lineitem.groupBy(F.col("l_suppkey"), _stamp().alias("MESS_DATUM"))
+        lineitem.groupBy("l_suppkey", _slot())
         .agg(
             F.min("l_quantity").alias("low"),
             F.max("l_quantity").alias("high"),
@@ -190,7 +195,7 @@ def raw_temperature(lineitem: DataFrame) -> DataFrame:
         )
         .select(
             F.lpad(F.col("l_suppkey").cast("string"), 11, " ").alias("STATIONS_ID"),
-            "MESS_DATUM",
+            _stamp(),
             F.when(F.col("lines") == 1, "-999").otherwise("3").alias("  QN_9"),
             F.when(F.col("lines") == 7, "-999.0")
             .otherwise((F.col("low") - 20).cast("string"))
@@ -204,7 +209,7 @@ def raw_temperature(lineitem: DataFrame) -> DataFrame:
 
 def raw_wind(lineitem: DataFrame) -> DataFrame:
     return (
-        lineitem.groupBy(F.col("l_suppkey"), _stamp().alias("MESS_DATUM"))
+        lineitem.groupBy("l_suppkey", _slot())
         .agg(
             F.max("l_quantity").alias("high"),
             F.min("l_partkey").alias("part"),
@@ -212,7 +217,7 @@ def raw_wind(lineitem: DataFrame) -> DataFrame:
         )
         .select(
             F.lpad(F.col("l_suppkey").cast("string"), 11, " ").alias("STATIONS_ID"),
-            "MESS_DATUM",
+            _stamp(),
             F.when(F.col("lines") == 2, "-999.0").otherwise("10").alias("  QN_3"),
             F.when(F.col("lines") == 7, "-999")
             .otherwise((F.col("high") / 4).cast("string"))

@@ -213,7 +213,7 @@ _LINES = """
 lines AS (
     SELECT 'produkt_tu_stunde_' || l_suppkey || '.txt' AS file, slot, l_suppkey,
            lpad(CAST(l_suppkey AS VARCHAR), 11, ' ') AS sensor,
-           CASE WHEN slot = 100 THEN 'not a stamp'
+           CASE WHEN slot = 100 THEN '2024010599'
                 ELSE strftime(TIMESTAMP '2023-12-31' + slot * INTERVAL 1 HOUR, '%Y%m%d%H') END AS stamp,
            CASE WHEN lines = 1 THEN '-999' ELSE '3' END AS qn,
            CASE WHEN lines = 7 THEN '-999.0' ELSE CAST(low - 20 AS VARCHAR) END AS tt,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _FIXED_VALUE = 8
 _ROW_OVERHEAD = 32
 
+_local_folder: str | None = None
+
 
 def build_session(app: str = "railctx", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the UTC clock the time operators rely on."""
@@ -56,20 +59,29 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
+def _shared_folder(spark: SparkSession) -> str | None:
+    """The cluster's checkpoint folder; a local session without one gets its own.
+
+    A cluster session without the setting gets none: a machine-local folder would be
+    missing on the other machines and lost with an executor.
+    """
+    global _local_folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        _local_folder = _local_folder or tempfile.mkdtemp(prefix="railctx-")
+        folder = _local_folder
+    return folder
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute a shared input once, into the reliable checkpoint folder.
+    """Compute a shared input once, as a table in the shared folder.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a folder of its own; a cluster session without it
-    keeps the plan lazy, because a machine-local folder would not survive a lost executor.
+    Later plans read it with column pruning and known sizes, and survive lost executors.
+    Without a shared folder the plan stays lazy.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                return df
-            folder = tempfile.mkdtemp(prefix="railctx-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = _shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/railctx-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1,107 @@
+"""From landed files to published tables."""
+
+import json
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from railctx.contracts import CONTRACTS, contract_diff
+from railctx.period import Period
+from railctx.plans.monthly import MonthlyRun
+from railctx.sources.landing import LandingPaths
+
+JUNE = Period.month("2026-06")
+
+
+def listing_line(number, lat, lon, name):
+    return f"{number:>5} 19500101 20991231{'100':>15}{lat:>12}{lon:>10} {name}".ljust(102) + "Bayern".ljust(28)
+
+
+def land(root, period, stops):
+    paths = LandingPaths.under(str(root), period)
+    for path in (paths.station_json, paths.temperature_listing, paths.temperature_files, paths.wind_files, paths.stops):
+        (root / path).parent.mkdir(parents=True, exist_ok=True)
+    station = {
+        "number": 4234,
+        "name": "München Hbf",
+        "federalState": "Bayern",
+        "evaNumbers": [{"number": 8000261, "isMain": True, "geographicCoordinates": {"coordinates": [11.558, 48.14]}}],
+    }
+    (root / paths.station_json).write_text(json.dumps([station]), encoding="utf-8")
+    head = "Stations_id von_datum bis_datum\n" + "-" * 60 + "\n"
+    for path, number in ((paths.temperature_listing, "3379"), (paths.wind_listing, "3380")):
+        line = listing_line(number, "48.1632", "11.5429", "München-Stadt")
+        (root / path).write_bytes((head + line + "\n").encode("latin-1"))
+    stamp = f"{period.first_day}12"
+    (root / paths.temperature_files).parent.joinpath("produkt_tu_stunde_1.txt").write_text(
+        f"STATIONS_ID;MESS_DATUM;QN_9;TT_TU;RF_TU;eor\n       3379;{stamp};    3;  21.5;  48.0;eor\n"
+    )
+    (root / paths.wind_files).parent.joinpath("produkt_ff_stunde_1.txt").write_text(
+        f"STATIONS_ID;MESS_DATUM;QN_3;   F;   D;eor\n       3380;{stamp};   10;   3.2; 270;eor\n"
+    )
+    text = ["station_name", "xml_station_name", "train_number", "line_number", "final_destination_station", "train_type", "train_line_ride_id"]
+    times = ["time", "arrival_planned_time", "arrival_change_time", "departure_planned_time", "departure_change_time"]
+    n = len(stops)
+    columns = {name: pa.array(["x"] * n) for name in text}
+    columns |= {"id": pa.array([s[0] for s in stops]), "eva": pa.array([s[1] for s in stops])}
+    columns |= {name: pa.array([s[2] for s in stops], pa.timestamp("ns")) for name in times}
+    columns |= {name: pa.array([4] * n, pa.int32()) for name in ("delay_in_min", "train_line_station_num")}
+    columns |= {name: pa.array([False] * n) for name in ("arrival_is_canceled", "departure_is_canceled")}
+    pq.write_table(pa.table(columns), root / paths.stops)
+    return paths
+
+
+HALF_PAST_TWO = 1780324200 * 10**9
+STOPS = [("s1", "8000261", HALF_PAST_TWO), ("s2", "8000261", None), ("s3", "9999999", HALF_PAST_TWO)]
+
+
+@pytest.fixture(scope="module")
+def june(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("landing")
+    output = str(tmp_path_factory.mktemp("tables"))
+    run = MonthlyRun(spark, land(root, JUNE, STOPS), JUNE, output)
+    return run, run.run()
+
+
+def test_report_counts_rows_and_violations(june):
+    _, report = june
+    assert {table: counts["row_count"] for table, counts in report.items()} == {
+        "stations": 1,
+        "weather_stations": 2,
+        "temperature_hourly": 1,
+        "wind_hourly": 1,
+        "train_stops": 3,
+        "station_weather_mapping": 1,
+        "train_stop_weather": 3,
+    }
+    assert report["train_stops"]["valid_event_hour"] == 1
+    assert report["train_stop_weather"]["has_sensor_mapping"] == 1
+    assert report["wind_hourly"]["valid_ff_hour"] == 0
+
+
+def test_published_tables_meet_their_contracts(june):
+    run, _ = june
+    for name, contract in CONTRACTS.items():
+        assert contract_diff(run.read(name), contract) == []
+
+
+def test_enriched_rows(june):
+    run, _ = june
+    rows = {r["id"]: r for r in run.read("train_stop_weather").collect()}
+    assert (rows["s1"]["station_name"], rows["s1"]["temp_celsius"], rows["s1"]["wind_direction_deg"]) == ("München Hbf", 21.5, 270)
+    assert (rows["s2"]["federal_state"], rows["s2"]["temp_celsius"]) == ("Bayern", None)
+    assert (rows["s3"]["station_name"], rows["s3"]["nearest_tu_station_id"]) == ("x", None)
+
+
+def test_second_month_and_rerun_leave_the_first_alone(spark, june, tmp_path):
+    run, report = june
+    before = sorted(map(str, run.read("train_stop_weather").collect()))
+    july = Period.month("2026-07")
+    month = 30 * 24 * 3600 * 10**9
+    second = MonthlyRun(spark, land(tmp_path, july, [("t1", "8000261", HALF_PAST_TWO + month)]), july, run.output)
+    assert second.run()["train_stop_weather"]["row_count"] == 1
+    assert second.read("train_stop_weather").first()["temp_celsius"] == 21.5
+    assert run.run() == report
+    assert sorted(map(str, run.read("train_stop_weather").collect())) == before
+    assert second.read("train_stop_weather").count() == 1

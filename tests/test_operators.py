@@ -1,0 +1,354 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from railctx.functions import keys
+from railctx.operators import enrich
+from railctx.operators.readings import temperature_hourly, wind_hourly
+from railctx.operators.sensors import merge_networks, weather_stations
+from railctx.operators.stations import STATION_OBJECT, stations
+from railctx.operators.stops import train_stops
+from railctx.period import Period
+from railctx.session import BROADCAST_BYTES, broadcast_if_small, measured_bytes
+from railctx.sources.fixed_width import sensor_listing
+
+JUNE = Period.month("2026-06")
+
+
+def rows(df):
+    """Rows as dictionaries with timestamps as text."""
+    text = [
+        F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name)
+        for f in df.schema
+    ]
+    return [row.asDict() for row in df.select(*text).collect()]
+
+
+# Values
+
+
+def test_keys_and_values(spark):
+    df = spark.createDataFrame(
+        [("  44", "-999.0"), ("123456", "-999"), (None, "12.5"), ("7", "x"), ("8", None)], "k string, v string"
+    )
+    out = df.select(
+        keys.sensor_key(F.col("k")).alias("k"),
+        keys.measurement(F.col("v")).alias("m"),
+        keys.level(F.col("v")).alias("i"),
+        keys.overflows(F.col("k"), 5).alias("o"),
+    )
+    assert [tuple(r) for r in out.collect()] == [
+        ("00044", None, None, False),
+        ("12345", None, None, True),
+        (None, 12.5, 12, None),
+        ("00007", None, None, False),
+        ("00008", None, None, False),
+    ]
+    numbers = spark.createDataFrame([(8000261,), (123456789,)], "n bigint")
+    assert [r[0] for r in numbers.select(keys.eva_key(F.col("n"))).collect()] == ["08000261", "12345678"]
+
+
+# Stations
+
+HAMBURG = {
+    "number": 2514,
+    "name": "Hamburg Test",
+    "category": 1,
+    "priceCategory": 1,
+    "federalState": "Hamburg",
+    "regionalbereich": {"name": "RB Nord"},
+    "ril100Identifiers": [{"rilIdentifier": "AH", "isMain": True}, {"rilIdentifier": "AHX", "isMain": False}],
+    "evaNumbers": [
+        {"number": 8002549, "isMain": True, "geographicCoordinates": {"type": "Point", "coordinates": [10.006, 53.552]}},
+        {"number": 8098549, "geographicCoordinates": {"type": "Point", "coordinates": [10.008]}},
+        {"number": None, "isMain": False},
+    ],
+}
+BARE = {"number": 9, "name": "Bare", "ril100Identifiers": [], "evaNumbers": [{"number": 123, "isMain": False}]}
+NO_EVA = {"number": 10, "name": "No EVA"}
+
+
+def test_stations_from_json_text(spark):
+    raw = spark.createDataFrame([(json.dumps(o),) for o in (HAMBURG, BARE, NO_EVA)], "value string")
+    out = {r["eva"]: r for r in rows(stations(raw))}
+    assert set(out) == {"08002549", "08098549", "00000123"}
+    main = out["08002549"]
+    assert main == {
+        "eva": "08002549",
+        "station_number": 2514,
+        "station_name": "Hamburg Test",
+        "ds100": "AH",
+        "category": 1,
+        "price_category": 1,
+        "federal_state": "Hamburg",
+        "regional_bereich": "RB Nord",
+        "latitude": 53.552,
+        "longitude": 10.006,
+        "is_main_eva": True,
+    }
+    assert (out["08098549"]["latitude"], out["08098549"]["longitude"]) == (None, 10.008)
+    assert out["08098549"]["is_main_eva"] is False
+    assert (out["00000123"]["ds100"], out["00000123"]["latitude"]) == (None, None)
+
+
+def test_stations_from_parsed_objects(spark):
+    text = spark.createDataFrame([(json.dumps(HAMBURG),)], "value string")
+    parsed = text.select(F.from_json("value", STATION_OBJECT).alias("o")).select("o.*")
+    assert rows(stations(parsed)) == rows(stations(text))
+
+
+# Sensors
+
+
+def listing_line(number, first, last, altitude, lat, lon, name, state):
+    line = f"{number:>5} {first} {last}{altitude:>15}{lat:>12}{lon:>10} {name}"
+    return line.ljust(102) + state.ljust(28)
+
+
+TU = [
+    "Stations_id von_datum bis_datum Stationshoehe geoBreite geoLaenge Stationsname Bundesland",
+    "----------- --------- --------- ------------- --------- --------- ------------ ----------",
+    listing_line("44", "20070401", "20260710", "44", "52.9336", "8.2370", "Großenkneten", "Niedersachsen"),
+    listing_line("73", "19520101", "20200131", "374", "48.6183", "13.0506", "Aldersbach", "Bayern"),
+    listing_line("91", "20260602", "20260710", "304", "50.7446", "9.3450", "Alsfeld", "Hessen"),
+    "too short",
+]
+FF = [
+    TU[0],
+    listing_line("44", "20070401", "20260710", "45", "52.9337", "8.2371", "Grossenkneten FF", "Niedersachsen FF"),
+    listing_line("102", "20020101", "20260630", "", "53.8633", "8.1275", "Leuchtturm", "Niedersachsen"),
+]
+
+
+def lines(spark, texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def test_listing_fields(spark):
+    out = rows(sensor_listing(lines(spark, TU)))
+    assert [r["dwd_station_id"] for r in out] == ["00044", "00073", "00091"]
+    assert out[0] == {
+        "dwd_station_id": "00044",
+        "von_datum": 20070401,
+        "bis_datum": 20260710,
+        "altitude_m": 44.0,
+        "latitude": 52.9336,
+        "longitude": 8.237,
+        "station_name": "Großenkneten",
+        "federal_state": "Niedersachsen",
+    }
+
+
+def test_networks_merge_and_inactive_sensors_drop(spark):
+    out = {r["dwd_station_id"]: r for r in rows(weather_stations(lines(spark, TU), lines(spark, FF), JUNE))}
+    assert set(out) == {"00044", "00102"}
+    both, wind = out["00044"], out["00102"]
+    assert (both["station_name"], both["altitude_m"], both["latitude"]) == ("Großenkneten", 44.0, 52.9336)
+    assert (both["has_temperature"], both["has_wind"]) == (True, True)
+    assert (wind["has_temperature"], wind["has_wind"], wind["altitude_m"]) == (False, True, None)
+    assert list(wind) == [
+        "dwd_station_id",
+        "station_name",
+        "federal_state",
+        "altitude_m",
+        "latitude",
+        "longitude",
+        "has_temperature",
+        "has_wind",
+    ]
+
+
+def test_missing_attribute_comes_from_the_other_network(spark):
+    schema = "dwd_station_id string, station_name string, federal_state string, altitude_m double, latitude double, longitude double"
+    left = spark.createDataFrame([("00001", None, "A", None, 50.0, 8.0)], schema)
+    right = spark.createDataFrame([("00001", "Wind", "B", 3.0, 51.0, 9.0)], schema)
+    out = rows(merge_networks(left, right))[0]
+    assert (out["station_name"], out["federal_state"], out["altitude_m"], out["latitude"]) == ("Wind", "A", 3.0, 50.0)
+
+
+# Readings
+
+
+def test_temperature_readings(spark):
+    raw = spark.createDataFrame(
+        [
+            ("         44", 2026060100, 3, 15.4, 81.0),
+            ("         44", 2026060101, 3, -999.0, -999.0),
+            ("         44", 2026063023, -999, 20.0, 60.0),
+            ("         44", 2026070100, 3, 20.0, 60.0),
+            ("         44", 2026053123, 3, 20.0, 60.0),
+            ("         44", 2026061299, 3, 20.0, 60.0),
+            (None, 2026060100, 3, 20.0, 60.0),
+        ],
+        "STATIONS_ID string, MESS_DATUM bigint, `  QN_9` int, TT_TU double, ` RF_TU` double",
+    )
+    out = rows(temperature_hourly(raw, JUNE))
+    assert [tuple(r.values()) for r in out] == [
+        ("00044", "2026-06-01 00:00:00", 15.4, 81.0, 3),
+        ("00044", "2026-06-01 01:00:00", None, None, 3),
+        ("00044", "2026-06-30 23:00:00", 20.0, 60.0, None),
+    ]
+
+
+def test_wind_readings_as_text(spark):
+    raw = spark.createDataFrame(
+        [
+            ("102", "2026060112", "10", "   4.2", " 230", "eor"),
+            ("102", "2026060113", "-999", "-999", "-999.0", "eor"),
+            ("102", "", "10", "1.0", "10", "eor"),
+        ],
+        "STATIONS_ID string, MESS_DATUM string, `  QN_3` string, `   F` string, `   D` string, eor string",
+    )
+    assert [tuple(r.values()) for r in rows(wind_hourly(raw, JUNE))] == [
+        ("00102", "2026-06-01 12:00:00", 4.2, 230, 10),
+        ("00102", "2026-06-01 13:00:00", None, None, None),
+    ]
+
+
+# Stops
+
+STOP = (
+    "station_name string, xml_station_name string, eva string, train_number string, line_number string, "
+    "final_destination_station string, delay_in_min int, time {t}, arrival_is_canceled boolean, "
+    "departure_is_canceled boolean, train_type string, train_line_ride_id string, train_line_station_num int, "
+    "arrival_planned_time {t}, arrival_change_time {t}, departure_planned_time {t}, departure_change_time {t}, "
+    "id string"
+)
+HALF_PAST_TWO = 1780324200 * 1_000_000_000
+
+
+def stop(key="s1", eva="8000261", time=HALF_PAST_TWO):
+    minute = 60 * 1_000_000_000
+    planned = None if time is None else time - 5 * minute
+    changed = None if time is None else time + 2 * minute
+    return ("Munich", "MUNICH", eva, "705", None, "Berlin", 5, time, None, True, "ICE", "ride", 3, planned, time, changed, None, key)
+
+
+def test_stop_is_normalized(spark):
+    raw = spark.createDataFrame([stop()], STOP.format(t="bigint"))
+    out = rows(train_stops(raw))[0]
+    assert out["eva"] == "08000261"
+    assert (out["arrival_is_canceled"], out["departure_is_canceled"]) == (False, True)
+    assert out["event_time_local"] == "2026-06-01 14:30:00"
+    assert out["event_time_local_nanos"] == HALF_PAST_TWO
+    assert out["event_time_utc"] == "2026-06-01 12:30:00"
+    assert out["event_hour_utc"] == "2026-06-01 12:00:00"
+    assert out["arrival_planned_time_utc"] == "2026-06-01 12:25:00"
+    assert out["arrival_change_time_utc"] == "2026-06-01 12:30:00"
+    assert out["departure_planned_time_utc"] == "2026-06-01 12:32:00"
+    assert out["departure_change_time_utc"] is None
+    assert len(out) == 21
+
+
+def test_stop_times_may_be_timestamps(spark):
+    nanos = spark.createDataFrame([stop()], STOP.format(t="bigint"))
+    names = ["time", "arrival_planned_time", "arrival_change_time", "departure_planned_time", "departure_change_time"]
+    stamps = nanos.withColumns({n: F.timestamp_seconds((F.col(n) / 1_000_000_000).cast("long")) for n in names})
+    assert rows(train_stops(stamps)) == rows(train_stops(nanos))
+
+
+def test_stops_without_key_drop_and_without_time_stay(spark):
+    raw = spark.createDataFrame([stop("a", time=None), stop(None), stop("c", eva=None)], STOP.format(t="bigint"))
+    out = rows(train_stops(raw))
+    assert [(r["id"], r["event_time_utc"], r["event_hour_utc"]) for r in out] == [("a", None, None)]
+
+
+def test_key_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "stops")
+    spark.createDataFrame([stop()], STOP.format(t="bigint")).write.parquet(path)
+    plan = train_stops(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(id)" in plan and "IsNotNull(eva)" in plan
+
+
+# Enrichment
+
+
+@pytest.fixture
+def gold_inputs(spark):
+    stop_rows = [stop(f"s{i}", "8000261" if i % 2 else "8000105") for i in range(8)]
+    stop_rows += [stop("far", "9999999"), stop("timeless", "8000261", None)]
+    return {
+        "stops": train_stops(spark.createDataFrame(stop_rows, STOP.format(t="bigint"))),
+        "stations": spark.createDataFrame(
+            [("08000261", "München Hbf", 1, 2, "Bayern"), ("08000105", None, 1, 1, "Hessen")],
+            "eva string, station_name string, category int, price_category int, federal_state string",
+        ),
+        "mapping": spark.createDataFrame(
+            [("08000261", "03379", 3.5, "03380", 4.5), ("08000105", "01420", 7.25, "01420", 7.25)],
+            "eva string, nearest_tu_station_id string, nearest_tu_dist_km double, nearest_ff_station_id string, nearest_ff_dist_km double",
+        ),
+        "temperature": spark.createDataFrame(
+            [("03379", "2026-06-01 12:00:00", 21.5, 48.0, 3)],
+            "dwd_station_id string, observation_hour_utc string, temp_celsius double, humidity_pct double, qn_9 int",
+        ).withColumn("observation_hour_utc", F.col("observation_hour_utc").cast("timestamp")),
+        "wind": spark.createDataFrame(
+            [("03380", "2026-06-01 12:00:00", 3.2, 270, 10)],
+            "dwd_station_id string, observation_hour_utc string, wind_speed_ms double, wind_direction_deg int, qn_3 int",
+        ).withColumn("observation_hour_utc", F.col("observation_hour_utc").cast("timestamp")),
+    }
+
+
+@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0], ids=["broadcast", "pairs"])
+def test_enriched_stop(gold_inputs, limit):
+    gold = enrich.train_stop_weather(**gold_inputs, broadcast_bytes=limit)
+    out = {r["id"]: r for r in rows(gold)}
+    assert gold.count() == 10 and len(gold.columns) == 28
+    assert out["s1"] == {
+        "id": "s1",
+        "eva": "08000261",
+        "station_name": "München Hbf",
+        "category": 1,
+        "price_category": 2,
+        "federal_state": "Bayern",
+        "train_type": "ICE",
+        "train_number": "705",
+        "line_number": None,
+        "final_destination_station": "Berlin",
+        "train_line_ride_id": "ride",
+        "train_line_station_num": 3,
+        "event_time_local": "2026-06-01 14:30:00",
+        "event_time_utc": "2026-06-01 12:30:00",
+        "event_hour_utc": "2026-06-01 12:00:00",
+        "delay_in_min": 5,
+        "arrival_is_canceled": False,
+        "departure_is_canceled": True,
+        "temp_celsius": 21.5,
+        "humidity_pct": 48.0,
+        "qn_tu": 3,
+        "nearest_tu_station_id": "03379",
+        "nearest_tu_dist_km": 3.5,
+        "wind_speed_ms": 3.2,
+        "wind_direction_deg": 270,
+        "qn_ff": 10,
+        "nearest_ff_station_id": "03380",
+        "nearest_ff_dist_km": 4.5,
+    }
+    assert out["s0"]["station_name"] == "Munich" and out["s0"]["federal_state"] == "Hessen"
+    assert out["s0"]["temp_celsius"] is None and out["s0"]["nearest_tu_station_id"] == "01420"
+    assert out["far"]["station_name"] == "Munich" and out["far"]["nearest_ff_station_id"] is None
+    assert out["timeless"]["category"] == 1 and out["timeless"]["temp_celsius"] is None
+
+
+def test_both_plans_agree_on_repeated_lookup_rows(gold_inputs):
+    repeated = dict(gold_inputs)
+    repeated["stations"] = gold_inputs["stations"].union(gold_inputs["stations"].limit(1))
+    repeated["wind"] = gold_inputs["wind"].union(gold_inputs["wind"])
+    key = lambda r: json.dumps(r, sort_keys=True)
+    small = sorted(rows(enrich.train_stop_weather(**repeated)), key=key)
+    large = sorted(rows(enrich.train_stop_weather(**repeated, broadcast_bytes=0)), key=key)
+    assert small == large and len(small) > 10
+
+
+def test_broadcast_plan_does_not_shuffle_stops(gold_inputs):
+    plan = enrich.train_stop_weather(**gold_inputs)._jdf.queryExecution().executedPlan().toString()
+    # The only sort-merge join puts the two EVA lookups together.
+    assert plan.count("LeftOuter, BuildRight") == 3 and plan.count("SortMergeJoin") == 1
+
+
+def test_size_check(spark):
+    small = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n bigint")
+    assert measured_bytes(small) == 2 * (32 + 16) + 3
+    hinted = broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in hinted
+    assert "broadcast" not in broadcast_if_small(small, 10)._jdf.queryExecution().analyzed().toString()

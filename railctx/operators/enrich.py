@@ -76,7 +76,7 @@ def train_stop_weather(
     """
     context = _station_context(stations, mapping)
     tu, ff = _temperature_lookup(temperature), _wind_lookup(wind)
-    if all(measured_bytes(t) <= broadcast_bytes for t in (stations, mapping, temperature, wind)):
+    if max(measured_bytes(stations, mapping, temperature, wind)) <= broadcast_bytes:
         joined = _attach(stops, F.broadcast(context), F.broadcast(tu), F.broadcast(ff))
     else:
         pairs = stops.select("eva", "event_hour_utc").distinct()

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railctx.functions.geo import box_gap, chord, cube_cell, haversine_km, unit_vector
-from railctx.session import BROADCAST_BYTES
+from railctx.session import BROADCAST_BYTES, materialize
 
 FANOUT = 4
 DEPTHS = 10
@@ -60,10 +60,10 @@ def _distinct_sites(sites: DataFrame, on: str, site_id: str, lat: str, lon: str)
 
 @dataclass(frozen=True)
 class _Grid:
-    """Occupation of one grid: all cells, cells of one group, sites of one cell."""
+    """Occupation of one grid: cells, groups that have any, sites of the fullest cell."""
 
     cells: int
-    group_cells: int
+    groups: int
     fullest: int
 
 
@@ -76,18 +76,16 @@ def _profile(sites: DataFrame, on: str) -> list[_Grid]:
         sites.select(on, F.explode(cells).alias("in"))
         .groupBy(on, "in.depth", "in.cell")
         .agg(F.count(F.lit(1)).alias("sites"))
-        .groupBy(on, "depth")
-        .agg(F.count(F.lit(1)).alias("cells"), F.max("sites").alias("fullest"))
         .groupBy("depth")
         .agg(
-            F.sum("cells").alias("cells"),
-            F.max("cells").alias("group_cells"),
-            F.max("fullest").alias("fullest"),
+            F.count(F.lit(1)).alias("cells"),
+            F.approx_count_distinct(on).alias("groups"),
+            F.max("sites").alias("fullest"),
         )
         .collect()  # one row per depth
     )
     ordered = sorted(rows, key=lambda row: row["depth"])
-    return [_Grid(row["cells"], row["group_cells"], row["fullest"]) for row in ordered]
+    return [_Grid(row["cells"], row["groups"], row["fullest"]) for row in ordered]
 
 
 def _grid_cells(sites: DataFrame, on: str, depth: int, root: int) -> DataFrame:
@@ -149,12 +147,14 @@ def nearest_site(
     for and small ones must not be merged.
     """
     spark = points.sparkSession
-    unique = _distinct_sites(sites, on, site_id, *site_coordinates)
-    grids = _profile(unique, on) or [_Grid(0, 0, 0)]
+    # Read once per grid, so computed once.
+    unique = materialize(_distinct_sites(sites, on, site_id, *site_coordinates))
+    grids = _profile(unique, on) or [_Grid(0, 1, 0)]
     # Start at the finest grid that is still a short list, stop at the first one whose
     # leaves are short (the finest one if places stay crowded).
     leaf = next((d for d, g in enumerate(grids) if g.fullest <= leaf_sites), len(grids) - 1)
-    root = max((d for d, g in enumerate(grids[: leaf + 1]) if g.group_cells <= ROOT_CELLS), default=0)
+    short = [d for d, g in enumerate(grids[: leaf + 1]) if g.cells <= ROOT_CELLS * g.groups]
+    root = max(short, default=0)
 
     def sized(table: DataFrame, rows: int) -> DataFrame:
         return F.broadcast(table) if rows * _ROW_BYTES <= broadcast_bytes else table

@@ -21,7 +21,7 @@ from railctx.operators.sensors import station_weather_mapping, weather_stations
 from railctx.operators.stations import stations
 from railctx.operators.stops import train_stops
 from railctx.period import Period
-from railctx.session import materialize
+from railctx.session import materialize, together
 from railctx.sources.fixed_width import SENSOR_FIELDS
 
 PERIOD = Period.month("2024-01")
@@ -277,16 +277,28 @@ class Feeds:
 
     @cached_property
     def lookups(self) -> dict[str, DataFrame]:
-        """The four lookup tables of the enrichment, each computed once."""
-        settled_stations = materialize(self.stations)
-        sensors = materialize(self.weather_stations)
-        return {
-            "stations": settled_stations,
-            "weather_stations": sensors,
-            "mapping": materialize(station_weather_mapping(settled_stations, sensors)),
-            "temperature": materialize(self.temperature),
-            "wind": materialize(self.wind),
-        }
+        """The lookup tables of the enrichment, each computed once."""
+
+        def places() -> dict[str, DataFrame]:
+            known = together(
+                self.spark,
+                {
+                    "stations": lambda: materialize(self.stations),
+                    "weather_stations": lambda: materialize(self.weather_stations),
+                },
+            )
+            mapping = station_weather_mapping(known["stations"], known["weather_stations"])
+            return {**known, "mapping": materialize(mapping)}
+
+        done = together(
+            self.spark,
+            {
+                "places": places,
+                "temperature": lambda: materialize(self.temperature),
+                "wind": lambda: materialize(self.wind),
+            },
+        )
+        return {**done.pop("places"), **done}
 
     @property
     def gold(self) -> DataFrame:

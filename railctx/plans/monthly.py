@@ -16,7 +16,7 @@ from railctx.operators.stations import stations
 from railctx.operators.stops import train_stops
 from railctx.period import Period
 from railctx.quality.expectations import observed
-from railctx.session import require_utc
+from railctx.session import require_utc, together
 from railctx.sources.delimited import read_observations
 from railctx.sources.fixed_width import read_lines
 from railctx.sources.landing import LandingPaths
@@ -53,27 +53,32 @@ class MonthlyRun:
     def run(self) -> dict[str, dict[str, int]]:
         require_utc(self.spark)
         spark, landing, period = self.spark, self.landing, self.period
-        report = {
-            "stations": self.publish(
-                "stations", stations(read_station_objects(spark, landing.station_json))
-            ),
-            "weather_stations": self.publish(
-                "weather_stations",
-                weather_stations(
-                    read_lines(spark, landing.temperature_listing),
-                    read_lines(spark, landing.wind_listing),
-                    period,
+        report = together(
+            spark,
+            {
+                "stations": lambda: self.publish(
+                    "stations", stations(read_station_objects(spark, landing.station_json))
                 ),
-            ),
-            "temperature_hourly": self.publish(
-                "temperature_hourly",
-                temperature_hourly(read_observations(spark, landing.temperature_files), period),
-            ),
-            "wind_hourly": self.publish(
-                "wind_hourly", wind_hourly(read_observations(spark, landing.wind_files), period)
-            ),
-            "train_stops": self.publish("train_stops", train_stops(read_stops(spark, landing.stops))),
-        }
+                "weather_stations": lambda: self.publish(
+                    "weather_stations",
+                    weather_stations(
+                        read_lines(spark, landing.temperature_listing),
+                        read_lines(spark, landing.wind_listing),
+                        period,
+                    ),
+                ),
+                "temperature_hourly": lambda: self.publish(
+                    "temperature_hourly",
+                    temperature_hourly(read_observations(spark, landing.temperature_files), period),
+                ),
+                "wind_hourly": lambda: self.publish(
+                    "wind_hourly", wind_hourly(read_observations(spark, landing.wind_files), period)
+                ),
+                "train_stops": lambda: self.publish(
+                    "train_stops", train_stops(read_stops(spark, landing.stops))
+                ),
+            },
+        )
         report["station_weather_mapping"] = self.publish(
             "station_weather_mapping",
             station_weather_mapping(self.read("stations"), self.read("weather_stations")),

@@ -31,6 +31,8 @@ def build_session(app: str = "railctx", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Call-site capture costs several JVM calls per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed columns of the feed. The five times are zone-less nanoseconds, which Spark cannot
-# infer as a timestamp; declared as integers they are read as stored.
+# infer as a timestamp; declared as integers they are read as stored. The two counters are
+# read wide, because deliveries store them in 32 or 64 bits.
 STOP_COLUMNS = """
     station_name string,
     xml_station_name string,
@@ -13,13 +14,13 @@ STOP_COLUMNS = """
     train_number string,
     line_number string,
     final_destination_station string,
-    delay_in_min int,
+    delay_in_min bigint,
     time bigint,
     arrival_is_canceled boolean,
     departure_is_canceled boolean,
     train_type string,
     train_line_ride_id string,
-    train_line_station_num int,
+    train_line_station_num bigint,
     arrival_planned_time bigint,
     arrival_change_time bigint,
     departure_planned_time bigint,

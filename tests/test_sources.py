@@ -17,19 +17,20 @@ JUNE = Period.month("2026-06")
 HEADER = "STATIONS_ID;MESS_DATUM;  QN_9;TT_TU;RF_TU;eor"
 
 
-def test_nanosecond_parquet(spark, tmp_path):
+@pytest.mark.parametrize("counter", [pa.int32(), pa.int64()], ids=str)
+def test_nanosecond_parquet(spark, tmp_path, counter):
     text = ["station_name", "xml_station_name", "eva", "train_number", "line_number", "final_destination_station", "train_type", "train_line_ride_id", "id"]
     times = ["time", "arrival_planned_time", "arrival_change_time", "departure_planned_time", "departure_change_time"]
     columns = {name: pa.array(["1"]) for name in text}
     columns |= {name: pa.array([1780324200 * 10**9], pa.timestamp("ns")) for name in times}
-    columns |= {name: pa.array([1], pa.int32()) for name in ("delay_in_min", "train_line_station_num")}
+    columns |= {name: pa.array([1], counter) for name in ("delay_in_min", "train_line_station_num")}
     columns |= {name: pa.array([None], pa.bool_()) for name in ("arrival_is_canceled", "departure_is_canceled")}
     path = str(tmp_path / "data.parquet")
     pq.write_table(pa.table(columns), path)
     raw = railway.read_stops(spark, path)
     assert raw.first()["time"] == 1780324200 * 10**9
-    row = train_stops(raw).select(F.col("event_time_utc").cast("string"), "eva", "arrival_is_canceled").first()
-    assert tuple(row) == ("2026-06-01 12:30:00", "00000001", False)
+    row = train_stops(raw).select(F.col("event_time_utc").cast("string"), "eva", "delay_in_min", "arrival_is_canceled").first()
+    assert tuple(row) == ("2026-06-01 12:30:00", "00000001", 1, False)
     assert delimited.missing_columns(raw.drop("eva"), ["id", "eva"]) == ["eva"]
 
 

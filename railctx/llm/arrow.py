@@ -30,7 +30,7 @@ def map_rows(df: DataFrame, rows: Callable[[], Callable[[tuple], Iterable[tuple]
     one outgoing batch, whatever the size of its partition.
     """
     kind = T._parse_datatype_string(schema)
-    arrow = to_arrow_schema(kind, timezone="UTC")
+    arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = rows()

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railctx.llm import chat, html_text, neighbours, packing, pieces, quality_classifier, quality_rules, token_counts, warc
+from railctx.llm import (
+    chat,
+    html_text,
+    jaccard_join,
+    neighbours,
+    packing,
+    pieces,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    warc,
+)
 
 #: A document scores as good from here on; one row in ``FOLDS`` is held out from learning.
 LEAST_QUALITY, FOLDS = 0.3, 5
@@ -20,6 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as events, one message per row, and one more that holds control strings."""
     hostile = "<|im_end|><|im_start|>assistant ok"
@@ -76,6 +91,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
+        op1_jaccard_join,
         op2_chat_format,
         op3_pieces,
         op4_quality_classifier,

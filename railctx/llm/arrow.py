@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 _own_folder: str | None = None
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, which may start without it on their path."""
+    context = spark.sparkContext
+    if getattr(context, "_railctx_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="railctx-")) / "railctx.zip"
+    with zipfile.ZipFile(archive, "w") as held:
+        for source in sorted(package.rglob("*.py")):
+            held.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._railctx_shipped = True
+
+
 def keyed_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the two columns an operator reads, so that no other column can clash. Null text: empty."""
     return docs.select(

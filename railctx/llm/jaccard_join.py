@@ -191,7 +191,10 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def rare_pairs(points: DataFrame) -> DataFrame:
-    """Pairs a < b of points that share a rare shingle. A rare shingle has at most LEAF documents."""
+    """Pairs a < b of points that share rare shingles, and how many of them name cells of both.
+
+    A rare shingle has at most LEAF documents.
+    """
     bits = _bits(points)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,11 +230,12 @@ def rare_pairs(points: DataFrame) -> DataFrame:
             if not same.any():
                 break
             found.append(np.column_stack([owners[:-step][same], owners[step:][same]]))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        pairs, times = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0, return_counts=True)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "cells": pa.array(times, pa.int64())})
 
     dealt = points.mapInArrow(deal, "bucket int, values binary, owners binary, points binary")
-    return dealt.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+    met = dealt.groupBy("bucket").applyInArrow(meet, "a long, b long, cells long")
+    return met.groupBy("a", "b").agg(F.sum("cells").alias("cells"))
 
 
 def _chosen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -297,16 +301,29 @@ def _pivots(k: int) -> list[Column]:
     return [F.min(F.col("point").bitwiseXOR(F.lit(flip))).bitwiseXOR(F.lit(flip)).alias(f"pivot_{i}") for i, flip in enumerate(_FLIPS[:k])]
 
 
-def links(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WORDS) -> DataFrame:
-    """Links (a, b) between points, enough of them that their components are those of all links."""
-    first = points.select("doc_id", "point")
-    own_size = points.select("point", "n")
+def fitting(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose sizes are near enough for a link and that share enough cells, if known.
+
+    Up to the end of the shorter prefix all common shingles name cells of both sets, so a link
+    needs at least what is left to share behind that end. ``cells`` counts rare ones; of common
+    ones there can be as many as the set with fewer of them has.
+    """
+    sides = [points.select(F.col("point").alias(s), F.col("n").alias(f"n_{s}"), F.col("n_common").alias(f"c_{s}")) for s in "ab"]
+    sized = pairs.join(sides[0], "a").join(sides[1], "b")
+    near = F.expr(f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}")
+    if "cells" in pairs.columns:
+        needed = f"ceil({PERCENT} * (n_a + n_b) / {100 + PERCENT}.0)"
+        behind = f"ceil({PERCENT} * greatest(n_a, n_b) / 100.0) - 1"
+        near &= F.expr(f"cells + least(c_a, c_b) + {behind} >= {needed}")
+    return sized.where(near).select("a", "b")
 
-    def fitting(pairs: DataFrame) -> DataFrame:
-        """Sizes too far apart cannot be linked."""
-        sized = pairs.join(own_size.select(F.col("point").alias("a"), F.col("n").alias("n_a")), "a")
-        sized = sized.join(own_size.select(F.col("point").alias("b"), F.col("n").alias("n_b")), "b")
-        return sized.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT).select("a", "b")
+
+def rooted(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WORDS) -> DataFrame:
+    """Every linked point with the root of its component: id, root.
+
+    ``points``: point, doc_id, n, n_common; ``sign``: what ``signed`` gives.
+    """
+    first = points.select("doc_id", "point")
 
     def measure(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("point")).unionByName(pairs.select(F.col("b").alias("point"))).distinct()
@@ -314,12 +331,12 @@ def links(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WORD
         return written(measured(pairs, texts, words))
 
     linked = F.col("shared") * 100 >= F.col("whole") * PERCENT
-    rare = written(fitting(rare_pairs(sign.where("point is not null").select("point", "rare"))))
+    rare = written(fitting(rare_pairs(sign.where("point is not null").select("point", "rare")), points))
     members = sign.where("point is not null").select("point", F.explode("common").alias("region")).distinct()
     sized = members.groupBy("region").agg(F.count(F.lit(1)).alias("points")).where("points > 1")
     members = written(members.join(sized, "region").select("region", "point", "points"))
     found = [measure(rare).where(linked).select("a", "b")]
-    k = 4
+    roots, k = None, 4
     while not members.isEmpty():
         small = members.where(F.col("points") <= LEAF)
         large = members.where(F.col("points") > LEAF)
@@ -328,7 +345,7 @@ def links(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WORD
         pivots = written(pivots)
         met = large.join(pivots, "region").where("point <> pivot").select("region", "point", "pivot")
         ordered = met.select(F.least("point", "pivot").alias("a"), F.greatest("point", "pivot").alias("b"))
-        pairs = written(ordered.unionByName(fitting(_all_pairs(small))).distinct())
+        pairs = written(ordered.unionByName(fitting(_all_pairs(small), points)).distinct())
         distances = measure(pairs)
         found.append(distances.where(linked).select("a", "b"))
 
@@ -351,19 +368,20 @@ def links(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WORD
         still = still.where("low <> high").select("region", "points")
         members = written(regions.join(still, "region").select("region", "point", "points"))
         k = min(len(_FLIPS), 4 * k)
-    return reduce(DataFrame.unionByName, found)
+    return components(found[0].select(F.col("a").alias("u"), F.col("b").alias("v"))) if roots is None else roots
 
 
 def groups(docs: DataFrame, words: int = WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest id reachable over links, itself included)."""
     plain = keyed_text(docs, doc_id, text)
     sign = written(signed(plain, words))
-    points = written(sign.where("point is not null").groupBy("point").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
-    edges = links(plain, points, sign, words).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    roots = components(edges).select(F.col("id").alias("point"), "root")
-    rooted = written(points.join(roots, "point", "left").select("point", "doc_id", F.coalesce("root", "point").alias("root")))
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(smallest, "root").select("point", "component_id")
+    points = sign.where("point is not null").groupBy("point")
+    points = points.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first(F.size("common")).alias("n_common"))
+    points = written(points)
+    roots = rooted(plain, points, sign, words).select(F.col("id").alias("point"), "root")
+    known = written(points.join(roots, "point", "left").select("point", "doc_id", F.coalesce("root", "point").alias("root")))
+    smallest = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = known.join(smallest, "root").select("point", "component_id")
     out = sign.select("doc_id", "n", "point").join(named, "point", "left")
     return out.select(
         "doc_id",

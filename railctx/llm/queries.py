@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ from railctx.llm import (
     token_counts,
     warc,
 )
+from railctx.llm.arrow import ship
 
 #: A document scores as good from here on; one row in ``FOLDS`` is held out from learning.
 LEAST_QUALITY, FOLDS = 0.3, 5
@@ -27,6 +29,18 @@ LEAST_QUALITY, FOLDS = 0.3, 5
 CAPTURED = "2024-01-01T00:00:00Z"
 
 
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -88,8 +102,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    function.__name__: function
+QUERIES: dict[str, Query] = {
+    function.__name__: shipped(function)
     for function in (
         op1_jaccard_join,
         op2_chat_format,

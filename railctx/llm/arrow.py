@@ -74,7 +74,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 class Memo(dict):
-    """What a word becomes, computed once per worker process; emptied when ``limit`` words are held."""
+    """What a word becomes (never None), computed once per worker process; emptied when ``limit`` words are held."""
 
     def __init__(self, compute: Callable[[list], Iterable], limit: int = 400_000):
         super().__init__()
@@ -82,13 +82,15 @@ class Memo(dict):
 
     def of(self, words: list) -> list:
         """The value of every word, in order; words not seen before are computed in one call."""
-        missing = [w for w in dict.fromkeys(words) if w not in self]
+        values = list(map(self.get, words))
+        missing = list(dict.fromkeys(w for w, v in zip(words, values, strict=True) if v is None))
         if missing:
             if len(self) + len(missing) > self.limit:
                 self.clear()
                 missing = list(dict.fromkeys(words))
             self.update(zip(missing, self.compute(missing), strict=True))
-        return [self[w] for w in words]
+            values = list(map(self.get, words))
+        return values
 
 
 def shared_folder(spark: SparkSession) -> str:

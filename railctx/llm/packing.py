@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railctx.llm.arrow import Memo, keyed_text, map_rows
+from railctx.llm.arrow import Memo, keyed_text, map_rows, written
 
 CAPACITY = 4096
 END = 2
@@ -111,5 +111,8 @@ def numbered(pieces: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True, **columns: str) -> DataFrame:
-    """Pieces with the sequence that holds them. A sequence is one piece, at offset 0."""
-    return numbered(pieces(docs, tokenizer, capacity, end, with_ids, **columns))
+    """Pieces with the sequence that holds them. A sequence is one piece, at offset 0.
+
+    Numbering goes over the pieces twice, so they are written once and texts are encoded once.
+    """
+    return numbered(written(pieces(docs, tokenizer, capacity, end, with_ids, **columns)))

@@ -103,6 +103,7 @@ def fold(events: Iterator[tuple]) -> Iterator[tuple]:
             here = later(here, seq)
         else:
             raise ValueError(f"unknown kind of event: {kind}")
+    yield from closed()
 
 
 def _arranged(events: DataFrame) -> DataFrame:

@@ -388,3 +388,14 @@ def groups(docs: DataFrame, words: int = WORDS, doc_id: str = "doc_id", text: st
         F.col("n").alias("n_shingles"),
         F.when(F.col("point").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group, that with the smallest id, with all its columns.
+
+    Of rows that repeat an id and its text one stays. Rows with a null id are in no order, so they stay.
+    """
+    found = groups(docs, doc_id=doc_id, text=text)
+    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.join(written(stays), F.col(doc_id).cast("long") == F.col("kept_id"), "left_semi")
+    return named.dropDuplicates([doc_id, text]).unionByName(docs.where(F.col(doc_id).isNull()))

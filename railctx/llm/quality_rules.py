@@ -188,9 +188,14 @@ def log_odds(model: Model, rules: tuple[Rule, ...] = RULES) -> Column:
     return total
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.5, **columns: str) -> DataFrame:
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least: float = 0.5, whole_row: bool = False, **columns: str) -> DataFrame:
     """Measures, the base, the posterior of being good and whether to keep the text."""
-    measured = written(measures(docs, **columns))
+    measured = written(measures(docs, whole_row=whole_row, **columns))
     odds = log_odds(fit(measured, rules), rules)
     judged = measured.withColumn("base_failed", base_failed()).withColumn("posterior", 1 / (1 + F.exp(-odds)))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= least))
+
+
+def keep(docs: DataFrame, **columns: str) -> DataFrame:
+    """The rows that are kept, with all their columns and no shuffle."""
+    return judge(docs, whole_row=True, **columns).where("kept").select("row.*")

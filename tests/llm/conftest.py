@@ -1,0 +1,9 @@
+from __future__ import annotations
+
+import pytest
+
+
+@pytest.fixture()
+def frame(spark):
+    """Rows as a DataFrame with a schema given as text."""
+    return lambda rows, schema: spark.createDataFrame(rows, schema)

@@ -4,13 +4,16 @@ One minus the Jaccard similarity is a metric. Documents with the same set are on
 cells: a set's shingles are ordered from rare to common, and its first ones, so many that two
 linked sets must share one of them, name its cells. So every link lies inside a cell.
 
-A cell of a few points is joined directly. In a larger one some points become pivots; every
-point is measured against the pivots, which gives Voronoi regions. A point goes to the region
-of its nearest pivot, and, by the triangle inequality, also to each region whose pivot is at
-most twice the radius farther away, since a linked point can be at home there. Regions are
-joined in the same way, recursively, without their pivots, which have met every point. A region
-whose points are all connected already needs no more links and is closed. Nothing is sampled
-or capped: the recursion ends when each region is small or closed.
+A cell of a rare shingle is joined directly. Those of common ones become regions: each cell
+goes to the region of its first pivot. In a region some points are pivots; every
+point that could be linked with one is measured against it, which gives Voronoi regions inside.
+A point goes to the region of its nearest pivot, and, by the triangle inequality, also to each
+region whose pivot is at most twice the radius farther away, since a linked point can be at home
+there. Regions are joined in the same way, recursively, without their pivots, which have met
+every point. Pivots are taken from outside a region's largest component, as links inside
+it add nothing; a region that is one component is closed. Points whose shingles no other has
+cannot be linked and are left out by count. Nothing is sampled or capped: the recursion ends
+when every region is closed.
 
 The order of shingles only decides how large cells become, so a table of counts of a fixed size, hashed
 by shingle, is enough for it. Shingles are 64-bit hashes; two of the same document, or of a pair that is measured,
@@ -24,13 +27,14 @@ their copies, which has a null id if none of them has one; an empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railctx.llm.arrow import keyed_text, written
@@ -43,8 +47,10 @@ PERCENT = 75
 LEAF = 8
 #: Places of the table of counts, as a power of two; one byte each, whatever the corpus.
 PLACES = 24
-#: Orders of points from which pivots are taken: the smallest id after flipping these bits.
-_FLIPS = [int(x) for x in np.random.default_rng(11).integers(-(2**63), 2**63 - 1, 64)]
+#: A task keeps the sets of points it met last, up to so many shingles.
+_HELD_SHINGLES = 4_000_000
+#: Pivots that meet a chunk of points in one task.
+BLOCK, CHUNK = 64, 4096
 _FACTORS = np.random.default_rng(5).integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -190,16 +196,13 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return keyed_text(docs).mapInArrow(run, "doc_id long, n long, point long, rare binary, common array<long>")
 
 
-def rare_pairs(points: DataFrame) -> DataFrame:
-    """Pairs a < b of points that share rare shingles, and how many of them name cells of both.
-
-    A rare shingle has at most LEAF documents.
-    """
+def _dealt(points: DataFrame, set_of: Callable[[Any], np.ndarray]) -> DataFrame:
+    """Shingles of (point, something) by ranges of their hash, packed: a few bytes for each."""
     bits = _bits(points)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(r, np.uint64) for r in batch.column(1).to_pylist()]
+            sets = [set_of(x) for x in batch.column(1).to_pylist()]
             values = np.concatenate([np.zeros(0, np.uint64), *sets])
             owners = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
             names = np.asarray(batch.column(0))
@@ -213,27 +216,71 @@ def rare_pairs(points: DataFrame) -> DataFrame:
                 )
             yield _columns(rows, _CELLED)
 
+    return points.mapInArrow(deal, "bucket int, values binary, owners binary, points binary")
+
+
+def _gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of a bucket in order with the points that have them; copies are one point."""
+    values, owners = [], []
+    for v, o, p in zip(*(table.column(c).to_pylist() for c in ("values", "owners", "points")), strict=True):
+        values.append(np.cumsum(_from_planes(v, np.uint64), dtype=np.uint64))
+        owners.append(np.frombuffer(p, np.int64)[_from_planes(o, np.uint32)])
+    both = np.concatenate(values), np.concatenate(owners)
+    order = np.lexsort(both[::-1])
+    found, owner = both[0][order], both[1][order]
+    first = np.append(True, (found[1:] != found[:-1]) | (owner[1:] != owner[:-1]))
+    return found[first], owner[first]
+
+
+def _met(values: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of points in runs of equal shingles, and how many runs each pair shares."""
+    found = [np.zeros((0, 2), np.int64)]
+    for step in range(1, LEAF):
+        same = values[step:] == values[:-step]
+        if not same.any():
+            break
+        found.append(np.column_stack([owners[:-step][same], owners[step:][same]]))
+    return np.unique(np.concatenate(found), axis=0, return_counts=True)
+
+
+def rare_pairs(points: DataFrame) -> DataFrame:
+    """Pairs a < b of points that share rare shingles, and how many of them name cells of both.
+
+    A rare shingle has at most LEAF documents.
+    """
+
     def meet(table: pa.Table) -> pa.Table:
-        values, owners = [], []
-        for v, o, p in zip(*(table.column(c).to_pylist() for c in ("values", "owners", "points")), strict=True):
-            values.append(np.cumsum(_from_planes(v, np.uint64), dtype=np.uint64))
-            owners.append(np.frombuffer(p, np.int64)[_from_planes(o, np.uint32)])
-        values, owners = np.concatenate(values), np.concatenate(owners)
-        order = np.lexsort((owners, values))
-        values, owners = values[order], owners[order]
-        # Copies are one point, and so one entry of a cell.
-        first = np.append(True, (values[1:] != values[:-1]) | (owners[1:] != owners[:-1]))
-        values, owners = values[first], owners[first]
-        found = []
-        for step in range(1, LEAF):
-            same = values[step:] == values[:-step]
-            if not same.any():
-                break
-            found.append(np.column_stack([owners[:-step][same], owners[step:][same]]))
-        pairs, times = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0, return_counts=True)
+        pairs, times = _met(*_gathered(table))
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "cells": pa.array(times, pa.int64())})
 
-    dealt = points.mapInArrow(deal, "bucket int, values binary, owners binary, points binary")
+    dealt = _dealt(points, lambda packed: np.frombuffer(packed, np.uint64))
+    met = dealt.groupBy("bucket").applyInArrow(meet, "a long, b long, cells long")
+    return met.groupBy("a", "b").agg(F.sum("cells").alias("cells"))
+
+
+def shared_shapes(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """What these points share among each other, from all their shingles: a, b, cells.
+
+    Rows with b: pairs that share shingles which at most LEAF of the points have, and how many.
+    Rows without b: how many shingles of a more points than that have.
+    """
+
+    def meet(table: pa.Table) -> pa.Table:
+        values, owners = _gathered(table)
+        starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+        lengths = np.diff(np.append(starts, len(values)))
+        many = np.repeat(lengths > LEAF, lengths)
+        points, common = np.unique(owners[many], return_counts=True)
+        pairs, times = _met(values[~many], owners[~many])
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([points, pairs[:, 0]]), pa.int64()),
+                "b": pa.array([None] * len(points) + pairs[:, 1].tolist(), pa.int64()),
+                "cells": pa.array(np.concatenate([common, times]), pa.int64()),
+            }
+        )
+
+    dealt = _dealt(texts.select("point", "text"), lambda text: shingles(text, words))
     met = dealt.groupBy("bucket").applyInArrow(meet, "a long, b long, cells long")
     return met.groupBy("a", "b").agg(F.sum("cells").alias("cells"))
 
@@ -270,14 +317,24 @@ def measured(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFram
     both = pairs.join(left, "a").join(right, "b").select("a", "text_a", "b", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: dict[int, tuple] = {}
+        held: dict[int, np.ndarray] = {}
+        room = _HELD_SHINGLES
+
+        def set_of(point: int, text: str) -> np.ndarray:
+            nonlocal room
+            if point not in held:
+                own = shingles(text, words)
+                room -= len(own)
+                if room < 0:
+                    held.clear()
+                    room = _HELD_SHINGLES - len(own)
+                held[point] = own
+            return held[point]
+
         for batch in batches:
             shared, union = [], []
             for a, text_a, b, text_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # Rows come sorted by b, so its set is at hand from the row before.
-                if last.get("b", (None,))[0] != b:
-                    last["b"] = (b, shingles(text_b, words))
-                one, two = shingles(text_a, words), last["b"][1]
+                one, two = set_of(a, text_a), set_of(b, text_b)
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 shared.append(common)
                 union.append(len(one) + len(two) - common)
@@ -289,18 +346,6 @@ def measured(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFram
     return both.mapInArrow(run, "a long, b long, shared long, whole long")
 
 
-def _all_pairs(small: DataFrame) -> DataFrame:
-    """Pairs inside regions of at most LEAF points."""
-    held = small.groupBy("region").agg(F.array_sort(F.collect_set("point")).alias("points"))
-    distinct = held.select("points").distinct()
-    one = distinct.select("points", F.posexplode("points").alias("at", "a"))
-    return one.select("a", F.explode(F.slice("points", F.col("at") + 2, LEAF)).alias("b"))
-
-
-def _pivots(k: int) -> list[Column]:
-    return [F.min(F.col("point").bitwiseXOR(F.lit(flip))).bitwiseXOR(F.lit(flip)).alias(f"pivot_{i}") for i, flip in enumerate(_FLIPS[:k])]
-
-
 def fitting(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sizes are near enough for a link and that share enough cells, if known.
 
@@ -309,13 +354,13 @@ def fitting(pairs: DataFrame, points: DataFrame) -> DataFrame:
     ones there can be as many as the set with fewer of them has.
     """
     sides = [points.select(F.col("point").alias(s), F.col("n").alias(f"n_{s}"), F.col("n_common").alias(f"c_{s}")) for s in "ab"]
-    sized = pairs.join(sides[0], "a").join(sides[1], "b")
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
     near = F.expr(f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}")
     if "cells" in pairs.columns:
         needed = f"ceil({PERCENT} * (n_a + n_b) / {100 + PERCENT}.0)"
         behind = f"ceil({PERCENT} * greatest(n_a, n_b) / 100.0) - 1"
         near &= F.expr(f"cells + least(c_a, c_b) + {behind} >= {needed}")
-    return sized.where(near).select("a", "b")
+    return both.where(near).select("a", "b")
 
 
 def rooted(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WORDS) -> DataFrame:
@@ -323,52 +368,158 @@ def rooted(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WOR
 
     ``points``: point, doc_id, n, n_common; ``sign``: what ``signed`` gives.
     """
-    first = points.select("doc_id", "point")
 
-    def measure(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("point")).unionByName(pairs.select(F.col("b").alias("point"))).distinct()
-        texts = written(_chosen(docs, first.join(wanted, "point")))
-        return written(measured(pairs, texts, words))
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        return written(_chosen(docs, points.select("doc_id", "point").join(wanted.distinct(), "point")))
+
+    def connected() -> DataFrame:
+        return components(reduce(DataFrame.unionByName, found).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     linked = F.col("shared") * 100 >= F.col("whole") * PERCENT
-    rare = written(fitting(rare_pairs(sign.where("point is not null").select("point", "rare")), points))
-    members = sign.where("point is not null").select("point", F.explode("common").alias("region")).distinct()
-    sized = members.groupBy("region").agg(F.count(F.lit(1)).alias("points")).where("points > 1")
-    members = written(members.join(sized, "region").select("region", "point", "points"))
-    found = [measure(rare).where(linked).select("a", "b")]
-    roots, k = None, 4
-    while not members.isEmpty():
-        small = members.where(F.col("points") <= LEAF)
-        large = members.where(F.col("points") > LEAF)
-        pivots = large.groupBy("region").agg(*_pivots(k))
-        pivots = pivots.select("region", F.explode(F.array_distinct(F.array(*(f"pivot_{i}" for i in range(k))))).alias("pivot"))
-        pivots = written(pivots)
-        met = large.join(pivots, "region").where("point <> pivot").select("region", "point", "pivot")
-        ordered = met.select(F.least("point", "pivot").alias("a"), F.greatest("point", "pivot").alias("b"))
-        pairs = written(ordered.unionByName(fitting(_all_pairs(small), points)).distinct())
-        distances = measure(pairs)
-        found.append(distances.where(linked).select("a", "b"))
-
-        # Regions: the home of each point and those whose pivot is at most twice the radius farther.
-        apart = distances.select("a", "b", (1 - F.col("shared") / F.col("whole")).alias("apart"))
-        both = apart.unionByName(apart.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
-        placed = met.join(both.select(F.col("a").alias("point"), F.col("b").alias("pivot"), "apart"), ["point", "pivot"])
-        own = pivots.select("region", F.col("pivot").alias("point"))
-        placed = placed.join(own, ["region", "point"], "left_anti")
-        home = placed.groupBy("region", "point").agg(F.min("apart").alias("home"))
-        window = 2 * (1 - PERCENT / 100) + 1e-9
-        placed = placed.join(home, ["region", "point"]).where(F.col("apart") <= F.col("home") + window)
-        regions = placed.select(F.xxhash64("region", "pivot").alias("region"), "point")
-
-        # A region whose points are connected already is closed.
-        roots = components(reduce(DataFrame.unionByName, found).select(F.col("a").alias("u"), F.col("b").alias("v")))
-        known = regions.join(roots.select(F.col("id").alias("point"), "root"), "point", "left")
-        known = known.withColumn("root", F.coalesce("root", "point"))
-        still = known.groupBy("region").agg(F.count(F.lit(1)).alias("points"), F.min("root").alias("low"), F.max("root").alias("high"))
-        still = still.where("low <> high").select("region", "points")
-        members = written(regions.join(still, "region").select("region", "point", "points"))
-        k = min(len(_FLIPS), 4 * k)
-    return components(found[0].select(F.col("a").alias("u"), F.col("b").alias("v"))) if roots is None else roots
+    sign = sign.where("point is not null")
+    rare = written(fitting(rare_pairs(sign.select("point", "rare")), points))
+    ends = rare.select(F.col("a").alias("point")).unionByName(rare.select(F.col("b").alias("point")))
+    found = [written(measured(rare, texts_of(ends), words).where(linked).select("a", "b"))]
+    roots = connected()
+
+    # Cells with the same first pivot are one region: who shares a cell shares that region.
+    cells = sign.select("point", F.explode("common").alias("cell")).distinct()
+    first_pivot = cells.groupBy("cell").agg(F.min("point").alias("region"), F.count(F.lit(1)).alias("points")).where("points > 1")
+    regions = written(cells.join(first_pivot, "cell").select("region", "point").distinct())
+    if regions.isEmpty():
+        return roots
+    # What few points of the regions share is settled by pairs; what is left to find is shared
+    # by many, so a point with too few such shingles is out of question.
+    texts = texts_of(regions.select("point"))
+    shared = written(shared_shapes(texts, words))
+    able = shared.where("b is null").select(F.col("a").alias("point"), F.col("cells").alias("able"))
+    shapes = written(texts.select("point").join(points.select("point", "n"), "point").join(able, "point", "left").fillna(0, ["able"]))
+    few = written(_sharing(shared.where("b is not null"), shapes))
+    found.append(written(measured(few, texts, words).where(linked).select("a", "b")))
+    roots = connected()
+    members = written(_hopeful(regions.join(shapes, "point")))
+    k = BLOCK // 4
+    while True:
+        # Links inside a component add nothing, so pivots come from outside the largest component
+        # of a region; a region without such points is closed.
+        known = members.join(roots.select(F.col("id").alias("point"), "root"), "point", "left")
+        known = written(known.withColumn("root", F.coalesce("root", "point")))
+        shares = known.groupBy("region", "root").agg(F.count(F.lit(1)).alias("points"))
+        most = shares.groupBy("region").agg(F.max(F.struct("points", "root")).alias("most"), F.sum("points").alias("points"))
+        others = known.join(most.select("region", F.col("most.root").alias("most_root"), "points"), "region").where("root <> most_root")
+        order = Window.partitionBy("region").orderBy(F.xxhash64("point"))
+        pivots = others.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+        pivots = written(pivots.select("region", "point", "points", F.floor((F.col("place") - 1) / BLOCK).alias("block")))
+        if pivots.isEmpty():
+            return roots
+        met = written(_meet_pivots(known, pivots, texts, words))
+        found.append(met.where("b is not null").select("a", "b"))
+        rest = known.join(pivots.select("region", "point"), ["region", "point"], "left_anti")
+        rest = rest.join(pivots.select("region").distinct(), "region", "left_semi").select("region", "point")
+        if k <= BLOCK:
+            rest = _split(rest, met.where("near is not null").select("region", F.col("a").alias("point"), "near"))
+        members = written(_hopeful(rest.join(shapes, "point")))
+        roots = connected()
+        k *= 4
+
+
+def _meet_pivots(members: DataFrame, pivots: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Measure every point of a region against its pivots, in blocks: region, a, b, near.
+
+    Rows with b are links, so many that points and pivots of the block hang together as they do
+    by all links. Rows with ``near`` name the pivots whose regions the point belongs to: that of
+    its home, the nearest, and those at most twice the radius farther.
+    """
+    # Points of a region are dealt out in chunks; each chunk meets each block of pivots in one task.
+    chunks = F.ceil(F.col("points") / CHUNK)
+    blocks = pivots.groupBy("region", "block").agg(F.max("points").alias("points"))
+    left = members.select("region", "point").join(blocks, "region").withColumn("chunk", F.pmod(F.xxhash64("point"), chunks))
+    left = left.join(texts, "point").select("region", "block", "chunk", "point", "text")
+    right = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    # Columns of their own, as both sides come from the same tables.
+    columns = ["region", "block", "chunk", "point", "text"]
+    right = right.join(texts, "point").select(*(F.col(c).alias(c) for c in columns))
+    window = 2 * (1 - PERCENT / 100) + 1e-9
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        regions, a, b, near = [], [], [], []
+        if left.num_rows and right.num_rows:
+            region = left.column("region")[0].as_py()
+            names = np.asarray(right.column("point").combine_chunks())
+            sets = [shingles(t, words) for t in right.column("text").to_pylist()]
+            sizes = np.array([len(s) for s in sets])
+            every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], owner[order]
+            trees = _Trees()
+            for point, text in zip(left.column("point").to_pylist(), left.column("text").to_pylist(), strict=True):
+                own = shingles(text, words)
+                low, high = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")
+                hits = np.concatenate([np.zeros(0, np.int64), *(owner[x:y] for x, y in zip(low, high, strict=True) if y > x)])
+                shared = np.bincount(hits, minlength=len(sets))
+                whole = len(own) + sizes - shared
+                for pivot in names[100 * shared >= PERCENT * whole].tolist():
+                    if pivot != point and trees.join(point, pivot):
+                        regions.append(region)
+                        a.append(min(point, pivot))
+                        b.append(max(point, pivot))
+                        near.append(None)
+                apart = 1 - shared / whole
+                regions.append(region)
+                a.append(point)
+                b.append(None)
+                near.append(names[apart <= apart.min() + window].tolist())
+        return pa.table(
+            {
+                "region": pa.array(regions, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
+                "near": pa.array(near, pa.list_(pa.int64())),
+            }
+        )
+
+    keys = ["region", "block", "chunk"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "region long, a long, b long, near array<long>")
+
+
+class _Trees(dict):
+    """Which points of a task hang together; a link between points that do already is not needed."""
+
+    def root(self, point: int) -> int:
+        while self.setdefault(point, point) != point:
+            self[point] = point = self[self[point]]
+        return point
+
+    def join(self, one: int, two: int) -> bool:
+        one, two = self.root(one), self.root(two)
+        self[one] = two
+        return one != two
+
+
+def _sharing(pairs: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Pairs (a, b, cells) that may be linked by the rare shingles they share and the common ones they have."""
+    sides = [shapes.select(F.col("point").alias(s), F.col("n").alias(f"n_{s}"), F.col("able").alias(f"able_{s}")) for s in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    near = f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {PERCENT}"
+    return both.where(f"{near} and (cells + least(able_a, able_b)) * {100 + PERCENT} >= {PERCENT} * (n_a + n_b)").select("a", "b")
+
+
+def _hopeful(regions: DataFrame) -> DataFrame:
+    """Points that share enough shingles for a link with the smallest set of their region: region, point, n, able."""
+    least = regions.groupBy("region").agg(F.min("n").alias("least_n"))
+    enough = F.expr(f"able * {100 + PERCENT} >= {PERCENT} * (n + greatest(least_n, ceil({PERCENT} * n / 100.0)))")
+    return regions.join(least, "region").where(enough).select("region", "point", "n", "able")
+
+
+def _split(rest: DataFrame, near: DataFrame) -> DataFrame:
+    """Voronoi regions of the points that are left (region, point), by the pivots near to each: region, point.
+
+    A region stays whole if that would copy more points than it sets apart, so that the number
+    of rows does not explode.
+    """
+    placed = rest.join(near, ["region", "point"])
+    splits = placed.groupBy("region").agg(F.sum(F.size("near")).alias("copies"), F.count(F.lit(1)).alias("points"))
+    placed = placed.join(splits.where("4 * copies <= 5 * points").select("region", F.lit(True).alias("splits")), "region", "left")
+    parts = F.when(F.col("splits"), F.transform("near", lambda pivot: F.xxhash64(F.col("region"), pivot)))
+    return placed.select(F.explode(F.coalesce(parts, F.array("region"))).alias("region"), "point")
 
 
 def groups(docs: DataFrame, words: int = WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -45,6 +45,11 @@ class Contract:
             if not name.strip() or not description.strip():
                 raise ValueError(f"{self.name}.{name}: empty name or description")
 
+    @property
+    def ddl(self) -> str:
+        """The columns as a schema text."""
+        return ", ".join(f"`{name}` {kind}" for name, kind, _ in self.columns)
+
     @property
     def published_name(self) -> str:
         """Silver tables live in the default schema and carry no prefix."""

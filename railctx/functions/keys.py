@@ -10,18 +10,23 @@ SENSOR_WIDTH = 5
 MISSING = -999.0
 
 
+def padded(text: Column, width: int) -> Column:
+    """Text with leading zeros up to a width; longer text stays whole, so ids never merge."""
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def eva_key(column: Column, width: int = EVA_WIDTH) -> Column:
-    """EVA number as fixed-width text with leading zeros."""
-    return F.lpad(column.cast("string"), width, "0")
+    """EVA number as text with leading zeros."""
+    return padded(column.cast("string"), width)
 
 
 def sensor_key(column: Column, width: int = SENSOR_WIDTH) -> Column:
-    """Sensor number as fixed-width text; feeds pad it with blanks."""
-    return F.lpad(F.trim(column.cast("string")), width, "0")
+    """Sensor number as text with leading zeros; feeds pad it with blanks."""
+    return padded(F.trim(column.cast("string")), width)
 
 
 def overflows(column: Column, width: int) -> Column:
-    """Whether padding would cut the identifier short."""
+    """Whether the identifier is longer than the key it should fit."""
     return F.length(F.trim(column.cast("string"))) > width
 
 

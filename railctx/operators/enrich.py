@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railctx.session import BROADCAST_BYTES, measured_bytes
-
 STATION_COLUMNS = ["station_name", "category", "price_category", "federal_state"]
 
 
@@ -30,7 +28,7 @@ def _station_context(stations: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def _temperature_lookup(temperature: DataFrame) -> DataFrame:
     return temperature.select(
-        F.col("dwd_station_id").alias("nearest_tu_station_id"),
+        F.col("dwd_station_id").alias("tu_key"),
         F.col("observation_hour_utc").alias("event_hour_utc"),
         "temp_celsius",
         "humidity_pct",
@@ -40,7 +38,7 @@ def _temperature_lookup(temperature: DataFrame) -> DataFrame:
 
 def _wind_lookup(wind: DataFrame) -> DataFrame:
     return wind.select(
-        F.col("dwd_station_id").alias("nearest_ff_station_id"),
+        F.col("dwd_station_id").alias("ff_key"),
         F.col("observation_hour_utc").alias("event_hour_utc"),
         "wind_speed_ms",
         "wind_direction_deg",
@@ -48,47 +46,28 @@ def _wind_lookup(wind: DataFrame) -> DataFrame:
     )
 
 
-def _attach(left: DataFrame, context: DataFrame, tu: DataFrame, ff: DataFrame) -> DataFrame:
-    """Station context by EVA, then each reading by (sensor, hour). Left rows are all kept."""
-    return (
-        left.join(context, "eva", "left")
-        .join(tu, ["nearest_tu_station_id", "event_hour_utc"], "left")
-        .join(ff, ["nearest_ff_station_id", "event_hour_utc"], "left")
-    )
+def _spread_key(sensor: str) -> Column:
+    """The sensor, or for stops without one a key of their own, which matches nothing.
+
+    All unlisted EVAs share a NULL sensor; as a join key it would gather them in one task.
+    """
+    return F.coalesce(sensor, F.concat(F.lit("none "), "id"))
 
 
 def train_stop_weather(
-    stops: DataFrame,
-    stations: DataFrame,
-    mapping: DataFrame,
-    temperature: DataFrame,
-    wind: DataFrame,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    stops: DataFrame, stations: DataFrame, mapping: DataFrame, temperature: DataFrame, wind: DataFrame
 ) -> DataFrame:
     """Every stop once, with 28 columns; nothing matched leaves NULL.
 
-    Two plans with the same result, chosen by the measured size of the lookups:
-
-    * all lookups below ``broadcast_bytes``: they are broadcast and stops are not shuffled;
-    * otherwise the weather is looked up for the distinct (EVA, hour) pairs, which
-      pre-aggregate on the map side, and stops are shuffled once, on that pair, instead of
-      once per lookup.
+    One plan for every size: stops are read once and meet the station context by EVA, then each
+    reading by (sensor, hour). Which side is broadcast, and how a crowded key is split, is left
+    to the optimiser.
     """
-    context = _station_context(stations, mapping)
-    tu, ff = _temperature_lookup(temperature), _wind_lookup(wind)
-    if max(measured_bytes(stations, mapping, temperature, wind)) <= broadcast_bytes:
-        joined = _attach(stops, F.broadcast(context), F.broadcast(tu), F.broadcast(ff))
-    else:
-        pairs = stops.select("eva", "event_hour_utc").distinct()
-        known = _attach(pairs, context, tu, ff).withColumnsRenamed(
-            {"eva": "at_eva", "event_hour_utc": "at_hour"}
-        )
-        # Null-safe on the hour: a stop without a time still gets its station.
-        joined = stops.join(
-            known,
-            (F.col("eva") == F.col("at_eva")) & F.col("event_hour_utc").eqNullSafe(F.col("at_hour")),
-            "left",
-        )
+    placed = stops.join(_station_context(stations, mapping), "eva", "left").withColumns(
+        {"tu_key": _spread_key("nearest_tu_station_id"), "ff_key": _spread_key("nearest_ff_station_id")}
+    )
+    joined = placed.join(_temperature_lookup(temperature), ["tu_key", "event_hour_utc"], "left")
+    joined = joined.join(_wind_lookup(wind), ["ff_key", "event_hour_utc"], "left")
     return joined.select(
         "id",
         "eva",

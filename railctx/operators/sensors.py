@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from railctx.functions.keys import false_if_null
 from railctx.operators.nearest import nearest_site
 from railctx.period import Period
-from railctx.sources.fixed_width import sensor_listing
+from railctx.sources.fixed_width import SENSOR_FIELDS, sensor_listing
 
 _SHARED = ["station_name", "federal_state", "altitude_m", "latitude", "longitude"]
 
 
-def active_network(lines: DataFrame, period: Period) -> DataFrame:
+def active_network(lines: DataFrame, period: Period, fields: dict[str, tuple[int, int]] = SENSOR_FIELDS) -> DataFrame:
     """Sensors of one network whose validity covers the whole period."""
-    listing = sensor_listing(lines)
+    listing = sensor_listing(lines, fields)
     return listing.where(period.holds_validity(F.col("von_datum"), F.col("bis_datum")))
 
 
@@ -36,9 +36,11 @@ def merge_networks(temperature: DataFrame, wind: DataFrame) -> DataFrame:
     )
 
 
-def weather_stations(tu_lines: DataFrame, ff_lines: DataFrame, period: Period) -> DataFrame:
+def weather_stations(
+    tu_lines: DataFrame, ff_lines: DataFrame, period: Period, fields: dict[str, tuple[int, int]] = SENSOR_FIELDS
+) -> DataFrame:
     """Active sensors of the period with the parameters they measure."""
-    return merge_networks(active_network(tu_lines, period), active_network(ff_lines, period))
+    return merge_networks(active_network(tu_lines, period, fields), active_network(ff_lines, period, fields))
 
 
 def nearest_sensors(stations: DataFrame, sensors: DataFrame, networks: dict[str, str]) -> DataFrame:

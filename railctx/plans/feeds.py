@@ -22,12 +22,14 @@ from railctx.operators.stations import stations
 from railctx.operators.stops import train_stops
 from railctx.period import Period
 from railctx.session import materialize, together
-from railctx.sources.fixed_width import SENSOR_FIELDS
+from railctx.sources.fixed_width import widened
 
 PERIOD = Period.month("2024-01")
 
-SECOND_EVA = 50_000_000
-UNLISTED_EVA = 90_000_000
+# EVA numbers are dealt out by remainder, so that first, second and unlisted ones never meet.
+EVA_STEP, SECOND_EVA, UNLISTED_EVA = 4, 1, 2
+# The listing has room for ids of twelve characters.
+LISTING = widened(7)
 STAMP_HOURS = 756
 
 
@@ -60,7 +62,7 @@ def raw_stops(events: DataFrame) -> DataFrame:
     delay = (F.floor("value") - 5).cast("int")
     user = F.col("user_id")
     kind = F.col("event_type")
-    listed = F.when(kind == "error", user + UNLISTED_EVA).otherwise(user)
+    listed = user * EVA_STEP + F.when(kind == "error", UNLISTED_EVA).otherwise(0)
     return events.select(
         F.concat(F.lit("Stop "), user).alias("station_name"),
         F.concat(F.lit("STOP "), user).alias("xml_station_name"),
@@ -95,16 +97,16 @@ def raw_station_objects(customer: DataFrame, nation: DataFrame, region: DataFram
             F.when(F.col("c_acctbal") > -950, located).alias("geographicCoordinates"),
         )
 
-    first = eva(key, F.lit(True), station_lat(key), station_lon(key))
+    first = eva(key * EVA_STEP, F.lit(True), station_lat(key), station_lon(key))
     second = eva(
-        key + SECOND_EVA,
+        key * EVA_STEP + SECOND_EVA,
         F.lit(None).cast("boolean"),
         station_lat(key) + F.lit(0.004),
         station_lon(key) + F.lit(0.004),
     )
     short_code = F.struct(F.concat(F.lit("R"), key).alias("rilIdentifier"), F.lit(True).alias("isMain"))
-    placed = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).join(
-        F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")
+    placed = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     )
     return placed.select(
         F.to_json(
@@ -147,16 +149,16 @@ def raw_sensor_lines(supplier: DataFrame, nation: DataFrame, member: Column) ->
         "station_name": F.col("s_name"),
         "federal_state": F.col("n_name"),
     }
-    ends = [start for start, _ in list(SENSOR_FIELDS.values())[1:]] + [131]
+    ends = [start for start, _ in list(LISTING.values())[1:]] + [138]
     line = F.concat(
         *[
             F.rpad(cells[name], end - start, " ")
-            for (name, (start, _)), end in zip(SENSOR_FIELDS.items(), ends, strict=True)
+            for (name, (start, _)), end in zip(LISTING.items(), ends, strict=True)
         ]
     )
     body = (
         supplier.where(member)
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(line.alias("value"))
     )
     furniture = nation.select(
@@ -261,6 +263,7 @@ class Feeds:
             raw_sensor_lines(supplier, nation, in_temperature_network()),
             raw_sensor_lines(supplier, nation, in_wind_network()),
             self.period,
+            LISTING,
         )
 
     @property

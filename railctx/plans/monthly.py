@@ -41,13 +41,14 @@ class MonthlyRun:
     def read(self, table: str) -> DataFrame:
         """This period's rows of a published table; other periods are pruned."""
         path = f"{self.output.rstrip('/')}/{table}"
-        rows = self.spark.read.parquet(path).where(F.col(PERIOD_COLUMN) == self.period.label)
-        return conform(rows, CONTRACTS[table])
+        # The contract's columns, so that a period without rows reads as an empty table.
+        stored = self.spark.read.schema(f"{CONTRACTS[table].ddl}, {PERIOD_COLUMN} string").parquet(path)
+        return conform(stored.where(F.col(PERIOD_COLUMN) == self.period.label), CONTRACTS[table])
 
     def publish(self, table: str, df: DataFrame) -> dict[str, int]:
         """Write one table; returns its row count and the violations of each rule."""
         rows, counters = observed(conform(df, CONTRACTS[table]), table, self.period)
-        write_periods(with_period(rows, self.period), f"{self.output.rstrip('/')}/{table}")
+        write_periods(with_period(rows, self.period), f"{self.output.rstrip('/')}/{table}", [self.period.label])
         return counters.get
 
     def run(self) -> dict[str, dict[str, int]]:

@@ -9,13 +9,14 @@ from railctx.quality.expectations import expectations
 _RAW = """
 feed AS (
     SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-           CAST(floor(value) - 5 AS INTEGER) AS delay
+           CAST(floor(value) - 5 AS INTEGER) AS delay,
+           CAST(user_id * 4 + CASE WHEN event_type = 'error' THEN 2 ELSE 0 END AS VARCHAR) AS number
     FROM events
 ),
 train_stops AS (
     SELECT
         'stop-' || event_id AS id,
-        lpad(CAST(CASE WHEN event_type = 'error' THEN user_id + 90000000 ELSE user_id END AS VARCHAR), 8, '0') AS eva,
+        CASE WHEN length(number) < 8 THEN lpad(number, 8, '0') ELSE number END AS eva,
         'Stop ' || user_id AS station_name,
         'STOP ' || user_id AS xml_station_name,
         CAST(k AS VARCHAR) AS train_number,
@@ -42,13 +43,13 @@ train_stops AS (
     WHERE k <> 0
 ),
 numbered AS (
-    SELECT *, c_custkey AS number, TRUE AS main, 0.0::DOUBLE AS shift FROM customer
+    SELECT *, CAST(c_custkey * 4 AS VARCHAR) AS number, TRUE AS main, 0.0::DOUBLE AS shift FROM customer
     UNION ALL
-    SELECT *, c_custkey + 50000000, FALSE, 0.004::DOUBLE FROM customer WHERE c_mktsegment = 'BUILDING'
+    SELECT *, CAST(c_custkey * 4 + 1 AS VARCHAR), FALSE, 0.004::DOUBLE FROM customer WHERE c_mktsegment = 'BUILDING'
 ),
 stations AS (
     SELECT
-        lpad(CAST(number AS VARCHAR), 8, '0') AS eva,
+        CASE WHEN length(number) < 8 THEN lpad(number, 8, '0') ELSE number END AS eva,
         c_custkey AS station_number,
         c_name AS station_name,
         CASE WHEN c_acctbal >= 0 THEN 'R' || c_custkey END AS ds100,
@@ -65,7 +66,7 @@ stations AS (
 ),
 listing AS (
     SELECT
-        lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS dwd_station_id,
+        CASE WHEN s_suppkey < 100000 THEN lpad(CAST(s_suppkey AS VARCHAR), 5, '0') ELSE CAST(s_suppkey AS VARCHAR) END AS dwd_station_id,
         CASE WHEN s_nationkey < 2 THEN 20240115 ELSE 19950101 END::BIGINT AS von_datum,
         CASE WHEN s_nationkey > 22 THEN 20231231 ELSE 20991231 END::BIGINT AS bis_datum,
         CASE WHEN s_acctbal > 0 THEN s_acctbal END AS altitude_m,
@@ -91,7 +92,7 @@ per_hour AS (
     FROM stamped GROUP BY ALL
 ),
 in_month AS (
-    SELECT *, lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS dwd_station_id,
+    SELECT *, CASE WHEN l_suppkey < 100000 THEN lpad(CAST(l_suppkey AS VARCHAR), 5, '0') ELSE CAST(l_suppkey AS VARCHAR) END AS dwd_station_id,
            TIMESTAMP '2023-12-31' + slot * INTERVAL 1 HOUR AS observation_hour_utc
     FROM per_hour
     WHERE slot >= 24 AND slot <> 100
@@ -403,7 +404,7 @@ ORACLE: dict[str, str] = {
         FROM feed""",
     "key_overflow": f"""{_with(_RAW)}
         SELECT count(*) AS row_count,
-               count(*) FILTER (WHERE k <> 0 AND (event_type = 'error' OR user_id > 99999)) AS too_long
+               count(*) FILTER (WHERE k <> 0 AND user_id * 4 + CASE WHEN event_type = 'error' THEN 2 ELSE 0 END > 999) AS too_long
         FROM feed""",
     "manifest_inventory": _select("landed", _FILES),
     "manifest_rule_audit": f"""{_with(_FILES)}
@@ -573,19 +574,17 @@ ORACLE: dict[str, str] = {
         WHERE period <> '1998-03' OR o_orderstatus <> 'P'""",
     "retention_window": """
         SELECT * FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS period FROM orders)
-        WHERE period >= '2000-08' AND period <= '2001-07'""",
+        WHERE o_orderdate >= TIMESTAMP '2000-08-01' AND o_orderdate < TIMESTAMP '2001-08-01'""",
     "month_over_month": """
         WITH monthly AS (
-            SELECT l_returnflag, strftime(l_shipdate, '%Y-%m') AS period, count(*) AS line_items,
-                   sum(l_quantity) AS quantity, count(DISTINCT l_suppkey) AS suppliers
+            SELECT l_suppkey, l_returnflag, strftime(l_shipdate, '%Y-%m') AS period, count(*) AS line_items,
+                   sum(l_quantity) AS quantity, count(DISTINCT l_partkey) AS parts
             FROM lineitem GROUP BY ALL
-        ),
-        lagged AS (
-            SELECT *, lag(line_items) OVER w AS previous_line_items, lag(quantity) OVER w AS previous_quantity,
-                   lag(suppliers) OVER w AS previous_suppliers
-            FROM monthly WINDOW w AS (PARTITION BY l_returnflag ORDER BY period)
         )
-        SELECT *, line_items - previous_line_items AS line_items_change,
-               quantity - previous_quantity AS quantity_change, suppliers - previous_suppliers AS suppliers_change
-        FROM lagged""",
+        SELECT now.*, before.line_items AS previous_line_items, before.quantity AS previous_quantity,
+               before.parts AS previous_parts, now.line_items - before.line_items AS line_items_change,
+               now.quantity - before.quantity AS quantity_change, now.parts - before.parts AS parts_change
+        FROM monthly now LEFT JOIN monthly before
+          ON before.l_suppkey = now.l_suppkey AND before.l_returnflag = now.l_returnflag
+         AND before.period = strftime(CAST(now.period || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m')""",
 }

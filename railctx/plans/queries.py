@@ -17,7 +17,6 @@ from railctx.plans import feeds
 from railctx.plans.feeds import PERIOD, Feeds
 from railctx.period import Period
 from railctx.quality import coverage, expectations, grain, snapshot
-from railctx.session import broadcast_if_small
 from railctx.sources import api_archive, delimited, fixed_width
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,7 +54,7 @@ def _published(f: Feeds) -> dict[str, DataFrame]:
 def _located_stops(f: Feeds) -> DataFrame:
     """Stops with the one station attribute the place analyses need."""
     state = f.stations.select("eva", "federal_state")
-    return f.stops.join(broadcast_if_small(state), "eva", "left")
+    return f.stops.join(state, "eva", "left")
 
 
 # Scans and source checks
@@ -112,7 +111,7 @@ def api_archive_audit(f: Feeds) -> DataFrame:
 def fixed_width_listing(f: Feeds) -> DataFrame:
     member = feeds.in_temperature_network()
     return fixed_width.sensor_listing(
-        feeds.raw_sensor_lines(f.table("supplier"), f.table("nation"), member)
+        feeds.raw_sensor_lines(f.table("supplier"), f.table("nation"), member), feeds.LISTING
     )
 
 
@@ -162,7 +161,7 @@ def source_coverage(f: Feeds) -> DataFrame:
 
 
 def key_overflow(f: Feeds) -> DataFrame:
-    return grain.key_overflow(f.raw_stops, "eva", 5)
+    return grain.key_overflow(f.raw_stops, "eva", 3)
 
 
 # Files against their manifest. Documents and conversations are the files that landed;
@@ -395,11 +394,11 @@ def month_replace(f: Feeds) -> DataFrame:
     corrected = canonical_month(f).withColumns(
         {"o_totalprice": F.col("o_totalprice") * 2, "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")}
     )
-    return months.replace_periods(_monthly_orders(f), corrected.where("o_orderstatus <> 'P'"))
+    return months.replace_periods(_monthly_orders(f), corrected.where("o_orderstatus <> 'P'"), [MONTH.label])
 
 
 def retention_window(f: Feeds) -> DataFrame:
-    return months.retained(_monthly_orders(f), "2001-07")
+    return months.retained_rows(_monthly_orders(f), "o_orderdate", "2001-07")
 
 
 def month_over_month(f: Feeds) -> DataFrame:
@@ -407,9 +406,9 @@ def month_over_month(f: Feeds) -> DataFrame:
     measures = {
         "line_items": F.count(F.lit(1)),
         "quantity": F.sum("l_quantity"),
-        "suppliers": F.count_distinct("l_suppkey"),
+        "parts": F.count_distinct("l_partkey"),
     }
-    return months.month_over_month(shipped, measures, ["l_returnflag"])
+    return months.month_over_month(shipped, measures, ["l_suppkey", "l_returnflag"])
 
 
 QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {

@@ -67,7 +67,7 @@ def row_preservation(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def key_overflow(df: DataFrame, column: str, width: int) -> DataFrame:
-    """How many raw identifiers are longer than the fixed width and would be cut."""
+    """How many raw identifiers are longer than the key they should fit."""
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(overflows(F.col(column), width)).alias("too_long"),

@@ -6,20 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Bytes per value of a fixed-width type, and per row for headers and hash slots.
-_FIXED_VALUE = 8
-_ROW_OVERHEAD = 32
-
 _local_folder: str | None = None
 
 
@@ -48,28 +41,6 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, found {zone}")
 
 
-def measured_bytes(*tables: DataFrame) -> list[int]:
-    """Size of each table as hashed rows: row count, fixed widths and real string lengths.
-
-    One job for all of them; one row per table comes back.
-    """
-    sizes = []
-    for position, df in enumerate(tables):
-        fields = df.schema.fields
-        text = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-        width = _ROW_OVERHEAD + _FIXED_VALUE * len(fields)
-        length = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in text), F.lit(width))
-        size = F.coalesce(F.sum(length.cast("long")), F.lit(0))
-        sizes.append(df.agg(F.lit(position).alias("position"), size.alias("bytes")))
-    found = {row["position"]: row["bytes"] for row in reduce(DataFrame.unionByName, sizes).collect()}
-    return [found[position] for position in range(len(tables))]
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the measured size allows; otherwise leave it to the shuffle."""
-    return F.broadcast(df) if measured_bytes(df)[0] <= limit else df
-
-
 def together(spark: SparkSession, steps: dict[str, Callable[[], Any]]) -> dict[str, Any]:
     """Run independent actions side by side, so that small jobs fill idle slots of large ones."""
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:

@@ -24,6 +24,13 @@ HEADER_PREFIXES = ("Stations_id", "-----------")
 SHORTEST_LINE = 50
 
 
+def widened(extra: int) -> dict[str, tuple[int, int]]:
+    """The layout with more room for the id, for listings that have outgrown the published one."""
+    first, *others = SENSOR_FIELDS
+    start, width = SENSOR_FIELDS[first]
+    return {first: (start, width + extra)} | {n: (SENSOR_FIELDS[n][0] + extra, SENSOR_FIELDS[n][1]) for n in others}
+
+
 def read_lines(spark: SparkSession, path: str, encoding: str = LISTING_ENCODING) -> DataFrame:
     """Text lines in ``value``, decoded before the offsets are counted.
 
@@ -41,24 +48,24 @@ def read_lines(spark: SparkSession, path: str, encoding: str = LISTING_ENCODING)
     )
 
 
-def _field(name: str) -> Column:
-    start, width = SENSOR_FIELDS[name]
+def _field(fields: dict[str, tuple[int, int]], name: str) -> Column:
+    start, width = fields[name]
     return F.trim(F.substring("value", start, width))
 
 
-def sensor_listing(lines: DataFrame) -> DataFrame:
+def sensor_listing(lines: DataFrame, fields: dict[str, tuple[int, int]] = SENSOR_FIELDS) -> DataFrame:
     """The eight fields of a listing; header, rule and short lines are skipped."""
     value = F.col("value")
     body = lines.where(F.length(F.trim(value)) >= SHORTEST_LINE)
     for prefix in HEADER_PREFIXES:
         body = body.where(~value.startswith(prefix))
     return body.select(
-        sensor_key(_field("dwd_station_id")).alias("dwd_station_id"),
-        _field("von_datum").try_cast("long").alias("von_datum"),
-        _field("bis_datum").try_cast("long").alias("bis_datum"),
-        _field("altitude_m").try_cast("double").alias("altitude_m"),
-        _field("latitude").try_cast("double").alias("latitude"),
-        _field("longitude").try_cast("double").alias("longitude"),
-        _field("station_name").alias("station_name"),
-        _field("federal_state").alias("federal_state"),
+        sensor_key(_field(fields, "dwd_station_id")).alias("dwd_station_id"),
+        _field(fields, "von_datum").try_cast("long").alias("von_datum"),
+        _field(fields, "bis_datum").try_cast("long").alias("bis_datum"),
+        _field(fields, "altitude_m").try_cast("double").alias("altitude_m"),
+        _field(fields, "latitude").try_cast("double").alias("latitude"),
+        _field(fields, "longitude").try_cast("double").alias("longitude"),
+        _field(fields, "station_name").alias("station_name"),
+        _field(fields, "federal_state").alias("federal_state"),
     )

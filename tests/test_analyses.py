@@ -140,19 +140,35 @@ def facts(spark, rows):
 
 def test_replacement_touches_its_own_month_only(spark, tmp_path):
     path = str(tmp_path / "facts")
-    months.write_periods(facts(spark, [(1, "2026-05"), (2, "2026-06"), (3, "2026-06")]), path)
+    months.write_periods(facts(spark, [(1, "2026-05"), (2, "2026-06"), (3, "2026-06")]), path, ["2026-05", "2026-06"])
     delivery = facts(spark, [(4, "2026-06"), (5, "2026-07")])
     for _ in range(2):
-        months.write_periods(delivery, path)
+        months.write_periods(delivery, path, ["2026-06", "2026-07"])
         stored = {(r["id"], r["period"]) for r in spark.read.parquet(path).collect()}
         assert stored == {(1, "2026-05"), (4, "2026-06"), (5, "2026-07")}
 
 
+def test_an_empty_delivery_empties_its_month(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    months.write_periods(facts(spark, [(1, "2026-05"), (2, "2026-06")]), path, ["2026-05", "2026-06"])
+    nothing = facts(spark, [])
+    months.write_periods(nothing, path, ["2026-06"])
+    stored = spark.read.schema("id int, period string").parquet(path)
+    assert [tuple(r) for r in stored.collect()] == [(1, "2026-05")]
+    fresh = str(tmp_path / "fresh")
+    months.write_periods(nothing, fresh, ["2026-06"])
+    assert spark.read.schema("id int, period string").parquet(fresh).count() == 0
+    target = facts(spark, [(1, "2026-05"), (2, "2026-06"), (3, None)])
+    left = months.replace_periods(target, nothing, ["2026-06"])
+    assert sorted(r["id"] for r in left.collect()) == [1, 3]
+    assert "Join" not in left._jdf.queryExecution().executedPlan().toString()
+
+
 def test_replacement_as_a_table(spark):
     target = facts(spark, [(1, "2026-05"), (2, "2026-06"), (3, "2026-06")])
     delivery = facts(spark, [(4, "2026-06")])
-    once = months.replace_periods(target, delivery)
-    twice = months.replace_periods(once, delivery)
+    once = months.replace_periods(target, delivery, ["2026-06"])
+    twice = months.replace_periods(once, delivery, ["2026-06"])
     expected = [(1, "2026-05"), (4, "2026-06")]
     assert sorted(map(tuple, once.select("id", "period").collect())) == expected
     assert sorted(map(tuple, twice.select("id", "period").collect())) == expected
@@ -161,13 +177,22 @@ def test_replacement_as_a_table(spark):
 def test_retention_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "facts")
     labels = ["2025-05", "2025-06", "2025-07", "2026-06", "2026-07"]
-    months.write_periods(facts(spark, list(enumerate(labels))), path)
+    months.write_periods(facts(spark, list(enumerate(labels))), path, labels)
     kept = months.retained(spark.read.parquet(path), "2026-06")
     assert sorted(r["period"] for r in kept.collect()) == ["2025-07", "2026-06"]
     assert "PartitionFilters: [isnotnull(period" in kept._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["period"] for r in months.retained(facts(spark, [(1, "2025-12"), (2, "2026-01")]), "2026-01", 1).collect()) == ["2026-01"]
 
 
+def test_retention_of_an_archive_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    stamps = ["2025-06-30 23:59:59", "2025-07-01 00:00:00", "2026-06-30 23:59:59", "2026-07-01 00:00:00"]
+    spark.createDataFrame([(s,) for s in stamps], "s string").select(F.col("s").cast("timestamp").alias("at")).write.parquet(path)
+    kept = months.retained_rows(spark.read.parquet(path), "at", "2026-06")
+    assert sorted(str(r["at"]) for r in kept.collect()) == stamps[1:3]
+    assert "GreaterThanOrEqual(at" in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_canonical_month(spark):
     df = spark.sql(
         "SELECT explode(array(TIMESTAMP '2026-05-31 23:59:59', TIMESTAMP '2026-06-01 00:00:00', TIMESTAMP '2026-07-01 00:00:00')) AS ts"
@@ -177,7 +202,7 @@ def test_canonical_month(spark):
 
 
 def test_month_over_month(spark):
-    df = facts(spark, [(1, "2026-04"), (2, "2026-05"), (3, "2026-05"), (4, "2026-07")]).withColumn("source", F.lit("s"))
+    df = facts(spark, [(1, "2026-04"), (2, "2026-05"), (3, "2026-05"), (4, "2026-07"), (5, "2026-12"), (6, "2027-01")]).withColumn("source", F.lit("s"))
     out = months.month_over_month(df, {"n": F.count(F.lit(1))}, ["source"])
     got = {r["period"]: (r["n"], r["previous_n"], r["n_change"]) for r in out.collect()}
-    assert got == {"2026-04": (1, None, None), "2026-05": (2, 1, 1), "2026-07": (1, 2, -1)}
+    assert got == {"2026-04": (1, None, None), "2026-05": (2, 1, 1), "2026-07": (1, None, None), "2026-12": (1, None, None), "2027-01": (1, 1, 0)}

@@ -1,16 +1,19 @@
+import datetime
 import json
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
 from railctx.functions import keys
+from railctx.functions.keys import eva_key, sensor_key
 from railctx.operators import enrich
 from railctx.operators.readings import temperature_hourly, wind_hourly
 from railctx.operators.sensors import merge_networks, weather_stations
 from railctx.operators.stations import STATION_OBJECT, stations
 from railctx.operators.stops import train_stops
 from railctx.period import Period
-from railctx.session import BROADCAST_BYTES, broadcast_if_small, measured_bytes
+from railctx.plans import feeds
 from railctx.sources.fixed_width import sensor_listing
 
 JUNE = Period.month("2026-06")
@@ -40,13 +43,13 @@ def test_keys_and_values(spark):
     )
     assert [tuple(r) for r in out.collect()] == [
         ("00044", None, None, False),
-        ("12345", None, None, True),
+        ("123456", None, None, True),
         (None, 12.5, 12, None),
         ("00007", None, None, False),
         ("00008", None, None, False),
     ]
     numbers = spark.createDataFrame([(8000261,), (123456789,)], "n bigint")
-    assert [r[0] for r in numbers.select(keys.eva_key(F.col("n"))).collect()] == ["08000261", "12345678"]
+    assert [r[0] for r in numbers.select(keys.eva_key(F.col("n"))).collect()] == ["08000261", "123456789"]
 
 
 # Stations
@@ -289,9 +292,22 @@ def gold_inputs(spark):
     }
 
 
-@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0], ids=["broadcast", "pairs"])
-def test_enriched_stop(gold_inputs, limit):
-    gold = enrich.train_stop_weather(**gold_inputs, broadcast_bytes=limit)
+@pytest.mark.parametrize("limit", ["10m", "-1"], ids=["broadcast", "shuffled"])
+def test_enriched_stop(spark, gold_inputs, limit):
+    with broadcast_up_to(spark, limit):
+        check_enriched(enrich.train_stop_weather(**gold_inputs))
+
+
+@contextmanager
+def broadcast_up_to(spark, limit):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    yield
+    spark.conf.set(name, before)
+
+
+def check_enriched(gold):
     out = {r["id"]: r for r in rows(gold)}
     assert gold.count() == 10 and len(gold.columns) == 28
     assert out["s1"] == {
@@ -330,25 +346,52 @@ def test_enriched_stop(gold_inputs, limit):
     assert out["timeless"]["category"] == 1 and out["timeless"]["temp_celsius"] is None
 
 
-def test_both_plans_agree_on_repeated_lookup_rows(gold_inputs):
+def test_repeated_lookup_rows_multiply_stops(spark, gold_inputs):
     repeated = dict(gold_inputs)
     repeated["stations"] = gold_inputs["stations"].union(gold_inputs["stations"].limit(1))
     repeated["wind"] = gold_inputs["wind"].union(gold_inputs["wind"])
     key = lambda r: json.dumps(r, sort_keys=True)
-    small = sorted(rows(enrich.train_stop_weather(**repeated)), key=key)
-    large = sorted(rows(enrich.train_stop_weather(**repeated, broadcast_bytes=0)), key=key)
-    assert small == large and len(small) > 10
+    found = []
+    for limit in ("10m", "-1"):
+        with broadcast_up_to(spark, limit):
+            found.append(sorted(rows(enrich.train_stop_weather(**repeated)), key=key))
+    assert found[0] == found[1]
+    # Each of the four stops with a reading: twice by its station, twice by its wind.
+    assert len(found[0]) == 10 + 4 * 3 + 1
 
 
-def test_broadcast_plan_does_not_shuffle_stops(gold_inputs):
-    plan = enrich.train_stop_weather(**gold_inputs)._jdf.queryExecution().executedPlan().toString()
-    # The only sort-merge join puts the two EVA lookups together.
-    assert plan.count("LeftOuter, BuildRight") == 3 and plan.count("SortMergeJoin") == 1
-
-
-def test_size_check(spark):
-    small = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n bigint")
-    assert measured_bytes(small, small.limit(0)) == [2 * (32 + 16) + 3, 0]
-    hinted = broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted
-    assert "broadcast" not in broadcast_if_small(small, 10)._jdf.queryExecution().analyzed().toString()
+def test_stops_are_read_once_and_unlisted_ones_do_not_share_a_key(spark, gold_inputs, tmp_path):
+    path = str(tmp_path / "stops")
+    unlisted = [stop(f"u{i}", "7777777") for i in range(40)]
+    listed = [stop(f"s{i}") for i in range(40)]
+    train_stops(spark.createDataFrame(unlisted + listed, STOP.format(t="bigint"))).write.parquet(path)
+    with broadcast_up_to(spark, "-1"):
+        gold = enrich.train_stop_weather(**{**gold_inputs, "stops": spark.read.parquet(path)})
+        plan = gold._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1
+        out = rows(gold)
+    assert len(out) == 80 and sum(r["temp_celsius"] == 21.5 for r in out) == 40
+    keys = spark.read.parquet(path).select(F.lit(None).cast("string").alias("sensor"), "id").select(enrich._spread_key("sensor"))
+    assert keys.distinct().count() == 80
+
+
+def test_long_ids_stay_apart(spark):
+    numbers = spark.createDataFrame([(10000,), (100000,), (7,), (10000003,), (100000030,)], "n bigint")
+    sensors = [r[0] for r in numbers.select(sensor_key(F.col("n"))).collect()]
+    assert sensors == ["10000", "100000", "00007", "10000003", "100000030"]
+    evas = [r[0] for r in numbers.select(eva_key(F.col("n"))).collect()]
+    assert evas == ["00010000", "00100000", "00000007", "10000003", "100000030"]
+
+
+def test_feeds_keep_large_ids_apart(spark):
+    supplier = spark.createDataFrame(
+        [(k, f"s{k}", 3, 5000.0) for k in (10000, 100000, 1000000)], "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+    )
+    nation = spark.createDataFrame([(3, "N", 1)], "n_nationkey int, n_name string, n_regionkey int")
+    listed = sensor_listing(feeds.raw_sensor_lines(supplier, nation, F.lit(True)), feeds.LISTING)
+    assert sorted((r["dwd_station_id"], r["station_name"]) for r in rows(listed)) == [("10000", "s10000"), ("100000", "s100000"), ("1000000", "s1000000")]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    at = datetime.datetime(2024, 1, 5, 12)
+    events = [(i, at, u, kind, 10.0, '{"k": 5}') for i, (u, kind) in enumerate([(10000003, "view"), (10000003, "error"), (3, "error"), (12500000, "view"), (50000000, "view")])]
+    evas = [r["eva"] for r in rows(train_stops(feeds.raw_stops(spark.createDataFrame(events, schema))))]
+    assert len(set(evas)) == len(events)

@@ -22,6 +22,7 @@ from railctx.llm import (
     warc,
 )
 from railctx.llm.arrow import ship
+from railctx.llm.oracle import ORACLE
 
 #: A document scores as good from here on; one row in ``FOLDS`` is held out from learning.
 LEAST_QUALITY, FOLDS = 0.3, 5
@@ -29,6 +30,8 @@ LEAST_QUALITY, FOLDS = 0.3, 5
 CAPTURED = "2024-01-01T00:00:00Z"
 
 
+__all__ = ["ORACLE", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -117,5 +120,3 @@ QUERIES: dict[str, Query] = {
         op10_token_counts,
     )
 }
-
-ORACLE: dict[str, str] = {}

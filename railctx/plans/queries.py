@@ -17,6 +17,7 @@ from railctx.plans import feeds
 from railctx.plans.feeds import PERIOD, Feeds
 from railctx.period import Period
 from railctx.quality import coverage, expectations, grain, snapshot
+from railctx.session import materialize
 from railctx.sources import api_archive, delimited, fixed_width
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,30 +170,31 @@ def key_overflow(f: Feeds) -> DataFrame:
 
 
 def _documents(f: Feeds) -> DataFrame:
+    """Paths, sizes and digests of the texts; narrow, so that it can be kept and each text is hashed once."""
     return f.table("documents").select(
         "doc_id",
         "lang",
-        "text",
+        snapshot.digest(F.concat("text", F.lit("x"))).alias("altered_sha256"),
         F.concat(F.lit("texts/"), "doc_id", F.lit(".txt")).alias("relative_path"),
         F.octet_length("text").cast("long").alias("byte_size"),
         snapshot.digest(F.col("text")).alias("sha256"),
     )
 
 
-def landed_files(f: Feeds) -> DataFrame:
+def landed_files(f: Feeds, documents: DataFrame | None = None) -> DataFrame:
     talk = f.table("conversations").select(
         F.concat(F.lit("talks/"), "conv_id", F.lit("/"), "turn").alias("relative_path"),
         F.octet_length("text").cast("long").alias("byte_size"),
         snapshot.digest(F.col("text")).alias("sha256"),
     )
-    return _documents(f).select(*talk.columns).unionByName(talk)
+    return (_documents(f) if documents is None else documents).select(*talk.columns).unionByName(talk)
 
 
-def manifest_list(f: Feeds) -> DataFrame:
+def manifest_list(f: Feeds, documents: DataFrame | None = None) -> DataFrame:
     labels = f.table("labels").groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max("toxic").alias("toxic")
     )
-    doc = _documents(f).join(labels, "doc_id", "left")
+    doc = (_documents(f) if documents is None else documents).join(labels, "doc_id", "left")
     documents = doc.select(
         F.when(F.col("lang") == "fr", F.concat(F.lit("/"), "relative_path"))
         .when(F.col("lang") == "es", F.concat(F.lit("texts/../"), "relative_path"))
@@ -201,7 +203,7 @@ def manifest_list(f: Feeds) -> DataFrame:
         F.when(F.col("quality") == 0, F.col("byte_size") + 1)
         .otherwise(F.col("byte_size"))
         .alias("byte_size"),
-        F.when(F.col("toxic") == 1, snapshot.digest(F.concat("text", F.lit("x"))))
+        F.when(F.col("toxic") == 1, F.col("altered_sha256"))
         .otherwise(F.upper("sha256"))
         .alias("sha256"),
         F.when(F.col("toxic") == 1, "notes").otherwise("dwd_observation_txt").alias("role"),
@@ -224,19 +226,21 @@ def manifest_inventory(f: Feeds) -> DataFrame:
 
 
 def manifest_rule_audit(f: Feeds) -> DataFrame:
-    return snapshot.manifest_rule_audit(manifest_list(f))
+    return snapshot.manifest_rule_audit(materialize(manifest_list(f)))
 
 
 def snapshot_audit(f: Feeds) -> DataFrame:
-    return snapshot.snapshot_audit(manifest_list(f), landed_files(f))
+    documents = materialize(_documents(f))
+    return snapshot.snapshot_audit(manifest_list(f, documents), landed_files(f, documents))
 
 
 def snapshot_state(f: Feeds) -> DataFrame:
-    entries = manifest_list(f)
+    documents = materialize(_documents(f))
+    entries = materialize(manifest_list(f, documents))
     manifest = entries.agg(F.count(F.lit(1)).alias("entries")).select(
         F.lit(snapshot.MANIFEST_VERSION).alias("schema_version"), F.lit(PERIOD.label).alias("snapshot_id")
     )
-    audit = snapshot.snapshot_audit(entries, landed_files(f))
+    audit = snapshot.snapshot_audit(entries, landed_files(f, documents))
     return snapshot.snapshot_state(audit, manifest, PERIOD.label)
 
 

@@ -84,6 +84,10 @@ def delay_by_day(stops: DataFrame) -> DataFrame:
     return delay_summary(stops, [F.to_date("event_time_local").alias("local_day")])
 
 
+def delay_by_month(stops: DataFrame) -> DataFrame:
+    return delay_summary(stops, [F.date_format("event_time_local", "yyyy-MM").alias("local_month")])
+
+
 def delay_by_place(gold: DataFrame, late_after: int = LATE_AFTER_MIN) -> DataFrame:
     """Per station, per federal state and over all.
 

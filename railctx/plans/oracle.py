@@ -530,6 +530,19 @@ ORACLE: dict[str, str] = {
     "delay_by_train_type": _summary("train_stops", "train_type", "train_type"),
     "delay_by_hour": _summary("train_stops", "CAST(hour(event_time_local) AS INTEGER)", "local_hour"),
     "delay_by_day": _summary("train_stops", "date_trunc('day', event_time_local)", "local_day"),
+    "delay_by_month": _summary("train_stops", "strftime(event_time_local, '%Y-%m')", "local_month"),
+    "text_clocks": """
+        WITH noted AS (
+            SELECT o_orderkey AS k, o_orderdate + ((o_orderkey * 37) % 1440) * INTERVAL 1 MINUTE AS moment FROM orders
+        ),
+        texts AS (
+            SELECT CASE k % 3 WHEN 0 THEN strftime(moment, '%Y-%m-%d %H:%M:%S')
+                        WHEN 1 THEN CAST(epoch_us(moment) * 1000 AS VARCHAR) ELSE 'noted ' || (k % 7) END AS text,
+                   CASE WHEN k % 3 < 2 THEN moment END AS moment
+            FROM noted
+        )
+        SELECT text, count(*) AS orders, any_value(moment) AS clock, epoch_us(any_value(moment)) * 1000 AS nanos
+        FROM texts GROUP BY text""",
     "delay_by_place": f"""{_with(_RAW)},
         grouped AS (
             SELECT CAST(grouping(federal_state, ts.eva) AS BIGINT) AS level, federal_state, ts.eva, {_ADDITIVE}

@@ -11,7 +11,15 @@ from pyspark.sql import types as T
 from railctx import contracts
 from railctx.analytics import delays, distances
 from railctx.functions.geo import haversine_km
-from railctx.functions.time import is_ambiguous_local, is_skipped_local, local_to_utc
+from railctx.functions.time import (
+    TEXT,
+    clock_to_nanos,
+    is_ambiguous_local,
+    is_skipped_local,
+    local_to_utc,
+    raw_nanos,
+    wall_clock,
+)
 from railctx.operators import months
 from railctx.plans import feeds
 from railctx.plans.feeds import PERIOD, Feeds
@@ -266,6 +274,19 @@ def local_clock_flags(f: Feeds) -> DataFrame:
     )
 
 
+def text_clocks(f: Feeds) -> DataFrame:
+    """Order times noted as text: a date and time, a nanosecond count, or nothing readable."""
+    key = F.col("o_orderkey")
+    clock = F.timestamp_add("MINUTE", (key * 37 % 1440).cast("int"), F.col("o_orderdate").cast("timestamp"))
+    text = (
+        F.when(key % 3 == 0, F.date_format(clock, "yyyy-MM-dd HH:mm:ss"))
+        .when(key % 3 == 1, clock_to_nanos(clock).cast("string"))
+        .otherwise(F.concat(F.lit("noted "), key % 7))
+    )
+    noted = f.table("orders").groupBy(text.alias("text")).agg(F.count(F.lit(1)).alias("orders"))
+    return noted.withColumns({"clock": wall_clock(F.col("text"), TEXT), "nanos": raw_nanos(F.col("text"), TEXT)})
+
+
 def haversine_pairs(f: Feeds) -> DataFrame:
     """Distance between customer and supplier for every pair that traded."""
     traded = (
@@ -343,6 +364,10 @@ def delay_by_day(f: Feeds) -> DataFrame:
     return delays.delay_by_day(f.stops)
 
 
+def delay_by_month(f: Feeds) -> DataFrame:
+    return delays.delay_by_month(f.stops)
+
+
 def delay_by_place(f: Feeds) -> DataFrame:
     return delays.delay_by_place(_located_stops(f))
 
@@ -435,6 +460,7 @@ QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
         snapshot_audit,
         snapshot_state,
         local_clock_flags,
+        text_clocks,
         haversine_pairs,
         nearest_sensor_mapping,
         stops_enriched,
@@ -448,6 +474,7 @@ QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
         delay_by_train_type,
         delay_by_hour,
         delay_by_day,
+        delay_by_month,
         delay_by_place,
         delay_hotspots,
         delay_by_weather,

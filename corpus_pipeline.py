@@ -21,8 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the compression classifier scores below the bar. Texts without words carry
-    nothing it could judge and are left to the rules."""
+    """Drop documents that the compression classifier scores below the bar."""
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     classifier = quality_classifier.fit(docs, labels, ~held_out(F.col("doc_id")))

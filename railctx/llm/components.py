@@ -10,8 +10,9 @@ from railctx.llm.arrow import written
 
 def _least(both: DataFrame) -> DataFrame:
     """For each u the smallest of itself and its neighbours, beside each neighbour v."""
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u")
+    dealt = both.repartition("u")  # one shuffle for the minima and the join
+    least = dealt.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return dealt.join(least, "u")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while not _is_done(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = written(_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = written(_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         # Here u > v already, so the neighbours at hand are the smaller ones.
         small = _least(large)
         hung = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

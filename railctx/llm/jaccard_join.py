@@ -50,7 +50,7 @@ PLACES = 24
 #: A task keeps the sets of points it met last, up to so many shingles.
 _HELD_SHINGLES = 4_000_000
 #: Pivots that meet a chunk of points in one task.
-BLOCK, CHUNK = 64, 4096
+BLOCK, CHUNK = 64, 512
 _FACTORS = np.random.default_rng(5).integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -380,14 +380,13 @@ def rooted(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WOR
     rare = written(fitting(rare_pairs(sign.select("point", "rare")), points))
     ends = rare.select(F.col("a").alias("point")).unionByName(rare.select(F.col("b").alias("point")))
     found = [written(measured(rare, texts_of(ends), words).where(linked).select("a", "b"))]
-    roots = connected()
 
     # Cells with the same first pivot are one region: who shares a cell shares that region.
     cells = sign.select("point", F.explode("common").alias("cell")).distinct()
     first_pivot = cells.groupBy("cell").agg(F.min("point").alias("region"), F.count(F.lit(1)).alias("points")).where("points > 1")
     regions = written(cells.join(first_pivot, "cell").select("region", "point").distinct())
     if regions.isEmpty():
-        return roots
+        return connected()
     # What few points of the regions share is settled by pairs; what is left to find is shared
     # by many, so a point with too few such shingles is out of question.
     texts = texts_of(regions.select("point"))
@@ -420,7 +419,7 @@ def rooted(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WOR
             rest = _split(rest, met.where("near is not null").select("region", F.col("a").alias("point"), "near"))
         members = written(_hopeful(rest.join(shapes, "point")))
         roots = connected()
-        k *= 4
+        k *= 16
 
 
 def _meet_pivots(members: DataFrame, pivots: DataFrame, texts: DataFrame, words: int) -> DataFrame:

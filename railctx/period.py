@@ -38,6 +38,12 @@ class Period:
         """Last day inside the period as YYYYMMDD."""
         return int((self.end - timedelta(days=1)).strftime("%Y%m%d"))
 
+    @property
+    def nanos(self) -> tuple[int, int]:
+        """Both ends as zone-less nanoseconds, as the stop feed stores its local clock."""
+        day = 24 * 3600 * 10**9
+        return tuple((d - date(1970, 1, 1)).days * day for d in (self.start, self.end))
+
     @property
     def start_utc(self) -> Column:
         return F.lit(f"{self.start.isoformat()}T00:00:00Z").cast("timestamp")

@@ -15,9 +15,10 @@ from railctx.operators.sensors import station_weather_mapping, weather_stations
 from railctx.operators.stations import stations
 from railctx.operators.stops import train_stops
 from railctx.period import Period
+from railctx.plans.gate import require_sources
 from railctx.quality.expectations import observed
 from railctx.session import require_utc, together
-from railctx.sources.delimited import read_observations
+from railctx.sources.delimited import TEMPERATURE_FIELDS, WIND_FIELDS, named_fields, read_observation_lines
 from railctx.sources.fixed_width import read_lines
 from railctx.sources.landing import LandingPaths
 from railctx.sources.railway import read_stops
@@ -30,7 +31,8 @@ class MonthlyRun:
 
     Every table is written before the next one reads it: the lookups of the enrichment are
     then measured from stored files, and a lost executor costs one table, not the month.
-    Each write replaces its own period only and counts the expectations on the way.
+    Each write replaces its own period only and counts the expectations on the way. Nothing is
+    published from sources that ``require_sources`` rejects.
     """
 
     spark: SparkSession
@@ -51,9 +53,20 @@ class MonthlyRun:
         write_periods(with_period(rows, self.period), f"{self.output.rstrip('/')}/{table}", [self.period.label])
         return counters.get
 
+    def observations(self, path: str, fields: list[str]) -> DataFrame:
+        """Readings by the header of their own file, whatever the order of its fields."""
+        return named_fields(read_observation_lines(self.spark, path), fields)
+
+    def stops(self) -> DataFrame:
+        """Stops of the month by the stored integer, which reaches the scan; those without a time stay."""
+        time = F.col("time")
+        low, high = self.period.nanos
+        return read_stops(self.spark, self.landing.stops).where(time.isNull() | ((time >= low) & (time < high)))
+
     def run(self) -> dict[str, dict[str, int]]:
         require_utc(self.spark)
         spark, landing, period = self.spark, self.landing, self.period
+        require_sources(spark, landing, period)
         report = together(
             spark,
             {
@@ -70,13 +83,13 @@ class MonthlyRun:
                 ),
                 "temperature_hourly": lambda: self.publish(
                     "temperature_hourly",
-                    temperature_hourly(read_observations(spark, landing.temperature_files), period),
+                    temperature_hourly(self.observations(landing.temperature_files, TEMPERATURE_FIELDS), period),
                 ),
                 "wind_hourly": lambda: self.publish(
-                    "wind_hourly", wind_hourly(read_observations(spark, landing.wind_files), period)
+                    "wind_hourly", wind_hourly(self.observations(landing.wind_files, WIND_FIELDS), period)
                 ),
                 "train_stops": lambda: self.publish(
-                    "train_stops", train_stops(read_stops(spark, landing.stops))
+                    "train_stops", train_stops(self.stops())
                 ),
             },
         )

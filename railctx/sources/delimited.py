@@ -15,6 +15,7 @@ OBSERVATION_ENCODING = "ISO-8859-1"
 # Fixed field names of the two observation feeds.
 TEMPERATURE_FIELDS = ["STATIONS_ID", "MESS_DATUM", "QN_9", "TT_TU", "RF_TU"]
 WIND_FIELDS = ["STATIONS_ID", "MESS_DATUM", "QN_3", "F", "D"]
+STAMP_FIELD = "MESS_DATUM"
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
@@ -88,16 +89,22 @@ def named_fields(lines: DataFrame, names: Sequence[str]) -> DataFrame:
 def observation_file_audit(lines: DataFrame, required: Sequence[str], period: Period) -> DataFrame:
     """Per file: missing header fields, field order, and readings inside the period.
 
-    One aggregate per file with partial sums; a stamp counts only when it is the stamp
-    field of the line, not when its digits turn up elsewhere.
+    A stamp is looked up where the file's own header has it; in a file without a header, in the
+    second field, where the feed has it. Blank lines are no readings.
     """
     value = F.col("value")
     header = _is_header(value)
-    stamp = parse_hour_stamp(F.get(_fields(value), F.lit(1)))
-    per_file = lines.groupBy("file").agg(
-        F.max(F.when(header, value)).alias("header"),
-        F.count_if(~header).alias("readings"),
-        F.count_if(~header & period.holds_instant(stamp)).alias("in_period"),
+    reading = ~header & (F.length(F.trim(value)) > 0)
+    place = F.coalesce(F.nullif(F.array_position("fields", STAMP_FIELD), F.lit(0)), F.lit(2))
+    stamp = parse_hour_stamp(F.get(_fields(value), (place - 1).cast("int")))
+    per_file = (
+        lines.join(file_headers(lines), "file", "left")
+        .groupBy("file")
+        .agg(
+            F.max(F.when(header, value)).alias("header"),
+            F.count_if(reading).alias("readings"),
+            F.count_if(reading & period.holds_instant(stamp)).alias("in_period"),
+        )
     )
     found = F.coalesce(_fields(F.col("header")), F.array().cast("array<string>"))
     wanted = F.array(*[F.lit(name) for name in required])

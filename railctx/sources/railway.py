@@ -29,5 +29,20 @@ STOP_COLUMNS = """
 """
 
 
+def stop_columns() -> list[str]:
+    return [line.split()[0] for line in STOP_COLUMNS.strip().splitlines()]
+
+
+def stored_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a delivery really has; Spark infers them only if nanoseconds may be integers."""
+    name = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        return spark.read.parquet(path).columns
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_stops(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STOP_COLUMNS).parquet(path)

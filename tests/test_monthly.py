@@ -8,6 +8,7 @@ import pytest
 
 from railctx.contracts import CONTRACTS, contract_diff
 from railctx.period import Period
+from railctx.plans.gate import SourceRejected
 from railctx.plans.monthly import MonthlyRun
 from railctx.sources.landing import LandingPaths
 
@@ -105,3 +106,70 @@ def test_second_month_and_rerun_leave_the_first_alone(spark, june, tmp_path):
     assert run.run() == report
     assert sorted(map(str, run.read("train_stop_weather").collect())) == before
     assert second.read("train_stop_weather").count() == 1
+
+
+def refused(spark, root, change):
+    """Findings for a sound landing after ``change`` has spoilt it; nothing may be published."""
+    paths = land(root, JUNE, STOPS)
+    change(root, paths)
+    output = root / "tables"
+    with pytest.raises(SourceRejected) as caught:
+        MonthlyRun(spark, paths, JUNE, str(output)).run()
+    assert not output.exists()
+    return caught.value.findings
+
+
+def test_missing_column_is_refused(spark, tmp_path):
+    def change(root, paths):
+        pq.write_table(pq.read_table(root / paths.stops).select(["id", "eva"]), root / paths.stops)
+
+    (finding,) = refused(spark, tmp_path, change)
+    assert finding.startswith("stops lack station_name,") and "time" in finding
+
+
+def test_empty_or_foreign_stops_are_refused(spark, tmp_path):
+    def empty(root, paths):
+        pq.write_table(pq.read_table(root / paths.stops).slice(0, 0), root / paths.stops)
+
+    assert refused(spark, tmp_path / "a", empty) == ["stops are empty"]
+
+    def foreign(root, paths):
+        land(root, JUNE, [("s1", "8000261", HALF_PAST_TWO + 40 * 24 * 3600 * 10**9)])
+
+    assert refused(spark, tmp_path / "b", foreign) == ["no stop lies in 2026-06"]
+
+
+def test_unfit_observations_are_refused(spark, tmp_path):
+    def change(root, paths):
+        folder = (root / paths.temperature_files).parent
+        folder.joinpath("produkt_tu_stunde_1.txt").write_text("STATIONS_ID;MESS_DATUM;QN_9;TT_TU;eor\n3379;2025010112;3;21.5;eor\n")
+        next((root / paths.wind_files).parent.glob("*.txt")).write_text("")
+
+    assert refused(spark, tmp_path, change) == [
+        "1 of 1 temperature files lack fields, produkt_tu_stunde_1.txt lacks RF_TU",
+        "no temperature reading lies in 2026-06",
+        "wind files are empty",
+    ]
+
+
+def test_missing_files_are_refused(spark, tmp_path):
+    def change(root, paths):
+        paths.__dict__["wind_files"] = str(root / "nowhere" / "*.txt")
+
+    (finding,) = refused(spark, tmp_path, change)
+    assert finding.startswith("wind cannot be read")
+
+
+def test_files_with_other_field_order_and_foreign_stops(spark, tmp_path):
+    month = 40 * 24 * 3600 * 10**9
+    paths = land(tmp_path, JUNE, [*STOPS, ("late", "8000261", HALF_PAST_TWO + month)])
+    folder = (tmp_path / paths.temperature_files).parent
+    folder.joinpath("produkt_tu_stunde_0.txt").write_text(
+        "STATIONS_ID;QN_9;RF_TU;TT_TU;MESS_DATUM;eor\n3379;3;40.0;19.5;2026060113;eor\n\n"
+    )
+    run = MonthlyRun(spark, paths, JUNE, str(tmp_path / "tables"))
+    assert run.run()["train_stops"]["row_count"] == 3
+    readings = {(str(r["observation_hour_utc"]), r["temp_celsius"], r["humidity_pct"]) for r in run.read("temperature_hourly").collect()}
+    assert readings == {("2026-06-01 12:00:00", 21.5, 48.0), ("2026-06-01 13:00:00", 19.5, 40.0)}
+    plan = run.stops()._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(time" in plan

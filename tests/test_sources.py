@@ -197,3 +197,11 @@ def test_landing_paths(spark, monkeypatch):
         assert LandingPaths.resolve(spark, JUNE, "/given").station_json == "/given/stada/stada_stations.json"
     finally:
         spark.conf.unset("railctx.landing")
+
+
+def test_audit_follows_the_header_and_skips_blank_lines(spark):
+    lines = spark.createDataFrame(
+        [("a", "STATIONS_ID;QN_9;MESS_DATUM;TT_TU;RF_TU"), ("a", "3379;3;2026060112;1.0;2.0"), ("a", ""), ("a", "  ")], "file string, value string"
+    )
+    row = delimited.observation_file_audit(lines, delimited.TEMPERATURE_FIELDS, JUNE).first()
+    assert (row["readings"], row["in_period"], row["covers_period"], row["order_differs"]) == (1, 1, True, True)

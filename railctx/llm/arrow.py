@@ -76,7 +76,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 class Memo(dict):
     """What a word becomes (never None), computed once per worker process; emptied when ``limit`` words are held."""
 
-    def __init__(self, compute: Callable[[list], Iterable], limit: int = 400_000):
+    def __init__(self, compute: Callable[[list], Iterable], limit: int = 500_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 

@@ -48,7 +48,7 @@ LEAF = 8
 #: Places of the table of counts, as a power of two; one byte each, whatever the corpus.
 PLACES = 24
 #: A task keeps the sets of points it met last, up to so many shingles.
-_HELD_SHINGLES = 4_000_000
+_HELD_SHINGLES = 1_000_000
 #: Pivots that meet a chunk of points in one task.
 BLOCK, CHUNK = 64, 512
 _FACTORS = np.random.default_rng(5).integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,7 +58,7 @@ class _Hashes(dict):
     """Hash of each word; emptied when it grows beyond a fixed size."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -107,6 +107,13 @@ def _buckets(values: np.ndarray, bits: int) -> list[tuple[int, slice]]:
     return [(int(tops[a]), slice(a, b)) for a, b in zip(starts, ends, strict=True)]
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that a task holds the sets of few documents at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _bits(df: DataFrame) -> int:
     """Bits that deal hashes out: as many buckets as the session has shuffle partitions."""
     return max(6, min(16, (int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
@@ -121,7 +128,7 @@ def levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     bits = _bits(docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingles(t, words) for t in batch.column(0).to_pylist()]
             every = np.concatenate([np.zeros(0, np.uint64), *sets])
             values, counts = np.unique((every >> np.uint64(32)).astype(np.uint32), return_counts=True)
@@ -170,7 +177,7 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of, shift = table.value, np.uint64(64 - PLACES)
-        for batch in batches:
+        for batch in _slices(batches):
             sizes, points, rare, common = [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingles(text, words)
@@ -201,7 +208,7 @@ def _dealt(points: DataFrame, set_of: Callable[[Any], np.ndarray]) -> DataFrame:
     bits = _bits(points)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [set_of(x) for x in batch.column(1).to_pylist()]
             values = np.concatenate([np.zeros(0, np.uint64), *sets])
             owners = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])

@@ -48,7 +48,7 @@ def word_coder(path: str) -> Memo:
             cuts = np.searchsorted(begins, places)
             return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-        _coders[path] = Memo(encode, 1_000_000)
+        _coders[path] = Memo(encode)
     return _coders[path]
 
 

@@ -30,10 +30,16 @@ from railctx.llm.arrow import map_rows
 VERSION = "WARC/1.1"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the namespace of URLs, fixed by RFC 4122
 
-_SKIPPED = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript|head)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
+_SKIPPED = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
+# The end tag of a head may be left out; it ends before the first text or tag that cannot stand in it.
+_HEAD = re.compile(
+    r"<head(?=[\s/>])[^>]*>(?:\s|<!--.*?(?:-->|$)|<(title|script|style|template|noscript)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)"
+    r"|<(?:base|link|meta)(?=[\s/>])[^>]*>)*+(?:</head\s*>)?",
+    re.S | re.I,
+)
 _INLINE = re.compile(r"</?(?:a|abbr|b|bdi|bdo|cite|code|dfn|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|tt|u|var|wbr)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)</title\s*>", re.S | re.I)
 _LINK = re.compile(r"""<(a|link|img|iframe|form)\b[^>]*?\b(?:href|src|action)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
@@ -109,12 +115,13 @@ def http(block: bytes) -> tuple[int | None, list[tuple[str, str]], bytes]:
 
 def plain_text(page: str) -> str:
     """All visible text: a line per block, white space inside it as one space."""
-    page = _TAG.sub("\n", _INLINE.sub("", _SKIPPED.sub("\n", page).replace("\n", " ")))
+    page = _TAG.sub("\n", _INLINE.sub("", _SKIPPED.sub("\n", _HEAD.sub("\n", page)).replace("\n", " ")))
     lines = (" ".join(html.unescape(line).split()) for line in page.split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def links(page: str) -> list[dict[str, str]]:
+    """Links of the whole page in order, those of its head included."""
     page = _SKIPPED.sub(" ", page)
     return [{"tag": m[1].lower(), "url": html.unescape(m[2] or m[3] or m[4] or "")} for m in _LINK.finditer(page)]
 

@@ -118,3 +118,24 @@ def test_plain_text_and_links():
     page = "<title>A  b</title><p>x <b>y</b>z</p><script>no</script><a href='/q?a=1&amp;b'>l</a><img src=i.png>"
     assert warc.plain_text(page).split("\n")[1:] == ["x yz", "l"]
     assert warc.links(page) == [{"tag": "a", "url": "/q?a=1&b"}, {"tag": "img", "url": "i.png"}]
+
+
+def test_open_head():
+    page = "<html><head><title>T</title><meta charset=utf-8><link rel=icon href=i.ico>{}<article><p>the text</p><a href=/l>l</a></article>"
+    for start in ("<body>", "", "</head><body>"):
+        assert html_text.extract(page.format(start), None) == "the text l"
+        assert warc.plain_text(page.format(start)).split("\n") == ["the text", "l"]
+        assert {"tag": "a", "url": "/l"} in warc.links(page.format(start))
+    assert html_text.extract("<head><title>T</title>words <b>only</b>", None) == "words only"
+
+
+@pytest.mark.parametrize("name", ["svg-icon", "title-bar", "select-box", "object-card", "script-note", "template-part"])
+def test_custom_elements_are_not_raw(name):
+    page = f"<body><article><p>before</p><{name}>inside</{name}><p>after</p></article>"
+    assert html_text.extract(page, None) == "before inside after"
+    assert warc.plain_text(page).split() == ["before", "inside", "after"]
+
+
+def test_formulas_are_text():
+    page = "<body><article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>"
+    assert html_text.extract(page, None) == "where x = 2 holds"

@@ -4,8 +4,8 @@ Two zstandard dictionaries are built from labelled text, one from good and one f
 is compressed with each, block by block, so that a long text does not become its own dictionary.
 The difference of the two sizes over their sum, together with the size over the raw size, goes
 through a logistic curve fitted on labelled texts that are in neither dictionary. Every byte of
-every text is scored; only the fit uses a sample, of at most ``class_rows`` labelled texts per
-class, each of at most ``most_chars`` characters.
+every text is scored; only the fit uses a sample: of each class the ``class_rows`` labelled texts with the smallest hash
+of their id, among those of at most ``most_chars`` characters.
 
 Defined cases: null or empty text is scored by the curve at no difference and no compression;
 rows without a label are scored only; a text with several labels counts with the smallest; with
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railctx.llm.arrow import keyed_text, map_rows
@@ -113,16 +113,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, class_rows: int = CLA
     )
     counts = {row["quality"]: row["count"] for row in marked.groupBy("quality").count().collect()}
     total = {c: counts.get(c, 0) for c in (0, 1)}
-    # A hash of the id picks the sample; twice what is wanted, as some texts are too long or missing.
-    spread = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
-    wanted = [(F.col("quality") == c) & (spread < int(min(1.0, 2 * class_rows / max(1, total[c])) * (1 << 30))) for c in (0, 1)]
-    picked = marked.where(wanted[0] | wanted[1])
+    # Of each class the smallest by a hash of the id, among texts that can be used; ids first, so that no other text moves.
     short = keyed_text(docs).where((F.length("text") <= most_chars) & (F.length("text") > 0))
-    rows = short.join(picked, "doc_id").select("doc_id", "quality", "text").limit(4 * class_rows).collect()
+    spread = F.xxhash64("doc_id", F.lit("sample"))
+    usable = marked.join(short.select("doc_id"), "doc_id", "left_semi").withColumn("spread", spread)
+    picked = [usable.where(F.col("quality") == c).orderBy("spread", "doc_id").limit(class_rows) for c in (0, 1)]
+    texts = short.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").distinct()
+    # An id may stand for several texts.
+    order = Window.partitionBy("quality").orderBy("spread", "doc_id", "text")
+    rows = texts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= class_rows).collect()
     by_class: dict[int, list[str]] = {0: [], 1: []}
-    for row in sorted(set((r["doc_id"], r["quality"], r["text"]) for r in rows)):
-        if len(by_class[row[1]]) < class_rows:
-            by_class[row[1]].append(row[2])
+    for row in sorted(rows, key=lambda r: r["place"]):
+        by_class[row["quality"]].append(row["text"])
     share = (total[1] + 1) / (total[0] + total[1] + 2)
     if min(len(by_class[0]), len(by_class[1])) < 2:
         return Classifier(b"", b"", (math.log(share / (1 - share)), 0.0, 0.0))

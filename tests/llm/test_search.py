@@ -233,3 +233,19 @@ def test_classifier_edges(spark):
         scores = {r.doc_id: r.score for r in quality_classifier.scores(docs, classifier).collect()}
         assert len(scores) == 64 and all(0 <= s <= 1 for s in scores.values()) and scores[900] == scores[901]
     assert quality_classifier.scores(spark.createDataFrame([], DOCS), classifier).count() == 0
+
+
+def test_sample_is_picked_by_a_hash_of_the_id(spark, monkeypatch):
+    """Good texts say their id; those that are learned from come from the whole range, in no order of partitions."""
+    rows = [(f"good{i} " * 8 if i % 4 else f"BAD{i}!! " * 8, 1, i, 1, "s") for i in range(2000)]
+    marks = spark.createDataFrame([(i, int(i % 4 > 0), "x") for i in range(2000)], "doc_id long, quality int, score string")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "dictionary", lambda texts: seen.append(texts) or b"".join(t.encode() for t in texts))
+    fitted = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, DOCS).repartition(parts, "doc_id")
+        fitted.append(quality_classifier.fit(docs, marks, F.lit(True), class_rows=100))
+    assert fitted[0] == fitted[1] and [len(t) for t in seen] == [50] * 4
+    for texts in seen[:2]:
+        ids = sorted(int("".join(c for c in t.split()[0] if c.isdigit())) for t in texts)
+        assert 700 < ids[len(ids) // 2] < 1300 and ids[-1] > 1800

@@ -169,7 +169,7 @@ def _columns(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per row: doc_id, n, point (the hash of its set), and the shingles that name its cells.
+    """Per row: doc_id, mark (the hash of its text), n, point (the hash of its set), and the shingles that name its cells.
 
     ``rare`` are those that few documents have, packed; ``common`` are the others.
     """
@@ -192,15 +192,17 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(sizes, pa.int64()),
                     pa.array(points, pa.int64()),
                     pa.array(rare, pa.binary()),
                     pa.array(common, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n", "point", "rare", "common"],
+                names=["doc_id", "mark", "n", "point", "rare", "common"],
             )
 
-    return keyed_text(docs).mapInArrow(run, "doc_id long, n long, point long, rare binary, common array<long>")
+    marked = keyed_text(docs).withColumn("mark", F.xxhash64("text"))
+    return marked.mapInArrow(run, "doc_id long, mark long, n long, point long, rare binary, common array<long>")
 
 
 def _dealt(points: DataFrame, set_of: Callable[[Any], np.ndarray]) -> DataFrame:
@@ -293,7 +295,10 @@ def shared_shapes(texts: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def _chosen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of ``wanted`` (doc_id, point): point, text. A bitmap of fixed size drops most other rows before the shuffle."""
+    """One text for each of ``wanted`` (doc_id, mark, point): point, text. A bitmap of fixed size drops most other rows before the shuffle.
+
+    An id may stand for several texts, so a text is known by its id and mark; rows that repeat both are one.
+    """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << PLACES))
     chunks = (
         wanted.select(place.alias("place"))
@@ -313,8 +318,8 @@ def _chosen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     placed = keyed_text(docs).where("doc_id is not null").withColumn("place", place)
     placed = placed.select("doc_id", "text", F.bitmap_bucket_number("place"), F.bitmap_bit_position("place"))
-    # An id may stand for several texts; the point is checked again where distances are measured.
-    return placed.mapInArrow(drop, "doc_id long, text string").join(wanted, "doc_id").select("point", "text")
+    found = placed.mapInArrow(drop, "doc_id long, text string").withColumn("mark", F.xxhash64("text"))
+    return found.join(wanted, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("point", "text")
 
 
 def measured(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
@@ -373,11 +378,11 @@ def fitting(pairs: DataFrame, points: DataFrame) -> DataFrame:
 def rooted(docs: DataFrame, points: DataFrame, sign: DataFrame, words: int = WORDS) -> DataFrame:
     """Every linked point with the root of its component: id, root.
 
-    ``points``: point, doc_id, n, n_common; ``sign``: what ``signed`` gives.
+    ``points``: point, doc_id and mark of one of its rows, n, n_common; ``sign``: what ``signed`` gives.
     """
 
     def texts_of(wanted: DataFrame) -> DataFrame:
-        return written(_chosen(docs, points.select("doc_id", "point").join(wanted.distinct(), "point")))
+        return written(_chosen(docs, points.select("doc_id", "mark", "point").join(wanted.distinct(), "point")))
 
     def connected() -> DataFrame:
         return components(reduce(DataFrame.unionByName, found).select(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -533,8 +538,10 @@ def groups(docs: DataFrame, words: int = WORDS, doc_id: str = "doc_id", text: st
     plain = keyed_text(docs, doc_id, text)
     sign = written(signed(plain, words))
     points = sign.where("point is not null").groupBy("point")
-    points = points.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first(F.size("common")).alias("n_common"))
-    points = written(points)
+    # Rows without an id come last, as their texts cannot be looked up.
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark"))
+    points = points.agg(least.alias("least"), F.first("n").alias("n"), F.first(F.size("common")).alias("n_common"))
+    points = written(points.select("point", "least.doc_id", "least.mark", "n", "n_common"))
     roots = rooted(plain, points, sign, words).select(F.col("id").alias("point"), "root")
     known = written(points.join(roots, "point", "left").select("point", "doc_id", F.coalesce("root", "point").alias("root")))
     smallest = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))

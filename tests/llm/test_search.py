@@ -158,6 +158,22 @@ def test_groups(spark, seed, groups, copies):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute_groups(rows)
 
 
+@pytest.mark.parametrize("seed,groups,copies", [(1, 60, 3), (2, 6, 45)])
+def test_an_id_may_stand_for_several_texts(spark, seed, groups, copies):
+    texts = near_copies(seed, groups, copies)
+    rows = [(100 + i // 2, t) for i, t in enumerate(texts)] + [(101, texts[2])] * 4
+    got = jaccard_join.groups(documents(spark, rows))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute_groups(rows)
+
+
+def test_one_text_for_each_point(spark):
+    rows = [(1, "a b c d e f"), (1, "g h i j k l"), (1, "a b c d e f"), (2, "g h i j k l")]
+    docs = documents(spark, rows).select("doc_id", "text")
+    sign = jaccard_join.signed(docs).select("doc_id", "mark", "point").distinct()
+    found = jaccard_join._chosen(docs, sign.where("doc_id = 1")).collect()
+    assert len({r.point for r in found}) == 2 and sorted(r.text for r in found) == ["a b c d e f", "g h i j k l"]
+
+
 def test_chains_and_windows(spark):
     """Each text is linked with the next only, and all share shingles, so regions must replicate their border."""
     rng = random.Random(9)

@@ -40,9 +40,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens, none of which crosses documents."""
+    """Sequences of at most 4096 token ids, none of which crosses documents."""
     ship(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -13,15 +13,21 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from railctx.llm.arrow import Memo, keyed_text, map_rows, written
+from railctx.llm.arrow import Memo, keyed_text, written
 
 CAPACITY = 4096
 END = 2
+#: Rows leave a task when they hold so many ids.
+BATCH_IDS = 1 << 20
 
 _coders: dict[str, Memo] = {}
 
@@ -64,23 +70,52 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
         raise ValueError("capacity must be a power of two")
     last = np.array([end], "<u4").tobytes()
 
-    def rows():
-        coder = word_coder(tokenizer)
-
-        def cut(row):
-            doc_id, text = row
-            data = b"".join(coder.of(text.encode().split())) + last
-            total, start = len(data) // 4, 0
-            for length in piece_lengths(total, capacity):
-                ids = data[4 * start : 4 * (start + length)]
-                held = (np.frombuffer(ids, "<i4").tolist(),) if with_ids else ()
-                yield (doc_id, start, length, zlib.crc32(ids), total, *held)
-                start += length
+    schema = T._parse_datatype_string("doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
+    arrow = to_arrow_schema(schema)
 
-        return cut
+    def batch(rows: list[tuple], held: list[bytes]) -> pa.RecordBatch:
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=False)]
+        if with_ids:
+            ends = np.cumsum([0] + [row[2] for row in rows]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(held), "<i4")), type=arrow.field("ids").type))
+        return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    return map_rows(keyed_text(docs, **columns), rows, schema + ", ids array<int>" * with_ids, 64 if with_ids else 2048)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = word_coder(tokenizer)
+        rows, held, room = [], [], BATCH_IDS
+        for part in batches:
+            for k in range(part.num_rows):
+                doc_id, text = part.column(0)[k].as_py(), part.column(1)[k].as_py()
+                data = b"".join(coder.of(text.encode().split())) + last
+                total, start = len(data) // 4, 0
+                for length in piece_lengths(total, capacity):
+                    ids = data[4 * start : 4 * (start + length)]
+                    rows.append((doc_id, start, length, zlib.crc32(ids), total))
+                    held.append(ids if with_ids else b"")
+                    start += length
+                    room -= length
+                    if room <= 0 or len(rows) >= 2048:
+                        yield batch(rows, held)
+                        rows, held, room = [], [], BATCH_IDS
+        if rows:
+            yield batch(rows, held)
+
+    return keyed_text(docs, **columns).mapInArrow(run, schema)
+
+
+def digested(packed: DataFrame) -> DataFrame:
+    """Packed rows with the checksum of the ids they hold in place of the ids."""
+    names = [c for c in packed.columns if c not in ("ids", "ids_crc32")]
+    schema = T.StructType([packed.schema[c] for c in names] + [T.StructField("ids_crc32", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, ids = batch.columns
+            data, ends = memoryview(ids.values.to_numpy().astype("<i4", copy=False)).cast("B"), ids.offsets.to_pylist()
+            sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sums, pa.int64())], names=[*names, "ids_crc32"])
+
+    return packed.select(*names, "ids").mapInArrow(run, schema).select([c for c in packed.columns if c != "ids"])
 
 
 def numbered(pieces: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railctx.llm.arrow import map_rows
+from railctx.llm.arrow import map_rows, written
 
 VERSION = "WARC/1.1"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the namespace of URLs, fixed by RFC 4122
@@ -189,15 +189,10 @@ def build(records: DataFrame) -> DataFrame:
 
 
 def catalogue(pages: DataFrame, date: str, **columns: str) -> DataFrame:
-    """What ``responses`` and ``build`` make of pages, with a digest in place of each record's bytes."""
-    plain = pages.select(
-        F.col(columns.get("key", "page_id")).cast("long").alias("page_id"),
-        F.col(columns.get("url", "url")).alias("url"),
-        F.coalesce(F.col(columns.get("payload", "html")), F.lit("")).alias("html"),
-    )
+    """What ``responses`` and ``build`` make of pages is written; of that table, a digest in place of each record's bytes."""
+    records = written(build(responses(pages, date, **columns)))
 
     def rows(row):
-        for derived in _derived((row[0], row[1], response(row[1], row[2].encode(), date))):
-            yield *derived[:-1], len(derived[-1]), hashlib.sha256(derived[-1]).hexdigest()
+        return [(*row[:-1], len(row[-1]), hashlib.sha256(row[-1]).hexdigest())]
 
-    return map_rows(plain, lambda: rows, _DERIVED + ", n_bytes long, record_sha256 string")
+    return map_rows(records, lambda: rows, _DERIVED + ", n_bytes long, record_sha256 string")

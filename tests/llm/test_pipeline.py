@@ -3,8 +3,11 @@
 import random
 import zlib
 
+import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -90,6 +93,30 @@ def test_end_token_closes_each_document(spark, folder):
         assert last.ids_crc32 == zlib.crc32(packing.END.to_bytes(4, "little"))
 
 
+def test_sequences_hold_their_ids(spark, folder):
+    path, clean = folder
+    by_doc: dict = {}
+    for r in corpus_pipeline.run(spark, path).collect():
+        assert len(r.ids) == r.length and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        by_doc.setdefault(r.doc_id, []).append(r)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for doc_id, rows in by_doc.items():
+        ids = [x for r in sorted(rows, key=lambda r: r.start) for x in r.ids]
+        assert ids == library.encode(clean[doc_id], add_special_tokens=False).ids + [packing.END]
+
+
+def test_packing_digests_are_of_the_ids(spark, folder, monkeypatch):
+    real, path = packing.pack, folder[0]
+    names = [c for c in real(spark.read.parquet(f"{path}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json")).columns if c != "ids"]
+    rows = QUERIES["op7_packing"](spark, path)
+    assert rows.columns == names
+    before = rows.orderBy("sequence_id").collect()
+    doubled = F.transform("ids", lambda x: x * 2)
+    monkeypatch.setattr(packing, "pack", lambda *args, **more: real(*args, **more).withColumn("ids", doubled))
+    after = QUERIES["op7_packing"](spark, path).orderBy("sequence_id").collect()
+    assert len(before) == len(after) and all(a.ids_crc32 != b.ids_crc32 for a, b in zip(before, after, strict=True))
+
+
 def test_registered():
     names = set(driver.queries())
     assert set(QUERIES) | {"pipeline"} <= names

@@ -139,3 +139,35 @@ def test_custom_elements_are_not_raw(name):
 def test_formulas_are_text():
     page = "<body><article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>"
     assert html_text.extract(page, None) == "where x = 2 holds"
+
+
+def texts_of_host(pages):
+    whole, *others = [html_text.as_wrapper(html_text.parse(p)) for p in pages]
+    for other in others:
+        html_text.merge(whole, other, False)
+    return [html_text.extract(p, whole) for p in pages]
+
+
+def test_deep_text_is_not_left_for_a_teaser():
+    pages = [f"<body><div>{'<div>' * 30}<p>long story {n} {'w ' * 200}</p>{'</div>' * 30}</div><div class=teaser>t {n}</div>" for n in range(5)]
+    for n, text in enumerate(texts_of_host(pages)):
+        assert text.startswith(f"long story {n} w w")
+
+
+def test_many_different_entries_are_not_left_for_a_teaser():
+    names = [a + b for a in "abcdefghij" for b in "klmnopqrst"]
+    pages = [f"<body><div class='entry {name}'>story of {name}</div><div class='teaser'>see also, at length, {name}</div>" for name in names]
+    for size in (5, 100):
+        for name, text in zip(names, texts_of_host(pages[:size]), strict=False):
+            assert text == f"story of {name} see also, at length, {name}"
+
+
+def test_repeated_parts_are_all_taken():
+    pages = [f"<body><div class=post>one {n}</div><div class=post>two {n}</div>" for n in range(4)]
+    assert texts_of_host(pages) == [f"one {n} two {n}" for n in range(4)]
+
+
+def test_constant_only_over_different_pages():
+    assert texts_of_host(["<body><p>all of it</p><p>is here</p>"] * 5) == ["all of it is here"] * 5
+    pages = [f"<body><div><p>item {n}</p></div>" + "<ul><li><h4>Same</h4></li></ul>" * 4 for n in (1, 2)]
+    assert texts_of_host(pages) == [f"item {n} Same Same Same Same" for n in (1, 2)]

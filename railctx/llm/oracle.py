@@ -50,4 +50,18 @@ ORACLE: dict[str, str] = {
                sha256(string_agg(learned, '' ORDER BY turn, role, text)) AS loss_sha256,
                CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
         FROM rendered GROUP BY conv_id""",
+    "op11_vector_file": r"""
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+        ),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
 }

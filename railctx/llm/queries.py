@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from railctx.llm import (
     chat,
     html_text,
+    importance,
     jaccard_join,
     neighbours,
     packing,
     pieces,
     quality_classifier,
     quality_rules,
+    spelling,
     token_counts,
+    vector_file,
     warc,
 )
 from railctx.llm.arrow import ship, written
@@ -106,6 +109,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_vector_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_file.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: shipped(function)
     for function in (
@@ -119,5 +134,8 @@ QUERIES: dict[str, Query] = {
         op8_neighbours,
         op9_warc,
         op10_token_counts,
+        op11_vector_file,
+        op12_spelling_groups,
+        op13_importance_resampling,
     )
 }

@@ -1,0 +1,109 @@
+"""Spelling variants against brute force."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from railctx.llm import spelling
+
+DOCS = "word string, text string, doc_id long, n long, key long, root string, id long"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([("w", text, i, 1, 2, "r", 3) for i, text in rows], DOCS).repartition(3)
+
+
+def edits(word, letters):
+    out = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    out |= {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in letters}
+    out |= {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
+    return out - {word}
+
+
+def brute(rows):
+    counts = Counter()
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(fold)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 6:
+                counts[run] += 1
+    counts = {w: n for w, n in counts.items() if n >= 5}
+    letters = set("".join(counts))
+    near = {w: edits(w, letters) & set(counts) for w in counts}
+    form = {}
+    for w in counts:
+        best = min(near[w], key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 5 * counts[w] else None
+    out = set()
+    for w, n in counts.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.add((w, form[w], root, n, len(near[w]), counts.get(form[w])))
+    return out
+
+
+def same(spark, rows):
+    result = spelling.spelling_groups(documents(spark, rows))
+    assert result.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    got = [tuple(r) for r in result.collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
+    return got
+
+
+def test_random_words(spark):
+    rng = random.Random(3)
+    stems = ["".join(rng.choice("abcdeéÀ×") for _ in range(rng.randint(5, 9))) for _ in range(12)]
+    rows = []
+    for i in range(160):
+        words = []
+        for _ in range(rng.randint(0, 60)):
+            word = rng.choice(stems[: 1 + rng.randrange(12)])
+            for _ in range(rng.choice([0, 0, 0, 0, 0, 1, 1, 2])):
+                word = rng.choice(sorted(edits(word, "abc")))
+            words.append(rng.choice([word, word.upper(), word.capitalize()]))
+        rows.append((i, rng.choice([" ", "-", "1", "\n"]).join(words)))
+    rows += rows[:5]  # repeated rows
+    rows += [(900, None), (901, ""), (None, " ".join(stems * 3)), (902, "ab cd")]
+    got = same(spark, rows)
+    assert sum(form is not None for _, form, *_ in got) > 10
+
+
+def test_chains_ties_and_long_words(spark):
+    text = " ".join(["abcdef"] * 2000 + ["abcdeg"] * 300 + ["abcdhg"] * 40 + ["abczhg"] * 6)
+    long = "q" * 5000
+    text += " " + " ".join([long] * 60 + [long + "r"] * 7 + ["mnopqr"] * 50 + ["mnopqs"] * 50 + ["mnopq"] * 50 + ["mnopqx"] * 6)
+    rows = [(0, text), (1, "x" * 200_000)]
+    chain = {w: (form, root) for w, form, root, *_ in same(spark, rows)}
+    assert chain["abczhg"] == ("abcdhg", "abcdef")
+    assert chain["mnopqx"] == ("mnopqr", "mnopqr")
+    assert chain[long + "r"] == (long, long)
+
+
+def test_nothing_to_count(spark):
+    assert same(spark, []) == []
+    assert same(spark, [(1, None), (2, "short words only")]) == []
+
+
+def test_variant_keys_are_the_neighbourhood():
+    rng = random.Random(5)
+    for n in (1, 2, 6, 11):
+        forms = [rng.randint(1, 3) for _ in range(n)]
+        every = {tuple(forms)} | {tuple(forms[:i] + forms[i + 1 :]) for i in range(n)}
+        every |= {tuple(forms[:i] + [c] + forms[i + 1 :]) for i in range(n) for c in (1, 2, 3)}
+        every |= {tuple(forms[:i] + [c] + forms[i:]) for i in range(n + 1) for c in (1, 2, 3)}
+        keys = {spelling.form_key(np.array(f, np.uint64)) for f in every}
+        got = spelling.variant_keys(np.array(forms, np.uint64), 3).view(np.uint64).tolist()
+        assert len(got) == len(set(got)) == len(keys) and set(got) == keys
+
+
+def test_one_edit():
+    assert spelling.one_edit("abcdef", "abcdeg") and spelling.one_edit("abcdef", "abdef") and spelling.one_edit("aab", "ab")
+    assert not spelling.one_edit("abc", "abc") and not spelling.one_edit("abcd", "abdc") and not spelling.one_edit("ab", "abcd")

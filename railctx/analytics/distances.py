@@ -1,35 +1,33 @@
-"""Sensor distances of the stations.
-
-Percentiles keep a count per distinct value, so distances are rounded to 10 m first:
-half the Earth's girth then has two million values, whatever the number of stations.
-"""
+"""Sensor distances of the stations."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from railctx.analytics.ranks import quantiles
 from railctx.operators.sensors import nearest_sensors
+from railctx.session import materialize
 
 NEAR_KM = 25.0
-_KM_DIGITS = 2
-
-
-def _quantile(share: float, name: str) -> Column:
-    return F.round(F.percentile(F.round("distance_km", _KM_DIGITS), share), 4).alias(name)
+QUANTILES = {"median_km": 0.5, "p90_km": 0.9, "p95_km": 0.95}
 
 
 def distance_distribution(stations: DataFrame, sensors: DataFrame, near_km: float = NEAR_KM) -> DataFrame:
-    """Median, tail and share of near sensors for each network."""
-    found = nearest_sensors(stations, sensors, {"tu": "has_temperature", "ff": "has_wind"})
-    return found.groupBy("network").agg(
+    """Median, tail and share of near sensors for each network; quantiles are exact.
+
+    Distances are stored, as the selection of ranks reads them once a round.
+    """
+    found = materialize(nearest_sensors(stations, sensors, {"tu": "has_temperature", "ff": "has_wind"}))
+    counted = found.groupBy("network").agg(
         F.count(F.lit(1)).alias("stations"),
-        _quantile(0.5, "median_km"),
-        _quantile(0.9, "p90_km"),
-        _quantile(0.95, "p95_km"),
         F.round(F.max("distance_km"), 6).alias("max_km"),
         F.round(F.count_if(F.col("distance_km") <= near_km) / F.count(F.lit(1)), 6).alias("near_share"),
     )
+    spread = quantiles(found, "distance_km", ["network"], QUANTILES)
+    return counted.join(spread, "network").select(
+        "network", "stations", *[F.round(name, 6).alias(name) for name in QUANTILES], "max_km", "near_share"
+    )
 
 
 def joint_sensor_penalty(stations: DataFrame, sensors: DataFrame) -> DataFrame:

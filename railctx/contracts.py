@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,6 +144,11 @@ def published_columns(tables: dict[str, DataFrame]) -> DataFrame:
     return report
 
 
+def value_counters(contract: Contract) -> dict[str, Column]:
+    """Rows, and the values that arrived in each column."""
+    return {"row_count": F.count(F.lit(1))} | {name: F.count(name) for name, _, _ in contract.columns}
+
+
 def create_table(spark: SparkSession, contract: Contract, provider: str = "parquet") -> None:
     """Declare the published table with its column comments."""
     comment = contract.description.replace("'", "''")

@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from railctx.functions.keys import false_if_null
+
 STATION_COLUMNS = ["station_name", "category", "price_category", "federal_state"]
 
+#: What a stop met, whether or not the values of the matched row are NULL.
+FOUND = {
+    "station": "found_station",
+    "sensors": "found_sensors",
+    "temperature": "found_temperature",
+    "wind": "found_wind",
+}
+
 
 def _station_context(stations: DataFrame, mapping: DataFrame) -> DataFrame:
     """Both EVA lookups as one table, so that stops are joined on EVA once."""
     station = stations.select(
-        "eva", F.col("station_name").alias("official_name"), *STATION_COLUMNS[1:]
+        "eva",
+        F.col("station_name").alias("official_name"),
+        *STATION_COLUMNS[1:],
+        F.lit(True).alias(FOUND["station"]),
     )
     return station.join(
         mapping.select(
@@ -20,6 +33,7 @@ def _station_context(stations: DataFrame, mapping: DataFrame) -> DataFrame:
             "nearest_tu_dist_km",
             "nearest_ff_station_id",
             "nearest_ff_dist_km",
+            F.lit(True).alias(FOUND["sensors"]),
         ),
         "eva",
         "full_outer",
@@ -33,6 +47,7 @@ def _temperature_lookup(temperature: DataFrame) -> DataFrame:
         "temp_celsius",
         "humidity_pct",
         F.col("qn_9").alias("qn_tu"),
+        F.lit(True).alias(FOUND["temperature"]),
     )
 
 
@@ -43,6 +58,7 @@ def _wind_lookup(wind: DataFrame) -> DataFrame:
         "wind_speed_ms",
         "wind_direction_deg",
         F.col("qn_3").alias("qn_ff"),
+        F.lit(True).alias(FOUND["wind"]),
     )
 
 
@@ -54,21 +70,33 @@ def _spread_key(sensor: str) -> Column:
     return F.coalesce(sensor, F.concat(F.lit("none "), "id"))
 
 
-def train_stop_weather(
+def with_context(
     stops: DataFrame, stations: DataFrame, mapping: DataFrame, temperature: DataFrame, wind: DataFrame
 ) -> DataFrame:
-    """Every stop once, with 28 columns; nothing matched leaves NULL.
+    """The stops with all that their lookups hold, and a flag for each lookup that had a row for them.
 
     One plan for every size: stops are read once and meet the station context by EVA, then each
     reading by (sensor, hour). Which side is broadcast, and how a crowded key is split, is left
-    to the optimiser.
+    to the optimiser. Of ``stops`` it needs ``id``, ``eva`` and ``event_hour_utc``.
     """
     placed = stops.join(_station_context(stations, mapping), "eva", "left").withColumns(
         {"tu_key": _spread_key("nearest_tu_station_id"), "ff_key": _spread_key("nearest_ff_station_id")}
     )
     joined = placed.join(_temperature_lookup(temperature), ["tu_key", "event_hour_utc"], "left")
     joined = joined.join(_wind_lookup(wind), ["ff_key", "event_hour_utc"], "left")
-    return joined.select(
+    return joined.withColumns({flag: false_if_null(F.col(flag)) for flag in FOUND.values()})
+
+
+def train_stop_weather(
+    stops: DataFrame,
+    stations: DataFrame,
+    mapping: DataFrame,
+    temperature: DataFrame,
+    wind: DataFrame,
+    flags: bool = False,
+) -> DataFrame:
+    """Every stop once, with 28 columns and, if asked for, the ``FOUND`` flags; nothing matched leaves NULL."""
+    return with_context(stops, stations, mapping, temperature, wind).select(
         "id",
         "eva",
         F.coalesce("official_name", "station_name").alias("station_name"),
@@ -95,4 +123,5 @@ def train_stop_weather(
         "qn_ff",
         "nearest_ff_station_id",
         "nearest_ff_dist_km",
+        *(FOUND.values() if flags else []),
     )

@@ -303,9 +303,12 @@ class Feeds:
         )
         return {**done.pop("places"), **done}
 
-    @property
-    def gold(self) -> DataFrame:
+    def enrich(self, stops: DataFrame, flags: bool = False) -> DataFrame:
         tables = self.lookups
         return train_stop_weather(
-            self.stops, tables["stations"], tables["mapping"], tables["temperature"], tables["wind"]
+            stops, tables["stations"], tables["mapping"], tables["temperature"], tables["wind"], flags
         )
+
+    @property
+    def gold(self) -> DataFrame:
+        return self.enrich(self.stops)

@@ -163,6 +163,21 @@ train_stop_weather AS (
 )
 """
 
+_FLAGGED = """
+flagged AS (
+    SELECT ts.event_hour_utc, st.eva IS NOT NULL AS found_station, mp.nearest_tu_station_id IS NOT NULL AS temperature_sensor, mp.nearest_ff_station_id IS NOT NULL AS wind_sensor,
+           tu.dwd_station_id IS NOT NULL AS found_temperature, ff.dwd_station_id IS NOT NULL AS found_wind,
+           tu.temp_celsius IS NOT NULL AS temperature_value, ff.wind_speed_ms IS NOT NULL AS wind_value
+    FROM train_stops ts
+    LEFT JOIN stations st ON ts.eva = st.eva
+    LEFT JOIN station_weather_mapping mp ON ts.eva = mp.eva
+    LEFT JOIN temperature_hourly tu
+        ON mp.nearest_tu_station_id = tu.dwd_station_id AND ts.event_hour_utc = tu.observation_hour_utc
+    LEFT JOIN wind_hourly ff
+        ON mp.nearest_ff_station_id = ff.dwd_station_id AND ts.event_hour_utc = ff.observation_hour_utc
+)
+"""
+
 _FILES = """
 landed AS (
     SELECT 'texts/' || doc_id || '.txt' AS relative_path, CAST(strlen(text) AS BIGINT) AS byte_size,
@@ -252,19 +267,19 @@ def _summary(source: str, group: str = "", name: str = "", parts: tuple[str, ...
     SELECT {lead} {_RATES}, median_delay, p90_delay, max_delay FROM grouped"""
 
 
-def _share(column: str, name: str) -> str:
-    return f"round(avg(CASE WHEN {column} IS NOT NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS {name}_share"
-
+_MET = {
+    "station": "found_station",
+    "temperature_sensor": "temperature_sensor",
+    "wind_sensor": "wind_sensor",
+    "temperature": "found_temperature",
+    "wind": "found_wind",
+    "temperature_value": "temperature_value",
+    "wind_value": "wind_value",
+}
 
 _COVERAGE = ", ".join(
-    [
-        "count(*) AS stops",
-        _share("federal_state", "station"),
-        _share("nearest_tu_station_id", "temperature_sensor"),
-        _share("nearest_ff_station_id", "wind_sensor"),
-        _share("temp_celsius", "temperature"),
-        _share("wind_speed_ms", "wind"),
-    ]
+    ["count(*) AS stops"]
+    + [f"round(avg(CASE WHEN {flag} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS {name}_share" for name, flag in _MET.items()]
 )
 
 # What each published table must hold, written out here and not taken from the rules.
@@ -374,6 +389,26 @@ def _published_columns() -> str:
     return _with(_RAW, _MAPPING, _GOLD) + " " + " UNION ALL ".join(rows)
 
 
+def _audit_facts() -> str:
+    facts = ("train_stops", "train_stop_weather")
+    rows = [
+        f"SELECT 'expectation' AS audit, '{t}' AS table_name, '{rule}' AS item, count(*) AS row_count, "
+        f"count(*) FILTER (WHERE ({holds}) IS NOT TRUE) AS value FROM {t}"
+        for t in facts
+        for rule, holds in _RULES[t].items()
+    ]
+    rows += [
+        f"SELECT 'column', '{t}', '{column.split()[0]}', count(*), count({column.split()[0]}) FROM {t}"
+        for t in facts
+        for column in _COLUMNS[t].split(", ")
+    ]
+    rows += [f"SELECT 'match', 'train_stop_weather', '{name}', count(*), count(*) FILTER (WHERE {flag}) FROM flagged" for name, flag in _MET.items()]
+    rows.append(
+        "SELECT 'preservation', 'train_stop_weather', 'rows', (SELECT count(*) FROM train_stop_weather), count(*) FROM train_stops"
+    )
+    return _with(_RAW, _MAPPING, _GOLD, _FLAGGED) + " " + " UNION ALL ".join(rows)
+
+
 def _select(source: str, *parts: str, columns: str = "*") -> str:
     return f"{_with(*parts)} SELECT {columns} FROM {source}"
 
@@ -524,7 +559,8 @@ ORACLE: dict[str, str] = {
         SELECT rows_before, rows_after, rows_before = rows_after AS preserved
         FROM (SELECT count(*) AS rows_before FROM train_stops),
              (SELECT count(*) AS rows_after FROM train_stop_weather)""",
-    "join_coverage": _select("train_stop_weather", _RAW, _MAPPING, _GOLD, columns=_COVERAGE),
+    "join_coverage": _select("flagged", _RAW, _MAPPING, _FLAGGED, columns=_COVERAGE),
+    "audit_facts": _audit_facts(),
     "published_columns": _published_columns(),
     "delay_baseline": _summary("train_stops"),
     "delay_by_train_type": _summary("train_stops", "train_type", "train_type"),
@@ -586,8 +622,8 @@ ORACLE: dict[str, str] = {
             FROM usable GROUP BY ALL
         )
         SELECT temperature_band, wind_band, {_RATES}, median_delay, p90_delay, max_delay FROM grouped""",
-    "match_by_day": f"""{_with(_RAW, _MAPPING, _GOLD)}
-        SELECT date_trunc('day', event_hour_utc) AS day, {_COVERAGE} FROM train_stop_weather GROUP BY ALL""",
+    "match_by_day": f"""{_with(_RAW, _MAPPING, _FLAGGED)}
+        SELECT date_trunc('day', event_hour_utc) AS day, {_COVERAGE} FROM flagged GROUP BY ALL""",
     "missing_hours": f"""{_with(_RAW)}
         SELECT h AS event_hour_utc
         FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR) AS t(h)
@@ -607,9 +643,9 @@ ORACLE: dict[str, str] = {
         FROM stations""",
     "distance_distribution": f"""{_with(_RAW, _MAPPING)}
         SELECT network, count(*) AS stations,
-               round(quantile_cont(round(km, 2), 0.5), 4) AS median_km,
-               round(quantile_cont(round(km, 2), 0.9), 4) AS p90_km,
-               round(quantile_cont(round(km, 2), 0.95), 4) AS p95_km,
+               round(quantile_cont(km, 0.5), 6) AS median_km,
+               round(quantile_cont(km, 0.9), 6) AS p90_km,
+               round(quantile_cont(km, 0.95), 6) AS p95_km,
                round(max(km), 6) AS max_km,
                round(count(*) FILTER (WHERE km <= 25) / count(*), 6) AS near_share
         FROM nearest WHERE network <> 'joint' GROUP BY network""",

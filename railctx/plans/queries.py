@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,11 @@ from railctx.functions.time import (
     wall_clock,
 )
 from railctx.operators import months
+from railctx.operators.enrich import with_context
 from railctx.plans import feeds
 from railctx.plans.feeds import PERIOD, Feeds
 from railctx.period import Period
-from railctx.quality import coverage, expectations, grain, snapshot
+from railctx.quality import coverage, expectations, fact_audit, grain, snapshot
 from railctx.session import materialize
 from railctx.sources import api_archive, delimited, fixed_width
 
@@ -47,7 +49,8 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def _published(f: Feeds) -> dict[str, DataFrame]:
+def _small_tables(f: Feeds) -> dict[str, DataFrame]:
+    """The published tables that are lookups of the enrichment."""
     tables = f.lookups
     return {
         "stations": tables["stations"],
@@ -55,8 +58,6 @@ def _published(f: Feeds) -> dict[str, DataFrame]:
         "station_weather_mapping": tables["mapping"],
         "temperature_hourly": tables["temperature"],
         "wind_hourly": tables["wind"],
-        "train_stops": f.stops,
-        "train_stop_weather": f.gold,
     }
 
 
@@ -321,28 +322,38 @@ def stops_enriched(f: Feeds) -> DataFrame:
 
 
 def expectation_report(f: Feeds) -> DataFrame:
-    return expectations.expectation_report(_published(f), PERIOD)
+    facts = fact_audit.rules_of(f.stops, f.enrich, PERIOD)
+    return expectations.expectation_report(_small_tables(f), PERIOD).unionByName(fact_audit.rule_report(f.spark, facts))
 
 
 def grain_audit(f: Feeds) -> DataFrame:
-    tables = _published(f)
+    """The stops' keys are kept narrow, so that the feed is parsed once for both facts."""
+    stops = materialize(f.stops.select("id", "eva", "event_hour_utc"))
+    tables = _small_tables(f)
+    lookups = [tables[t] for t in ("stations", "station_weather_mapping", "temperature_hourly", "wind_hourly")]
+    tables |= {"train_stops": stops, "train_stop_weather": with_context(stops, *lookups)}
     return grain.grain_audit({name: tables[name] for name in grain.GRAINS})
 
 
+def audit_facts(f: Feeds) -> DataFrame:
+    return fact_audit.audit_facts(f.stops, partial(f.enrich, flags=True), PERIOD)
+
+
 def one_row_per_key(f: Feeds) -> DataFrame:
     return grain.one_row_per_key(f.table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def row_preservation(f: Feeds) -> DataFrame:
-    return grain.row_preservation(f.stops, f.gold)
+    return fact_audit.preservation_of(f.stops, f.enrich)
 
 
 def join_coverage(f: Feeds) -> DataFrame:
-    return coverage.join_coverage(f.gold)
+    return coverage.join_coverage(f.enrich(f.stops, flags=True))
 
 
 def published_columns(f: Feeds) -> DataFrame:
-    return contracts.published_columns(_published(f))
+    facts = fact_audit.values_of(f.stops, f.enrich)
+    return contracts.published_columns(_small_tables(f)).unionByName(fact_audit.column_report(f.spark, facts))
 
 
 # Analyses
@@ -381,7 +392,7 @@ def delay_by_weather(f: Feeds) -> DataFrame:
 
 
 def match_by_day(f: Feeds) -> DataFrame:
-    return coverage.match_by_day(f.gold)
+    return coverage.match_by_day(f.enrich(f.stops, flags=True))
 
 
 def missing_hours(f: Feeds) -> DataFrame:
@@ -466,6 +477,7 @@ QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
         stops_enriched,
         expectation_report,
         grain_audit,
+        audit_facts,
         one_row_per_key,
         row_preservation,
         join_coverage,

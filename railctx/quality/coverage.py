@@ -8,39 +8,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railctx.functions.time import NANOS, wall_clock
+from railctx.operators.enrich import FOUND
 from railctx.period import Period
 
-_MATCHES = {
-    "station": "official",
-    "temperature_sensor": "nearest_tu_station_id",
-    "wind_sensor": "nearest_ff_station_id",
-    "temperature": "temp_celsius",
-    "wind": "wind_speed_ms",
-}
+def _matches() -> dict[str, Column]:
+    """What a stop met. That a reading exists and that it holds a value are different things."""
+    return {
+        "station": F.col(FOUND["station"]),
+        "temperature_sensor": F.col("nearest_tu_station_id").isNotNull(),
+        "wind_sensor": F.col("nearest_ff_station_id").isNotNull(),
+        "temperature": F.col(FOUND["temperature"]),
+        "wind": F.col(FOUND["wind"]),
+        "temperature_value": F.col("temp_celsius").isNotNull(),
+        "wind_value": F.col("wind_speed_ms").isNotNull(),
+    }
+
+
+def match_counters() -> dict[str, Column]:
+    """Stops that met a row of each lookup, and stops whose reading holds a value."""
+    return {name: F.count_if(met) for name, met in _matches().items()}
 
 
 def _share(matched: Column) -> Column:
     return F.round(F.avg(F.when(matched, 1.0).otherwise(0.0)), 6)
 
 
-def join_coverage(gold: DataFrame, by: Sequence[Column | str] = ()) -> DataFrame:
-    """Stops and matched shares, over all rows or per group.
+def join_coverage(flagged: DataFrame, by: Sequence[Column | str] = ()) -> DataFrame:
+    """Stops and matched shares, over all rows or per group; ``flagged`` holds the flags of the enrichment.
 
-    The station counts as matched when any of its attributes arrived.
+    A lookup counts as met when it had a row for the stop, whatever that row holds.
     """
-    station = F.coalesce(
-        F.col("category").cast("string"), F.col("price_category").cast("string"), F.col("federal_state")
-    )
-    columns = {name: station if c == "official" else F.col(c) for name, c in _MATCHES.items()}
-    return gold.groupBy(*by).agg(
+    return flagged.groupBy(*by).agg(
         F.count(F.lit(1)).alias("stops"),
-        *[_share(column.isNotNull()).alias(f"{name}_share") for name, column in columns.items()],
+        *[_share(met).alias(f"{name}_share") for name, met in _matches().items()],
     )
 
 
-def match_by_day(gold: DataFrame) -> DataFrame:
+def match_by_day(flagged: DataFrame) -> DataFrame:
     """Matched shares per UTC day; stops without a time form a group of their own."""
-    return join_coverage(gold, [F.to_date("event_hour_utc").alias("day")])
+    return join_coverage(flagged, [F.to_date("event_hour_utc").alias("day")])
 
 
 def period_coverage(raw_stops: DataFrame, period: Period) -> DataFrame:

@@ -64,15 +64,20 @@ def violations(predicate: str) -> Column:
     return F.count_if(~F.coalesce(F.expr(predicate), F.lit(False)))
 
 
-def _counters(rules: dict[str, str]) -> list[Column]:
-    rows = F.count(F.lit(1)).alias("row_count")
-    return [rows, *[violations(predicate).alias(rule) for rule, predicate in rules.items()]]
+def rule_counters(table: str, period: Period) -> dict[str, Column]:
+    """Rows, and the violations of each rule."""
+    rules = expectations(period)[table]
+    return {"row_count": F.count(F.lit(1))} | {rule: violations(predicate) for rule, predicate in rules.items()}
+
+
+def _named(counters: dict[str, Column]) -> list[Column]:
+    return [counter.alias(name) for name, counter in counters.items()]
 
 
 def observed(df: DataFrame, table: str, period: Period) -> tuple[DataFrame, Observation]:
     """The same rows, counted while whatever action runs over them; the write, for one."""
     observation = Observation(table)
-    return df.observe(observation, *_counters(expectations(period)[table])), observation
+    return df.observe(observation, *_named(rule_counters(table, period))), observation
 
 
 def expectation_report(tables: dict[str, DataFrame], period: Period) -> DataFrame:
@@ -89,6 +94,6 @@ def expectation_report(tables: dict[str, DataFrame], period: Period) -> DataFram
             )
             for rule in rules[table]
         ]
-        counted = df.agg(*_counters(rules[table]))
+        counted = df.agg(*_named(rule_counters(table, period)))
         reports.append(counted.select(F.inline(F.array(*entries))))
     return reduce(DataFrame.unionByName, reports)

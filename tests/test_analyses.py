@@ -93,16 +93,17 @@ def test_weather_bands_need_near_and_graded_readings(spark):
 def test_join_coverage(spark):
     df = spark.createDataFrame(
         [
-            ("2026-06-01 01:00:00", 1, 1, "A", "00001", "00002", 3.0, 1.0),
-            ("2026-06-01 02:00:00", None, None, "A", "00001", "00002", None, 1.0),
-            ("2026-06-02 02:00:00", None, None, None, None, None, None, None),
+            ("2026-06-01 01:00:00", True, "00001", "00002", True, 3.0, True, 1.0),
+            ("2026-06-01 02:00:00", True, "00001", "00002", True, None, True, 1.0),
+            ("2026-06-02 02:00:00", False, None, None, False, None, False, None),
         ],
-        "hour string, category int, price_category int, federal_state string, nearest_tu_station_id string, "
-        "nearest_ff_station_id string, temp_celsius double, wind_speed_ms double",
+        "hour string, found_station boolean, nearest_tu_station_id string, nearest_ff_station_id string, "
+        "found_temperature boolean, temp_celsius double, found_wind boolean, wind_speed_ms double",
     ).withColumn("event_hour_utc", F.col("hour").cast("timestamp"))
     row = coverage.join_coverage(df).first()
-    assert tuple(row) == (3, 0.666667, 0.666667, 0.666667, 0.333333, 0.666667)
-    by_day = {str(r["day"]): r["temperature_share"] for r in coverage.match_by_day(df).collect()}
+    # The second stop met a temperature reading, but one without a value.
+    assert tuple(row) == (3, 0.666667, 0.666667, 0.666667, 0.666667, 0.666667, 0.333333, 0.666667)
+    by_day = {str(r["day"]): r["temperature_value_share"] for r in coverage.match_by_day(df).collect()}
     assert by_day == {"2026-06-01": 0.5, "2026-06-02": 0.0}
 
 

@@ -1,22 +1,29 @@
 """Packing by power-of-two decomposition.
 
 The token count of a document is written in binary; the document is cut into one piece per
-set bit, longest first, and whole ``capacity`` pieces before them. Pieces of equal length
-share a bucket. Every piece is a sequence of its own, of a length that is a power of two, so
-no sequence crosses documents and none is padded.
+set bit, longest first, and whole ``capacity`` pieces before them. Every piece is a sequence of its
+own, of a length that is a power of two, so no sequence crosses documents and none is padded.
+
+Pieces of equal length share a bucket; sequence ids run through one bucket after the other. No token id is
+moved to number them: a task notes its number and counts its pieces of each length while it writes
+them, a small sum over tasks and lengths tells where each of these counts starts, and reading adds
+the two. Row order inside a task is that of its input partition, so a task that is run again writes the same.
 
 Defined cases: null or empty text has the end token only; repeated rows are packed as often as
-they occur; a null id is kept; an empty table gives no rows. Texts are never cut.
+they occur; a null id is kept; an empty table gives no rows. Texts are never cut. Other columns are not
+looked at.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +35,12 @@ CAPACITY = 4096
 END = 2
 #: Rows leave a task when they hold so many ids.
 BATCH_IDS = 1 << 20
+#: Words, and their parts, that a worker remembers.
+MEMO_WORDS, MEMO_PARTS = 300_000, 300_000
+_CLOSING = b".,;:!?"
+_ASCII = "".join(map(chr, range(33, 127)))
+#: Counts of the pieces by task and length are broadcast up to this size, of about so many bytes a row.
+BROADCAST_BYTES, COUNT_BYTES = 32 << 20, 64
 
 _coders: dict[str, Memo] = {}
 
@@ -36,7 +49,8 @@ def word_coder(path: str) -> Memo:
     """Token ids by word, as little-endian unsigned 32-bit bytes.
 
     The vocabulary drops white space and never joins across it, so the ids of a text are those
-    of its words in order. Splitting at ASCII white space is safe for any finer rule inside.
+    of its words in order. Splitting at ASCII white space is safe for any finer rule inside. New words
+    are looked up once more without closing punctuation and case, where that gives the same ids.
     """
     if path not in _coders:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,19 +59,38 @@ def word_coder(path: str) -> Memo:
         tokenizer = Tokenizer.from_file(path)
 
         def encode(words: list[bytes]) -> list[bytes]:
-            """All new words of a text in one call; offsets tell where the ids of each begin."""
-            plain = [w.decode() for w in words]
-            found = tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            """All new parts of a text in one call, which tells the part of each id."""
+            found = tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
-            begins = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-            places = np.cumsum([0] + [len(w) + 1 for w in plain])
-            cuts = np.searchsorted(begins, places)
+            cuts = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))
             return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-        _coders[path] = Memo(encode)
+        known = Memo(encode, MEMO_PARTS)
+        simple = _parts_alone(tokenizer)
+
+        def by_parts(words: list[bytes]) -> list[bytes]:
+            split = [_parts(w) if simple else (w, b"") for w in words]
+            cores, tails = zip(*split, strict=True)
+            return [a + b for a, b in zip(known.of(list(cores)), known.of(list(tails)), strict=True)]
+
+        _coders[path] = Memo(by_parts, MEMO_WORDS)
     return _coders[path]
 
 
+def _parts(word: bytes) -> tuple[bytes, bytes]:
+    """A word of ASCII letters and its closing punctuation; any other word stays whole."""
+    core = word.rstrip(_CLOSING)
+    return (core.lower(), word[len(core) :]) if core.isalpha() else (word, b"")
+
+
+def _parts_alone(tokenizer) -> bool:
+    """Whether the tokenizer lower-cases ASCII and cuts between a letter and closing punctuation."""
+    lowered = tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str(_ASCII) == _ASCII.lower()
+    probe = "a".join(chr(c) for c in _CLOSING)
+    cuts = tokenizer.pre_tokenizer.pre_tokenize_str(probe) if tokenizer.pre_tokenizer is not None else []
+    return lowered and [part for part, _ in cuts] == list(probe)
+
+
 def piece_lengths(tokens: int, capacity: int = CAPACITY) -> list[int]:
     """Full pieces, then the set bits of the rest from high to low."""
     rest = tokens % capacity
@@ -65,12 +98,12 @@ def piece_lengths(tokens: int, capacity: int = CAPACITY) -> list[int]:
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True, **columns: str) -> DataFrame:
-    """One row per piece: place in its document, checksum and, unless turned off, its ids."""
+    """One row per piece: place in its document, checksum, task, place among the task's pieces of its length and, unless turned off, its ids."""
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     last = np.array([end], "<u4").tobytes()
 
-    schema = T._parse_datatype_string("doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids)
+    schema = T._parse_datatype_string("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, place long" + ", ids array<int>" * with_ids)
     arrow = to_arrow_schema(schema)
 
     def batch(rows: list[tuple], held: list[bytes]) -> pa.RecordBatch:
@@ -83,6 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_coder(tokenizer)
         rows, held, room = [], [], BATCH_IDS
+        task, taken = TaskContext.get().partitionId(), Counter()
         for part in batches:
             for k in range(part.num_rows):
                 doc_id, text = part.column(0)[k].as_py(), part.column(1)[k].as_py()
@@ -90,7 +124,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
                 total, start = len(data) // 4, 0
                 for length in piece_lengths(total, capacity):
                     ids = data[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, length, zlib.crc32(ids), total))
+                    rows.append((doc_id, start, length, zlib.crc32(ids), total, task, taken[length]))
+                    taken[length] += 1
                     held.append(ids if with_ids else b"")
                     start += length
                     room -= length
@@ -119,35 +154,25 @@ def digested(packed: DataFrame) -> DataFrame:
 
 
 def numbered(pieces: DataFrame) -> DataFrame:
-    """Sequence ids without gaps, bucket after bucket, without sorting any bucket in one task.
-
-    Rows of one length are spread over lanes by document, numbered inside a lane, and each lane
-    starts after the rows of the lanes before it. The table of lanes is small: lanes times the
-    number of lengths.
-    """
-    lanes = 4096
-    lane = F.pmod(F.xxhash64("doc_id", "start"), F.lit(lanes))
-    spread = pieces.withColumn("lane", lane)
-    before = Window.orderBy("length", "lane").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        spread.groupBy("length", "lane")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("first", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-        .drop("rows")
-    )
-    order = Window.partitionBy("length", "lane").orderBy("doc_id", "start", "doc_tokens", "ids_crc32")
-    return (
-        spread.withColumn("place", F.row_number().over(order))
-        .join(starts, ["length", "lane"])
-        .withColumn("sequence_id", F.col("first") + F.col("place") - 1)
-        .withColumn("offset", F.lit(0).cast("long"))
-        .drop("lane", "first", "place")
+    """Written ``pieces`` with sequence ids without gaps, bucket after bucket."""
+    counts = written(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("rows")))
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    shorter = Window.orderBy("length").rowsBetween(Window.unboundedPreceding, -1)  # one row per length
+    buckets = counts.groupBy("length").agg(F.sum("rows").alias("rows")).select("length", F.coalesce(F.sum("rows").over(shorter), F.lit(0)).alias("bucket"))
+    starts = counts.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).join(F.broadcast(buckets), "length")
+    starts = starts.select("length", "task", (F.col("bucket") + F.col("before")).alias("first"))
+    if counts.count() * COUNT_BYTES <= BROADCAST_BYTES:
+        starts = F.broadcast(starts)
+    placed = pieces.join(starts, ["length", "task"])
+    return placed.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", *[c for c in pieces.columns if c == "ids"],
+        (F.col("first") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True, **columns: str) -> DataFrame:
     """Pieces with the sequence that holds them. A sequence is one piece, at offset 0.
 
-    Numbering goes over the pieces twice, so they are written once and texts are encoded once.
+    Pieces are written once, with their ids; what is returned reads them from there.
     """
     return numbered(written(pieces(docs, tokenizer, capacity, end, with_ids, **columns)))

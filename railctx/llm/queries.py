@@ -24,7 +24,7 @@ from railctx.llm import (
     vector_file,
     warc,
 )
-from railctx.llm.arrow import ship, written
+from railctx.llm.arrow import ship
 from railctx.llm.oracle import ORACLE
 
 #: A document scores as good from here on; one row in ``FOLDS`` is held out from learning.
@@ -92,9 +92,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequences with their ids are written; the checksums are those of the ids in that table."""
+    """Pieces are written with their ids; the checksums are those of the ids in that table."""
     documents = table(spark, sf_dir, "documents")
-    return packing.digested(written(packing.pack(documents, public_tokenizers.path("word_bpe_49k.json"))))
+    return packing.digested(packing.pack(documents, public_tokenizers.path("word_bpe_49k.json")))
 
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,10 +120,10 @@ def test_packing_digests_are_of_the_ids(spark, folder, monkeypatch):
 def test_registered():
     names = set(driver.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op1_jaccard_join", "op2_chat_format"])
+@pytest.mark.parametrize("name", ["op1_jaccard_join", "op2_chat_format", "op11_vector_file"])
 def test_query_matches_sql(spark, name):
     from check_oracle import compare, connect
 

@@ -77,12 +77,34 @@ def parse_hour_stamp(column: Column, pattern: str = HOUR_STAMP) -> Column:
     return F.try_to_timestamp(F.trim(column.cast("string")), F.lit(pattern))
 
 
+def _candidates(clock: Column, zone: str) -> tuple[Column, Column]:
+    """The instants at which a wall clock would be shown by the offsets of the day before and the day after.
+
+    Offsets are taken a day away, so that the size of a change does not matter, and its direction neither.
+    """
+    near = F.to_utc_timestamp(clock, zone)
+    day = F.expr("INTERVAL 24 HOURS")
+
+    def by(offset_at: Column) -> Column:
+        return clock - (F.from_utc_timestamp(offset_at, zone) - offset_at)
+
+    return by(near - day), by(near + day)
+
+
+def local_instants(clock: Column, zone: str = RAILWAY_ZONE) -> Column:
+    """``first`` and ``second`` instant that show this wall clock: two of them where a change of
+    offset shows it twice, none where a change leaves it out, else one."""
+    before, after = _candidates(clock, zone)
+    shown = [F.when(F.from_utc_timestamp(u, zone) == clock, u) for u in (before, after)]
+    first, second = F.least(*shown), F.greatest(*shown)  # NULLs are passed over
+    return F.struct(first.alias("first"), F.when(second != first, second).alias("second"))
+
+
 def is_skipped_local(clock: Column, zone: str = RAILWAY_ZONE) -> Column:
-    """True for a wall clock in the hour that spring leaves out."""
-    return F.from_utc_timestamp(F.to_utc_timestamp(clock, zone), zone) != clock
+    """True for a wall clock that a change of offset leaves out."""
+    return F.when(clock.isNotNull(), local_instants(clock, zone)["first"].isNull())
 
 
 def is_ambiguous_local(clock: Column, zone: str = RAILWAY_ZONE) -> Column:
-    """True for a wall clock in the hour that autumn shows twice."""
-    later = F.to_utc_timestamp(clock, zone) + F.expr("INTERVAL 1 HOUR")
-    return F.from_utc_timestamp(later, zone) == clock
+    """True for a wall clock that a change of offset shows twice."""
+    return F.when(clock.isNotNull(), local_instants(clock, zone)["second"].isNotNull())

@@ -212,11 +212,30 @@ audit AS (
 )
 """
 
+_BROKEN = """
+broken_rule AS (
+    SELECT relative_path, 'absolute_path' AS rule FROM manifest WHERE starts_with(relative_path, '/')
+    UNION ALL
+    SELECT relative_path, 'path_leaves_root' FROM manifest WHERE contains('/' || relative_path || '/', '/../')
+    UNION ALL
+    SELECT relative_path, 'negative_size' FROM manifest WHERE byte_size < 0
+    UNION ALL
+    SELECT relative_path, 'bad_digest' FROM manifest WHERE length(sha256) <> 64
+    UNION ALL
+    SELECT relative_path, 'unknown_role' FROM manifest WHERE role = 'notes'
+    UNION ALL
+    SELECT relative_path, 'duplicate_path' FROM manifest GROUP BY relative_path HAVING count(*) > 1
+    UNION ALL
+    SELECT relative_path, 'parent_not_listed' FROM manifest
+    WHERE parent IS NOT NULL AND parent NOT IN (SELECT sha256 FROM manifest)
+)
+"""
+
 _RESPONSES = """
 responses AS (
     SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, o_totalprice,
            o_orderpriority <> '4-NOT SPECIFIED' AND o_orderstatus <> 'P' AND o_totalprice >= 10000 AS accepted,
-           o_totalprice >= 30000 AS usable
+           o_totalprice >= 30000 AS usable, o_totalprice >= 40000 AS readable
     FROM orders
 )
 """
@@ -420,6 +439,14 @@ _KM_COLUMNS = (
 
 _CLOCK = "(ck AT TIME ZONE 'Europe/Berlin')"
 
+
+def _shown(zone: str, change: int) -> str:
+    """The instants that show the clock, in order: the one the engine takes, and those one change off."""
+    instant = f"(ck AT TIME ZONE '{zone}')"
+    tried = [instant, f"({instant} - INTERVAL {change} MINUTE)", f"({instant} + INTERVAL {change} MINUTE)"]
+    kept = ", ".join(f"CASE WHEN {u} AT TIME ZONE '{zone}' = ck THEN {u} END" for u in tried)
+    return f"list_sort(list_filter([{kept}], lambda u: u IS NOT NULL))"
+
 ORACLE: dict[str, str] = {
     "stops_normalized": _select("train_stops", _RAW),
     "stations_flattened": _select("stations", _RAW),
@@ -427,10 +454,10 @@ ORACLE: dict[str, str] = {
         listed AS (
             SELECT o_custkey AS number, o_orderpriority AS name, CAST(o_orderkey % 7 AS INTEGER) AS category,
                    o_orderkey, 0 AS position
-            FROM responses WHERE accepted AND usable
+            FROM responses WHERE accepted AND readable
             UNION ALL
             SELECT o_custkey + 1, o_orderstatus, CAST(o_orderkey % 7 AS INTEGER), o_orderkey, 1
-            FROM responses WHERE accepted AND usable
+            FROM responses WHERE accepted AND readable
         )
         SELECT number, name, category FROM (
             SELECT *, row_number() OVER (PARTITION BY number ORDER BY o_orderkey DESC, position DESC) AS rn
@@ -440,8 +467,9 @@ ORACLE: dict[str, str] = {
         SELECT count(*) AS responses, count(*) FILTER (WHERE accepted) AS accepted,
                count(*) FILTER (WHERE accepted AND NOT usable) AS malformed,
                CAST(2 * count(*) FILTER (WHERE accepted AND usable) AS BIGINT) AS stations_listed,
-               count(*) FILTER (WHERE accepted AND NOT usable) = 0
-                   AND count(*) FILTER (WHERE accepted AND usable) > 0 AS usable
+               count(*) FILTER (WHERE accepted AND usable AND NOT readable) AS unreadable_numbers,
+               count(*) FILTER (WHERE accepted AND NOT readable) = 0
+                   AND count(*) FILTER (WHERE accepted AND readable) > 0 AS usable
         FROM responses""",
     "fixed_width_listing": _select(
         "listing WHERE has_temperature",
@@ -486,27 +514,15 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (WHERE k <> 0 AND user_id * 4 + CASE WHEN event_type = 'error' THEN 2 ELSE 0 END > 999) AS too_long
         FROM feed""",
     "manifest_inventory": _select("landed", _FILES),
-    "manifest_rule_audit": f"""{_with(_FILES)}
-        SELECT relative_path, 'absolute_path' AS rule FROM manifest WHERE starts_with(relative_path, '/')
-        UNION ALL
-        SELECT relative_path, 'path_leaves_root' FROM manifest WHERE contains('/' || relative_path || '/', '/../')
-        UNION ALL
-        SELECT relative_path, 'negative_size' FROM manifest WHERE byte_size < 0
-        UNION ALL
-        SELECT relative_path, 'bad_digest' FROM manifest WHERE length(sha256) <> 64
-        UNION ALL
-        SELECT relative_path, 'unknown_role' FROM manifest WHERE role = 'notes'
-        UNION ALL
-        SELECT relative_path, 'duplicate_path' FROM manifest GROUP BY relative_path HAVING count(*) > 1
-        UNION ALL
-        SELECT relative_path, 'parent_not_listed' FROM manifest
-        WHERE parent IS NOT NULL AND parent NOT IN (SELECT sha256 FROM manifest)""",
+    "manifest_rule_audit": _select("broken_rule", _FILES, _BROKEN),
     "snapshot_audit": _select("audit", _FILES),
-    "snapshot_state": f"""{_with(_FILES)}
+    "snapshot_state": f"""{_with(_FILES, _BROKEN)}
         SELECT count(*) FILTER (WHERE status <> 'missing') AS files,
                count(*) FILTER (WHERE status IN ('missing', 'size mismatch', 'digest mismatch')) AS damaged,
                count(*) FILTER (WHERE status = 'unlisted') AS unlisted,
-               CASE WHEN damaged > 0 THEN 'CORRUPTED' ELSE 'VALID' END AS state
+               (SELECT count(*) FROM broken_rule) AS broken_rules,
+               CASE WHEN (SELECT count(*) FROM broken_rule) > 0 THEN 'INCOMPLETE'
+                    WHEN damaged > 0 THEN 'CORRUPTED' ELSE 'VALID' END AS state
         FROM audit""",
     "local_clock_flags": f"""
         WITH clocks AS (
@@ -519,11 +535,15 @@ ORACLE: dict[str, str] = {
                 ({_CLOCK} + INTERVAL 1 HOUR) AT TIME ZONE 'Europe/Berlin' = ck
                     OR ({_CLOCK} - INTERVAL 1 HOUR) AT TIME ZONE 'Europe/Berlin' = ck AS is_ambiguous,
                 {_CLOCK} AT TIME ZONE 'Europe/Berlin' <> ck AS is_skipped,
-                {_CLOCK} AT TIME ZONE 'UTC' AS instant
+                {_CLOCK} AT TIME ZONE 'UTC' AS instant,
+                {_shown("Europe/Berlin", 60)} AS berlin,
+                {_shown("Australia/Lord_Howe", 30)} AS half
             FROM clocks
         )
         SELECT ck AS clock, line_items, is_ambiguous, is_skipped,
-               CASE WHEN NOT is_ambiguous AND NOT is_skipped THEN instant END AS instant
+               CASE WHEN NOT is_ambiguous AND NOT is_skipped THEN instant END AS instant,
+               berlin[1] AT TIME ZONE 'UTC' AS first_instant, berlin[2] AT TIME ZONE 'UTC' AS second_instant,
+               half[1] AT TIME ZONE 'UTC' AS half_first_instant, half[2] AT TIME ZONE 'UTC' AS half_second_instant
         FROM flagged""",
     "haversine_pairs": f"""
         WITH traded AS (

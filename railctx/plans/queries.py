@@ -17,6 +17,7 @@ from railctx.functions.time import (
     clock_to_nanos,
     is_ambiguous_local,
     is_skipped_local,
+    local_instants,
     local_to_utc,
     raw_nanos,
     wall_clock,
@@ -104,6 +105,7 @@ def response_archive(f: Feeds) -> DataFrame:
         F.when(price < 10000, "")
         .when(price < 20000, '{"result": [')
         .when(price < 30000, '{"result": []}')
+        .when(price < 40000, F.concat(F.lit('{"result": [{"number": "'), number, F.lit('a"}, {"name": "nameless"}]}')))
         .otherwise(body)
         .alias("response_data"),
     )
@@ -247,30 +249,43 @@ def snapshot_state(f: Feeds) -> DataFrame:
     documents = materialize(_documents(f))
     entries = materialize(manifest_list(f, documents))
     manifest = entries.agg(F.count(F.lit(1)).alias("entries")).select(
-        F.lit(snapshot.MANIFEST_VERSION).alias("schema_version"), F.lit(PERIOD.label).alias("snapshot_id")
+        F.lit(snapshot.MANIFEST_VERSION).alias("schema_version"),
+        F.lit(PERIOD.label).alias("snapshot_id"),
+        F.lit("2024-02-01T06:30:00+00:00").alias("created_at_utc"),
+        F.array("entries").alias("artifacts"),
     )
     audit = snapshot.snapshot_audit(entries, landed_files(f, documents))
-    return snapshot.snapshot_state(audit, manifest, PERIOD.label)
+    broken = snapshot.manifest_rule_audit(entries).unionByName(snapshot.manifest_head_audit(manifest))
+    return snapshot.snapshot_state(audit, manifest, PERIOD.label, broken)
 
 
 # Time and distance
 
+HALF_HOUR_ZONE = "Australia/Lord_Howe"
+
 
 def local_clock_flags(f: Feeds) -> DataFrame:
-    """Quarter hours on the ship dates, which pass every clock change of seven years."""
+    """Quarter hours on the ship dates, which pass every clock change of seven years: as clocks of the
+    railway's zone, and of one that changes by half an hour."""
     quarter = (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11) % 96
     clock = F.timestamp_add("MINUTE", (quarter * 15).cast("int"), F.col("l_shipdate").cast("timestamp"))
     flagged = f.table("lineitem").select(clock.alias("clock"))
-    ambiguous, skipped = is_ambiguous_local(F.col("clock")), is_skipped_local(F.col("clock"))
+    clock = F.col("clock")
+    ambiguous, skipped = is_ambiguous_local(clock), is_skipped_local(clock)
     return (
         flagged.groupBy("clock")
         .agg(F.count(F.lit(1)).alias("line_items"))
+        .withColumns({"berlin": local_instants(clock), "half": local_instants(clock, HALF_HOUR_ZONE)})
         .select(
             "clock",
             "line_items",
             ambiguous.alias("is_ambiguous"),
             skipped.alias("is_skipped"),
-            F.when(~ambiguous & ~skipped, local_to_utc(F.col("clock"))).alias("instant"),
+            F.when(~ambiguous & ~skipped, local_to_utc(clock)).alias("instant"),
+            F.col("berlin.first").alias("first_instant"),
+            F.col("berlin.second").alias("second_instant"),
+            F.col("half.first").alias("half_first_instant"),
+            F.col("half.second").alias("half_second_instant"),
         )
     )
 

@@ -32,6 +32,12 @@ MANIFEST_SCHEMA = """
     >>
 """
 
+# A date, and optionally a time with fractions and zone.
+_ISO_TIME = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    r"([T ]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9]([.,][0-9]{1,6})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+)
+
 VALID = "VALID"
 EMPTY = "EMPTY"
 INCOMPLETE = "INCOMPLETE"
@@ -89,17 +95,31 @@ def entry_rules() -> dict[str, Column]:
     }
 
 
+def head_rules() -> dict[str, Column]:
+    """What the head of a manifest must meet."""
+    return {
+        "unknown_version": F.col("schema_version") == MANIFEST_VERSION,
+        "empty_snapshot_id": F.length(F.trim("snapshot_id")) > 0,
+        "bad_creation_time": F.col("created_at_utc").rlike(_ISO_TIME)
+        & F.substring("created_at_utc", 1, 10).try_cast("date").isNotNull(),
+        "no_artifact_list": F.col("artifacts").isNotNull(),
+    }
+
+
+def manifest_head_audit(manifest: DataFrame) -> DataFrame:
+    """One row per rule that a manifest's head breaks: ``relative_path`` of the manifest, ``rule``."""
+    return manifest.select(F.lit(MANIFEST_FILE).alias("relative_path"), F.explode(_broken(head_rules())).alias("rule"))
+
+
+def _broken(rules: dict[str, Column]) -> Column:
+    return F.array_compact(
+        F.array(*[F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()])
+    )
+
+
 def manifest_rule_audit(entries: DataFrame) -> DataFrame:
     """One row per broken rule: ``relative_path``, ``rule``."""
-    broken = F.array_compact(
-        F.array(
-            *[
-                F.when(~F.coalesce(rule, F.lit(False)), F.lit(name))
-                for name, rule in entry_rules().items()
-            ]
-        )
-    )
-    own = entries.select("relative_path", F.explode(broken).alias("rule"))
+    own = entries.select("relative_path", F.explode(_broken(entry_rules())).alias("rule"))
     repeated = (
         entries.groupBy("relative_path")
         .agg(F.count(F.lit(1)).alias("copies"))
@@ -142,40 +162,46 @@ def snapshot_audit(entries: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_state(audit: DataFrame, manifest: DataFrame, expected_id: str) -> DataFrame:
+def snapshot_state(
+    audit: DataFrame, manifest: DataFrame, expected_id: str, broken_rules: DataFrame | None = None
+) -> DataFrame:
     """One row with the state of the landed snapshot.
 
-    ``manifest`` has a row per manifest file found. Without a readable one the folder is
-    EMPTY or INCOMPLETE; a foreign id or any damaged file makes it CORRUPTED. Unlisted
-    files are counted and do not change the state.
+    ``manifest`` has a row per manifest file found, ``broken_rules`` the findings of the rule audits.
+    Without a manifest that meets the rules the folder is EMPTY or INCOMPLETE; a foreign id or any
+    damaged file makes it CORRUPTED. Unlisted files are counted and do not change the state.
     """
     damaged = F.col("status").isin("missing", "size mismatch", "digest mismatch")
     readable = (
         F.col("snapshot_id").isNotNull()
         & F.coalesce(F.col("schema_version") == MANIFEST_VERSION, F.lit(False))
     )
-    facts = audit.select(
-        F.when(F.col("status") != "missing", 1).otherwise(0).alias("files"),
-        F.when(damaged, 1).otherwise(0).alias("damaged"),
-        F.when(F.col("status") == "unlisted", 1).otherwise(0).alias("unlisted"),
-        F.lit(0).alias("manifests"),
-        F.lit(0).alias("readable"),
-        F.lit(0).alias("foreign"),
+    names = ["files", "damaged", "unlisted", "broken_rules", "manifests", "readable", "foreign"]
+
+    def lane(df: DataFrame, marks: dict[str, Column]) -> DataFrame:
+        return df.select(*[F.when(marks[n], 1).otherwise(0).alias(n) if n in marks else F.lit(0).alias(n) for n in names])
+
+    facts = lane(
+        audit,
+        {
+            "files": F.col("status") != "missing",
+            "damaged": damaged,
+            "unlisted": F.col("status") == "unlisted",
+        },
     ).unionByName(
-        manifest.select(
-            F.lit(0).alias("files"),
-            F.lit(0).alias("damaged"),
-            F.lit(0).alias("unlisted"),
-            F.lit(1).alias("manifests"),
-            F.when(readable, 1).otherwise(0).alias("readable"),
-            F.when(readable & (F.col("snapshot_id") != expected_id), 1).otherwise(0).alias("foreign"),
+        lane(
+            manifest,
+            {"manifests": F.lit(True), "readable": readable, "foreign": readable & (F.col("snapshot_id") != expected_id)},
         )
     )
-    totals = facts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in facts.columns])
+    if broken_rules is not None:
+        facts = facts.unionByName(lane(broken_rules, {"broken_rules": F.lit(True)}))
+    totals = facts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    sound = (F.col("readable") > 0) & (F.col("broken_rules") == 0)
     state = (
-        F.when((F.col("readable") > 0) & ((F.col("foreign") > 0) | (F.col("damaged") > 0)), CORRUPTED)
-        .when(F.col("readable") > 0, VALID)
+        F.when(sound & ((F.col("foreign") > 0) | (F.col("damaged") > 0)), CORRUPTED)
+        .when(sound, VALID)
         .when((F.col("files") > 0) | (F.col("manifests") > 0), INCOMPLETE)
         .otherwise(EMPTY)
     )
-    return totals.select("files", "damaged", "unlisted", state.alias("state"))
+    return totals.select("files", "damaged", "unlisted", "broken_rules", state.alias("state"))

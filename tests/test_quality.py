@@ -263,6 +263,34 @@ def test_snapshot_states(spark, statuses, manifests, state):
     assert snapshot.snapshot_state(audit, heads, "2026-06").first()["state"] == state
 
 
+def test_a_manifest_that_breaks_its_rules_is_no_valid_snapshot(spark):
+    listed = entries(spark, [("/abs.txt", -1, "a" * 64, "notes", None)])
+    audit = spark.createDataFrame([("ok",)], "status string")
+    heads = spark.createDataFrame([("1.0", "2026-06")], "schema_version string, snapshot_id string")
+    row = snapshot.snapshot_state(audit, heads, "2026-06", snapshot.manifest_rule_audit(listed)).first()
+    assert (row["broken_rules"], row["state"]) == (3, "INCOMPLETE")
+    none = snapshot.manifest_rule_audit(listed.limit(0))
+    assert snapshot.snapshot_state(audit, heads, "2026-06", none).first()["state"] == "VALID"
+
+
+@pytest.mark.parametrize(
+    ("head", "rules"),
+    [
+        (("1.0", "2026-06", "2026-07-01T00:00:00+00:00", []), set()),
+        (("1.0", "2026-06", "2026-07-01", []), set()),
+        (("1.0", "2026-06", "2026-07-01 10:15:30.250Z", []), set()),
+        (("2.0", " ", "2026-02-30T00:00:00", []), {"unknown_version", "empty_snapshot_id", "bad_creation_time"}),
+        (("1.0", "2026-06", "yesterday", None), {"bad_creation_time", "no_artifact_list"}),
+        (("1.0", "2026-06", "2026-07-01T25:00:00", []), {"bad_creation_time"}),
+        ((None, None, None, None), {"unknown_version", "empty_snapshot_id", "bad_creation_time", "no_artifact_list"}),
+    ],
+)
+def test_manifest_head_rules(spark, head, rules):
+    df = spark.createDataFrame([head], "schema_version string, snapshot_id string, created_at_utc string, artifacts array<string>")
+    found = {(r["relative_path"], r["rule"]) for r in snapshot.manifest_head_audit(df).collect()}
+    assert found == {("manifest.json", rule) for rule in rules}
+
+
 def test_manifest_file(spark, tmp_path):
     text = (
         '{"schema_version": "1.0", "snapshot_id": "2026-06", "created_at_utc": "2026-07-01T00:00:00+00:00",\n'

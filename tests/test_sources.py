@@ -168,7 +168,7 @@ def test_last_station_of_the_archive_wins(spark, tmp_path):
     latest = {r["number"]: r["name"] for r in api_archive.latest_station_objects(stored).collect()}
     assert latest == {1: "new", 2: "two"}
     audit = api_archive.archive_audit(stored).first().asDict()
-    assert audit == {"responses": 6, "accepted": 2, "malformed": 0, "stations_listed": 5, "usable": True}
+    assert audit == {"responses": 6, "accepted": 2, "malformed": 0, "stations_listed": 5, "unreadable_numbers": 0, "usable": True}
 
 
 @pytest.mark.parametrize("bad", ["{broken", '{"result": []}', '{"other": 1}'])
@@ -205,3 +205,26 @@ def test_audit_follows_the_header_and_skips_blank_lines(spark):
     )
     row = delimited.observation_file_audit(lines, delimited.TEMPERATURE_FIELDS, JUNE).first()
     assert (row["readings"], row["in_period"], row["covers_period"], row["order_differs"]) == (1, 1, True, True)
+
+
+def test_archive_faults_end_the_read(spark):
+    sound = [(api_archive.STATION_INTERFACE, 200, '{"result": [{"number": 1, "name": "a"}, {"name": "no number"}]}')]
+    other = [("plan", 200, "{broken"), (api_archive.STATION_INTERFACE, 503, "{broken"), (api_archive.STATION_INTERFACE, 200, "")]
+    ordered = lambda rows: archive(spark, rows).withColumn("at", F.monotonically_increasing_id())
+    good = ordered(sound + other)
+    assert [r["number"] for r in api_archive.checked_station_objects(good, ["at"]).collect()] == [1]
+    audit = api_archive.archive_audit(good).first()
+    assert (audit["stations_listed"], audit["unreadable_numbers"], audit["usable"]) == (2, 0, True)
+    for body, told in (
+        ('{"result": [{"number": "12a"}, {"number": 7}]}', "cannot be read: 12a"),
+        ('{"result": [', "without stations"),
+        ('{"result": []}', "without stations"),
+        ("[]", "without stations"),
+    ):
+        bad = ordered(sound + [(api_archive.STATION_INTERFACE, 200, body)])
+        with pytest.raises(Exception, match=told):
+            api_archive.checked_station_objects(bad, ["at"]).select("name").collect()
+        assert not api_archive.archive_audit(bad).first()["usable"]
+    bad = ordered([(api_archive.STATION_INTERFACE, 200, '{"result": [{"number": "12a"}, {"number": 7}]}')])
+    audit = api_archive.archive_audit(bad).first()
+    assert (audit["malformed"], audit["stations_listed"], audit["unreadable_numbers"]) == (0, 2, 1)

@@ -107,6 +107,36 @@ def test_clock_changes_are_flagged(spark, clock, ambiguous, skipped):
     assert tuple(row) == (ambiguous, skipped)
 
 
+@pytest.mark.parametrize(
+    ("zone", "clock", "first", "second"),
+    [
+        ("Europe/Berlin", "2026-10-25 02:30:00", "2026-10-25 00:30:00", "2026-10-25 01:30:00"),
+        ("Europe/Berlin", "2026-03-29 02:30:00", None, None),
+        ("Europe/Berlin", "2026-06-01 02:30:00", "2026-06-01 00:30:00", None),
+        # Half an hour: 10:30 ahead in winter, 11:00 in summer.
+        ("Australia/Lord_Howe", "2026-04-05 01:45:00", "2026-04-04 14:45:00", "2026-04-04 15:15:00"),
+        ("Australia/Lord_Howe", "2026-04-05 02:00:00", "2026-04-04 15:30:00", None),
+        ("Australia/Lord_Howe", "2026-10-04 02:15:00", None, None),
+        ("Australia/Lord_Howe", "2026-10-04 02:30:00", "2026-10-03 15:30:00", None),
+        # Two hours.
+        ("Antarctica/Troll", "2026-10-25 01:30:00", "2026-10-24 23:30:00", "2026-10-25 01:30:00"),
+        ("Antarctica/Troll", "2026-03-29 02:59:00", None, None),
+        ("UTC", "2026-10-25 02:30:00", "2026-10-25 02:30:00", None),
+        # A day that was left out.
+        ("Pacific/Apia", "2011-12-30 12:00:00", None, None),
+    ],
+)
+def test_instants_of_any_zone(spark, zone, clock, first, second):
+    df = spark.sql(f"SELECT TIMESTAMP '{clock}' AS c").select(t.local_instants(F.col("c"), zone).alias("i"), t.is_skipped_local(F.col("c"), zone).alias("s"), t.is_ambiguous_local(F.col("c"), zone).alias("a"))
+    row = df.select(F.col("i.first").cast("string"), F.col("i.second").cast("string"), "s", "a").first()
+    assert tuple(row) == (first, second, first is None, second is not None)
+
+
+def test_no_clock_has_no_flags(spark):
+    row = spark.sql("SELECT CAST(NULL AS TIMESTAMP) c").select(t.is_ambiguous_local(F.col("c")), t.is_skipped_local(F.col("c")), t.local_instants(F.col("c"))["first"]).first()
+    assert tuple(row) == (None, None, None)
+
+
 def test_clock_change_instants(spark):
     df = spark.sql("SELECT explode(array(TIMESTAMP '2026-10-25 02:30:00', TIMESTAMP '2026-03-29 02:30:00')) c")
     assert texts(df.select(t.local_to_utc(F.col("c")).alias("u")), "u") == [

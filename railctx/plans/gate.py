@@ -4,20 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from railctx.operators.sensors import active_network
+from railctx.operators.stations import stations
 from railctx.period import Period
 from railctx.quality.coverage import period_coverage
+from railctx.quality.snapshot import (
+    VALID,
+    file_inventory,
+    manifest_entries,
+    manifest_head_audit,
+    manifest_rule_audit,
+    read_manifest,
+    snapshot_audit,
+    snapshot_state,
+)
+from railctx.sources.api_archive import archive_audit, read_archive
 from railctx.sources.delimited import (
     TEMPERATURE_FIELDS,
     WIND_FIELDS,
     observation_file_audit,
     read_observation_lines,
 )
+from railctx.sources.fixed_width import read_lines
 from railctx.sources.landing import LandingPaths
 from railctx.sources.railway import read_stops, stop_columns, stored_columns
+from railctx.sources.station_json import read_station_objects
 
 
 class SourceRejected(ValueError):
@@ -59,9 +75,53 @@ def _observations(spark: SparkSession, path: str, fields: list[str], period: Per
     return found
 
 
-def source_findings(spark: SparkSession, landing: LandingPaths, period: Period) -> list[str]:
+def _stations(spark: SparkSession, landing: LandingPaths, from_archive: bool) -> list[str]:
+    if from_archive:
+        counts = archive_audit(read_archive(spark, landing.station_archive)).first()
+        found = [f"{counts[c]} {text}" for c, text in _ARCHIVE_FAULTS.items() if counts[c]]
+        return found if counts["stations_listed"] else [*found, "the station archive lists no station"]
+    listed = stations(read_station_objects(spark, landing.station_json))
+    return ["the station file has no EVA number"] if listed.isEmpty() else []
+
+
+_ARCHIVE_FAULTS = {
+    "malformed": "archived station responses are broken or empty",
+    "unreadable_numbers": "archived station numbers cannot be read",
+}
+
+
+def _listing(spark: SparkSession, path: str, feed: str, period: Period) -> list[str]:
+    if active_network(read_lines(spark, path), period).isEmpty():
+        return [f"no {feed} sensor is active in all of {period.label}"]
+    return []
+
+
+def _snapshot(spark: SparkSession, landing: LandingPaths, period: Period, required: bool) -> list[str]:
+    """The landed files against their manifest, if there is one; files are read and hashed."""
+    try:
+        manifest = read_manifest(spark, landing.base)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return ["the snapshot has no manifest"] if required else []
+    entries = manifest_entries(manifest)
+    broken = manifest_rule_audit(entries).unionByName(manifest_head_audit(manifest))
+    audit = snapshot_audit(entries, file_inventory(spark, landing.base))
+    row = snapshot_state(audit, manifest, period.label, broken).first()
+    if row["state"] == VALID:
+        return []
+    return [f"the snapshot is {row['state']}: {row['damaged']} files damaged, {row['broken_rules']} rules broken"]
+
+
+def source_findings(
+    spark: SparkSession, landing: LandingPaths, period: Period, from_archive: bool = False, require_manifest: bool = False
+) -> list[str]:
     """Everything that speaks against publishing; empty if nothing does. Counts only reach the driver."""
     checks: dict[str, Callable[[], list[str]]] = {
+        "snapshot": lambda: _snapshot(spark, landing, period, require_manifest),
+        "stations": lambda: _stations(spark, landing, from_archive),
+        "temperature listing": lambda: _listing(spark, landing.temperature_listing, "temperature", period),
+        "wind listing": lambda: _listing(spark, landing.wind_listing, "wind", period),
         "stops": lambda: _stops(spark, landing.stops, period),
         "temperature": lambda: _observations(spark, landing.temperature_files, TEMPERATURE_FIELDS, period, "temperature"),
         "wind": lambda: _observations(spark, landing.wind_files, WIND_FIELDS, period, "wind"),
@@ -70,11 +130,19 @@ def source_findings(spark: SparkSession, landing: LandingPaths, period: Period)
     for feed, check in checks.items():
         try:
             findings += check()
-        except AnalysisException as error:
+        except PySparkException as error:
             findings.append(f"{feed} cannot be read ({error.getCondition()})")
+        except Py4JJavaError as error:
+            # A task that met a broken file; anything else that ends a job says nothing about the files.
+            condition = getattr(error.java_exception, "getCondition", lambda: None)()
+            if condition is None or not condition.startswith(("FAILED_READ_FILE", "MALFORMED_")):
+                raise
+            findings.append(f"{feed} cannot be read ({condition})")
     return findings
 
 
-def require_sources(spark: SparkSession, landing: LandingPaths, period: Period) -> None:
-    if findings := source_findings(spark, landing, period):
+def require_sources(
+    spark: SparkSession, landing: LandingPaths, period: Period, from_archive: bool = False, require_manifest: bool = False
+) -> None:
+    if findings := source_findings(spark, landing, period, from_archive, require_manifest):
         raise SourceRejected(findings)

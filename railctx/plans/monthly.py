@@ -2,55 +2,96 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railctx.contracts import CONTRACTS, conform
 from railctx.operators.enrich import train_stop_weather
-from railctx.operators.months import PERIOD_COLUMN, with_period, write_periods
 from railctx.operators.readings import temperature_hourly, wind_hourly
 from railctx.operators.sensors import station_weather_mapping, weather_stations
 from railctx.operators.stations import stations
 from railctx.operators.stops import train_stops
 from railctx.period import Period
 from railctx.plans.gate import require_sources
+from railctx.plans.publication import Check, Publications
+from railctx.quality.coverage import match_counters, missing_hours
 from railctx.quality.expectations import observed
+from railctx.quality.grain import GRAINS
+from railctx.quality.uniqueness import uniqueness
 from railctx.session import require_utc, together
+from railctx.sources.api_archive import checked_station_objects, read_archive
 from railctx.sources.delimited import TEMPERATURE_FIELDS, WIND_FIELDS, named_fields, read_observation_lines
 from railctx.sources.fixed_width import read_lines
 from railctx.sources.landing import LandingPaths
-from railctx.sources.railway import read_stops
+from railctx.sources.railway import read_stops, stored_schema
 from railctx.sources.station_json import read_station_objects
 
 
+def new_run() -> str:
+    """Names of later runs sort after those of earlier ones."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+@dataclass(frozen=True)
+class Limits:
+    """What a month must reach for older months to be retired on its strength."""
+
+    least_match: dict[str, float] = field(
+        default_factory=lambda: {
+            "station": 0.95,
+            "temperature_sensor": 0.95,
+            "wind_sensor": 0.95,
+            "temperature": 0.5,
+            "wind": 0.5,
+        }
+    )
+    most_missing_hours: int = 24
+
+
 @dataclass
 class MonthlyRun:
     """Builds and writes the seven tables of one period in dependency order.
 
     Every table is written before the next one reads it: the lookups of the enrichment are
     then measured from stored files, and a lost executor costs one table, not the month.
-    Each write replaces its own period only and counts the expectations on the way. Nothing is
-    published from sources that ``require_sources`` rejects.
+    Tables go to folders of this run, count their expectations on the way, and become visible together
+    at the end, with the checks of the run beside them. Nothing is written from sources that
+    ``require_sources`` rejects. Stations come from the JSON file or, with ``from_archive``,
+    from the archived responses.
     """
 
     spark: SparkSession
     landing: LandingPaths
     period: Period
     output: str
+    from_archive: bool = False
+    require_manifest: bool = False
+    database: str | None = None
+    limits: Limits = field(default_factory=Limits)
+    run_id: str = field(default_factory=new_run)
+
+    @property
+    def publications(self) -> Publications:
+        return Publications(self.spark, self.output)
 
     def read(self, table: str) -> DataFrame:
-        """This period's rows of a published table; other periods are pruned."""
-        path = f"{self.output.rstrip('/')}/{table}"
-        # The contract's columns, so that a period without rows reads as an empty table.
-        stored = self.spark.read.schema(f"{CONTRACTS[table].ddl}, {PERIOD_COLUMN} string").parquet(path)
-        return conform(stored.where(F.col(PERIOD_COLUMN) == self.period.label), CONTRACTS[table])
-
-    def publish(self, table: str, df: DataFrame) -> dict[str, int]:
-        """Write one table; returns its row count and the violations of each rule."""
-        rows, counters = observed(conform(df, CONTRACTS[table]), table, self.period)
-        write_periods(with_period(rows, self.period), f"{self.output.rstrip('/')}/{table}", [self.period.label])
+        """This period's rows of a published table; other periods and runs are not read."""
+        return self.publications.read(table, self.period.label)
+
+    def own(self, table: str) -> DataFrame:
+        """A table that this run has written."""
+        return self.publications.read_run(table, self.period.label, self.run_id)
+
+    def store(self, table: str, df: DataFrame, more: dict[str, Column] | None = None) -> dict[str, int]:
+        """Write one table; returns its row count, the violations of each rule, and what else is to be counted."""
+        rows, counters = observed(df, table, self.period, more)
+        self.publications.write(table, self.period.label, self.run_id, conform(rows, CONTRACTS[table]))
         return counters.get
 
     def observations(self, path: str, fields: list[str]) -> DataFrame:
@@ -63,48 +104,81 @@ class MonthlyRun:
         low, high = self.period.nanos
         return read_stops(self.spark, self.landing.stops).where(time.isNull() | ((time >= low) & (time < high)))
 
+    def station_objects(self) -> DataFrame:
+        if self.from_archive:
+            return checked_station_objects(read_archive(self.spark, self.landing.station_archive))
+        return read_station_objects(self.spark, self.landing.station_json)
+
     def run(self) -> dict[str, dict[str, int]]:
         require_utc(self.spark)
         spark, landing, period = self.spark, self.landing, self.period
-        require_sources(spark, landing, period)
-        report = together(
-            spark,
-            {
-                "stations": lambda: self.publish(
-                    "stations", stations(read_station_objects(spark, landing.station_json))
-                ),
-                "weather_stations": lambda: self.publish(
-                    "weather_stations",
-                    weather_stations(
-                        read_lines(spark, landing.temperature_listing),
-                        read_lines(spark, landing.wind_listing),
-                        period,
-                    ),
-                ),
-                "temperature_hourly": lambda: self.publish(
-                    "temperature_hourly",
-                    temperature_hourly(self.observations(landing.temperature_files, TEMPERATURE_FIELDS), period),
-                ),
-                "wind_hourly": lambda: self.publish(
-                    "wind_hourly", wind_hourly(self.observations(landing.wind_files, WIND_FIELDS), period)
-                ),
-                "train_stops": lambda: self.publish(
-                    "train_stops", train_stops(self.stops())
-                ),
-            },
+        require_sources(spark, landing, period, self.from_archive, self.require_manifest)
+        # Older runs of the month stay as they are; this one starts over.
+        self.run_id = new_run()
+        report = together(spark, self._independent())
+        report["station_weather_mapping"] = self.store(
+            "station_weather_mapping", station_weather_mapping(self.own("stations"), self.own("weather_stations"))
         )
-        report["station_weather_mapping"] = self.publish(
-            "station_weather_mapping",
-            station_weather_mapping(self.read("stations"), self.read("weather_stations")),
-        )
-        report["train_stop_weather"] = self.publish(
+        matches = match_counters()
+        gold = self.store(
             "train_stop_weather",
             train_stop_weather(
-                self.read("train_stops"),
-                self.read("stations"),
-                self.read("station_weather_mapping"),
-                self.read("temperature_hourly"),
-                self.read("wind_hourly"),
+                self.own("train_stops"),
+                self.own("stations"),
+                self.own("station_weather_mapping"),
+                self.own("temperature_hourly"),
+                self.own("wind_hourly"),
+                flags=True,
             ),
+            {f"met:{name}": counter for name, counter in matches.items()},
         )
+        met = {name: gold.pop(f"met:{name}") for name in matches}
+        report["train_stop_weather"] = gold
+        checks = self.checks(report, met)
+        if self.database is not None:
+            self.publications.declare(self.database)
+        self.publications.publish(period.label, self.run_id, checks)
+        if self.database is not None:
+            self.publications.refresh(self.database, period.label, self.run_id)
         return report
+
+    def _independent(self) -> dict[str, Callable[[], dict[str, int]]]:
+        """Tables that need no other table of the run."""
+        spark, landing, period = self.spark, self.landing, self.period
+        tables = {
+            "stations": lambda: stations(self.station_objects()),
+            "weather_stations": lambda: weather_stations(
+                read_lines(spark, landing.temperature_listing), read_lines(spark, landing.wind_listing), period
+            ),
+            "temperature_hourly": lambda: temperature_hourly(
+                self.observations(landing.temperature_files, TEMPERATURE_FIELDS), period
+            ),
+            "wind_hourly": lambda: wind_hourly(self.observations(landing.wind_files, WIND_FIELDS), period),
+            "train_stops": lambda: train_stops(self.stops()),
+        }
+        return {name: lambda name=name, build=build: self.store(name, build()) for name, build in tables.items()}
+
+    # Checks
+
+    def checks(self, report: dict[str, dict[str, int]], met: dict[str, int]) -> list[Check]:
+        """Counts, grain, coverage, join rates and source schema of this run.
+
+        ``passed`` is set where older months may only be retired if it holds.
+        """
+        found: list[Check] = []
+        for table, counts in report.items():
+            found.append((table, "count", "rows", float(counts["row_count"]), None, counts["row_count"] > 0))
+            found += [(table, "violations", rule, float(n), None, None) for rule, n in counts.items() if rule != "row_count"]
+        stops, rows = report["train_stops"]["row_count"], report["train_stop_weather"]["row_count"]
+        found.append(("train_stop_weather", "count", "rows_added", float(rows - stops), None, rows == stops))
+        for name, count in met.items():
+            share, least = (count / rows if rows else 0.0), self.limits.least_match.get(name)
+            found.append(("train_stop_weather", "match", name, share, None, None if least is None else share >= least))
+        counted = together(self.spark, {t: partial(uniqueness, self.own(t), key) for t, key in GRAINS.items()})
+        for table, counts in counted.items():
+            found.append((table, "grain", "surplus_rows", float(counts["surplus_rows"]), None, counts["surplus_rows"] == 0))
+        missing = missing_hours(self.own("train_stops"), self.period).count()
+        found.append(("train_stops", "coverage", "missing_hours", float(missing), None, missing <= self.limits.most_missing_hours))
+        schema = stored_schema(self.spark, self.landing.stops)
+        found += [("train_stops", "source_column", f.name.strip(), None, f.dataType.simpleString(), None) for f in schema]
+        return found

@@ -74,10 +74,12 @@ def _named(counters: dict[str, Column]) -> list[Column]:
     return [counter.alias(name) for name, counter in counters.items()]
 
 
-def observed(df: DataFrame, table: str, period: Period) -> tuple[DataFrame, Observation]:
+def observed(
+    df: DataFrame, table: str, period: Period, more: dict[str, Column] | None = None
+) -> tuple[DataFrame, Observation]:
     """The same rows, counted while whatever action runs over them; the write, for one."""
     observation = Observation(table)
-    return df.observe(observation, *_named(rule_counters(table, period))), observation
+    return df.observe(observation, *_named(rule_counters(table, period) | (more or {}))), observation
 
 
 def expectation_report(tables: dict[str, DataFrame], period: Period) -> DataFrame:

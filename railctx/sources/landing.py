@@ -22,6 +22,10 @@ class LandingPaths:
     temperature_files: str
     wind_files: str
     stops: str
+    #: Archived responses that the station file was made from.
+    station_archive: str = ""
+    #: The folder itself, with the manifest.
+    base: str = ""
 
     @classmethod
     def under(cls, base: str, period: Period) -> LandingPaths:
@@ -34,6 +38,8 @@ class LandingPaths:
             temperature_files=f"{root}/dwd/temperature/*.txt",
             wind_files=f"{root}/dwd/wind/*.txt",
             stops=f"{root}/railway/data-{period.label}.parquet",
+            station_archive=f"{root}/stada/responses-{period.label}.parquet",
+            base=root,
         )
 
     @classmethod

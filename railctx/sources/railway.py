@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Fixed columns of the feed. The five times are zone-less nanoseconds, which Spark cannot
 # infer as a timestamp; declared as integers they are read as stored. The two counters are
@@ -33,16 +34,20 @@ def stop_columns() -> list[str]:
     return [line.split()[0] for line in STOP_COLUMNS.strip().splitlines()]
 
 
-def stored_columns(spark: SparkSession, path: str) -> list[str]:
+def stored_schema(spark: SparkSession, path: str) -> T.StructType:
     """The columns a delivery really has; Spark infers them only if nanoseconds may be integers."""
     name = "spark.sql.legacy.parquet.nanosAsLong"
     before = spark.conf.get(name)
     spark.conf.set(name, "true")
     try:
-        return spark.read.parquet(path).columns
+        return spark.read.parquet(path).schema
     finally:
         spark.conf.set(name, before)
 
 
+def stored_columns(spark: SparkSession, path: str) -> list[str]:
+    return stored_schema(spark, path).names
+
+
 def read_stops(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STOP_COLUMNS).parquet(path)

@@ -1,5 +1,6 @@
 """From landed files to published tables."""
 
+import hashlib
 import json
 
 import pyarrow as pa
@@ -9,7 +10,8 @@ import pytest
 from railctx.contracts import CONTRACTS, contract_diff
 from railctx.period import Period
 from railctx.plans.gate import SourceRejected
-from railctx.plans.monthly import MonthlyRun
+from railctx.plans.monthly import Limits, MonthlyRun
+from railctx.plans.publication import Publications, RetirementRefused, compare_with_previous
 from railctx.sources.landing import LandingPaths
 
 JUNE = Period.month("2026-06")
@@ -173,3 +175,197 @@ def test_files_with_other_field_order_and_foreign_stops(spark, tmp_path):
     assert readings == {("2026-06-01 12:00:00", 21.5, 48.0), ("2026-06-01 13:00:00", 19.5, 40.0)}
     plan = run.stops()._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(time" in plan
+
+
+# Publication
+
+
+class Killed(Exception):
+    pass
+
+
+def test_a_run_killed_between_two_tables_leaves_the_old_month(spark, tmp_path, monkeypatch):
+    output = str(tmp_path / "tables")
+    paths = land(tmp_path / "a", JUNE, STOPS)
+    first = MonthlyRun(spark, paths, JUNE, output)
+    first.run()
+    before = {name: sorted(map(str, first.read(name).collect())) for name in CONTRACTS}
+    corrected = land(tmp_path / "b", JUNE, [*STOPS, ("s4", "8000261", HALF_PAST_TWO)])
+    for last in ("station_weather_mapping", "train_stop_weather"):
+        second = MonthlyRun(spark, corrected, JUNE, output)
+        real = second.store
+
+        def store(table, *args, real=real, last=last):
+            if table == last:
+                raise Killed(table)
+            return real(table, *args)
+
+        monkeypatch.setattr(second, "store", store)
+        with pytest.raises(Killed):
+            second.run()
+        assert second.own("train_stops").count() == 4
+        assert {name: sorted(map(str, second.read(name).collect())) for name in CONTRACTS} == before
+    assert MonthlyRun(spark, corrected, JUNE, output).run()["train_stops"]["row_count"] == 4
+    assert first.read("train_stop_weather").count() == first.read("train_stops").count() == 4
+
+
+def test_nothing_published_reads_as_no_rows(spark, tmp_path):
+    for name, contract in CONTRACTS.items():
+        rows = Publications(spark, str(tmp_path / "none")).read(name, "2026-06")
+        assert rows.count() == 0 and contract_diff(rows, contract) == []
+
+
+def test_catalog_tables_follow_the_publication(spark, tmp_path):
+    output, base = str(tmp_path / "tables"), "railctx_follow"
+    spark.sql(f"DROP DATABASE IF EXISTS {base} CASCADE")
+    MonthlyRun(spark, land(tmp_path / "a", JUNE, STOPS), JUNE, output, database=base).run()
+    view = f"{base}.train_stop_weather"
+    assert spark.table(view).count() == 3
+    described = {r["col_name"]: (r["data_type"], r["comment"]) for r in spark.sql(f"DESCRIBE {view}").collect()}
+    for name, kind, comment in CONTRACTS["train_stop_weather"].columns:
+        assert described[name] == (kind, comment)
+    again = MonthlyRun(spark, land(tmp_path / "b", JUNE, STOPS[:1]), JUNE, output, database=base)
+    again.run()
+    assert spark.table(view).count() == 1
+    july = Period.month("2026-07")
+    month = 30 * 24 * 3600 * 10**9
+    MonthlyRun(spark, land(tmp_path / "c", july, [("t1", "8000261", HALF_PAST_TWO + month)]), july, output, database=base).run()
+    assert {(r["period"], r["id"]) for r in spark.table(view).collect()} == {("2026-06", "s1"), ("2026-07", "t1")}
+    assert {r["period"] for r in spark.table(f"{base}.stations").collect()} == {"2026-06", "2026-07"}
+    # What was replaced goes, what is shown stays.
+    lenient = Publications(spark, output)
+    refused = lenient.read("train_stops", "2026-06").count()
+    with pytest.raises(RetirementRefused):
+        lenient.retire("2026-07", 12, base)
+    assert refused == 1 and spark.table(view).count() == 2
+
+
+LENIENT = Limits({"station": 0.0, "temperature": 0.0}, 800)
+
+
+def test_retirement_asks_for_the_checks_of_the_newest_month(spark, tmp_path):
+    output, base = str(tmp_path / "tables"), "railctx_retire"
+    spark.sql(f"DROP DATABASE IF EXISTS {base} CASCADE")
+    month = 30 * 24 * 3600 * 10**9
+    july = Period.month("2026-07")
+    stops = [("t1", "8000261", HALF_PAST_TWO + month)]
+    june = MonthlyRun(spark, land(tmp_path / "a", JUNE, STOPS), JUNE, output, database=base)
+    june.run()
+    replaced = june.run_id
+    june.run()
+    published = Publications(spark, output)
+    with pytest.raises(RetirementRefused, match="2026-07 is not published"):
+        published.retire("2026-07", 1, base)
+    # Most hours have no stop, so the month does not pass.
+    MonthlyRun(spark, land(tmp_path / "b", july, stops), july, output, database=base).run()
+    with pytest.raises(RetirementRefused, match="train_stops coverage missing_hours"):
+        published.retire("2026-07", 1, base)
+    # A repeated id breaks the grain, whatever the limits.
+    MonthlyRun(spark, land(tmp_path / "c", july, stops * 2), july, output, database=base, limits=LENIENT).run()
+    with pytest.raises(RetirementRefused, match="train_stops grain surplus_rows"):
+        published.retire("2026-07", 1, base)
+    assert published.read("train_stops", "2026-06").count() == 3
+    good = MonthlyRun(spark, land(tmp_path / "d", july, stops), july, output, database=base, limits=LENIENT)
+    good.run()
+    gone = published.retire("2026-07", 1, base)
+    assert ("2026-06", replaced) in gone and ("2026-06", june.run_id) in gone and ("2026-07", good.run_id) not in gone
+    assert published.read("train_stops", "2026-06").count() == 0 and published.read("train_stops", "2026-07").count() == 1
+    assert {r["period"] for r in spark.table(f"{base}.train_stop_weather").collect()} == {"2026-07"}
+    assert not list((tmp_path / "tables" / "train_stops").glob("period=2026-06/run=*"))
+    # Nothing more to do; publications and checks are kept.
+    assert published.retire("2026-07", 1, base) == []
+    assert {r["run"] for r in published.checks().select("run").distinct().collect()} == {good.run_id}
+    # A retired month can be published anew.
+    june.run()
+    assert june.read("train_stops").count() == 3
+
+
+def test_months_are_compared_by_their_checks(spark, tmp_path):
+    output = str(tmp_path / "tables")
+    month = 30 * 24 * 3600 * 10**9
+    july = Period.month("2026-07")
+    MonthlyRun(spark, land(tmp_path / "a", JUNE, STOPS), JUNE, output).run()
+    paths = land(tmp_path / "b", july, [("t1", "8000261", HALF_PAST_TWO + month)])
+    stored = pq.read_table(tmp_path / "b" / paths.stops)
+    place = stored.schema.get_field_index("delay_in_min")
+    wide = stored.set_column(place, "delay_in_min", stored["delay_in_min"].cast(pa.int64()))
+    pq.write_table(wide.append_column("extra", pa.array(["x"])), tmp_path / "b" / paths.stops)
+    MonthlyRun(spark, paths, july, output).run()
+    rows = {(r["table_name"], r["kind"], r["item"]): r for r in compare_with_previous(Publications(spark, output).checks()).collect()}
+    assert {r["period"] for r in rows.values()} == {"2026-07"}
+    count = rows["train_stops", "count", "rows"]
+    assert (count["value"], count["previous_value"], count["change"]) == (1.0, 3.0, -2.0)
+    match = rows["train_stop_weather", "match", "station"]
+    assert (match["value"], round(match["previous_value"], 3)) == (1.0, 0.667)
+    kind = rows["train_stops", "source_column", "delay_in_min"]
+    assert (kind["text"], kind["previous_text"], kind["differs"]) == ("bigint", "int", True)
+    added = rows["train_stops", "source_column", "extra"]
+    assert (added["text"], added["previous_text"], added["differs"]) == ("string", None, True)
+    assert not rows["train_stops", "source_column", "id"]["differs"]
+
+
+# More that is refused
+
+
+def test_stations_from_the_archive(spark, tmp_path):
+    paths = land(tmp_path, JUNE, STOPS)
+    station = json.loads((tmp_path / paths.station_json).read_text(encoding="utf-8"))[0]
+    rows = [("station-data/v2/stations", 200, json.dumps({"result": [station | {"name": "old"}]})), ("station-data/v2/stations", 200, json.dumps({"result": [station]}))]
+    schema = "api_name string, status_code bigint, response_data string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(paths.station_archive)
+    run = MonthlyRun(spark, paths, JUNE, str(tmp_path / "tables"), from_archive=True)
+    run.run()
+    assert [r["station_name"] for r in run.read("stations").collect()] == ["München Hbf"]
+    bad = [("station-data/v2/stations", 200, '{"result": [{"number": "12a"}, {"number": 1}]}'), ("station-data/v2/stations", 200, '{"result": []}')]
+    spark.createDataFrame(rows + bad, schema).write.mode("overwrite").parquet(paths.station_archive)
+    with pytest.raises(SourceRejected) as caught:
+        run.run()
+    assert caught.value.findings == ["1 archived station responses are broken or empty", "1 archived station numbers cannot be read"]
+    assert run.read("stations").count() == 1
+
+
+def test_broken_stations_and_idle_sensors_are_refused(spark, tmp_path):
+    def change(root, paths):
+        (root / paths.station_json).write_text("[{broken")
+        line = listing_line("3380", "48.1632", "11.5429", "München-Stadt").replace("20991231", "20200101")
+        (root / paths.wind_listing).write_bytes(("head\n" + "-" * 60 + "\n" + line + "\n").encode("latin-1"))
+
+    findings = refused(spark, tmp_path / "a", change)
+    assert findings[0].startswith("stations cannot be read") and findings[1:] == ["no wind sensor is active in all of 2026-06"]
+
+    def empty(root, paths):
+        (root / paths.station_json).write_text("[]")
+
+    assert refused(spark, tmp_path / "b", empty) == ["the station file has no EVA number"]
+
+
+def write_manifest(root, change=lambda artifact: artifact, label="2026-06"):
+    files = [f for f in root.rglob("*") if f.is_file() and f.name != "manifest.json"]
+    artifacts = [
+        change({"relative_path": str(f.relative_to(root)), "byte_size": f.stat().st_size, "sha256": hashlib.sha256(f.read_bytes()).hexdigest(), "role": "dwd_metadata"})
+        for f in files
+    ]
+    head = {"schema_version": "1.0", "snapshot_id": label, "created_at_utc": "2026-07-01T00:00:00+00:00", "artifacts": artifacts}
+    (root / "manifest.json").write_text(json.dumps(head))
+
+
+def test_the_snapshot_is_checked_before_a_month_is_published(spark, tmp_path):
+    root = tmp_path / "landing"
+    paths = land(root, JUNE, STOPS)
+    run = MonthlyRun(spark, paths, JUNE, str(tmp_path / "tables"), require_manifest=True)
+
+    def findings():
+        with pytest.raises(SourceRejected) as caught:
+            run.run()
+        return caught.value.findings
+
+    assert findings() == ["the snapshot has no manifest"]
+    write_manifest(root, lambda a: a | {"sha256": "0" * 64} if "stada" in a["relative_path"] else a)
+    assert findings() == ["the snapshot is CORRUPTED: 1 files damaged, 0 rules broken"]
+    write_manifest(root, lambda a: a | {"role": "notes"} if "stada" in a["relative_path"] else a)
+    assert findings() == ["the snapshot is INCOMPLETE: 0 files damaged, 1 rules broken"]
+    write_manifest(root, label="2025-01")
+    assert findings() == ["the snapshot is CORRUPTED: 0 files damaged, 0 rules broken"]
+    write_manifest(root)
+    assert run.run()["train_stops"]["row_count"] == 3
+

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,9 +37,10 @@ END = 2
 #: Rows leave a task when they hold so many ids.
 BATCH_IDS = 1 << 20
 #: Words, and their parts, that a worker remembers.
-MEMO_WORDS, MEMO_PARTS = 300_000, 300_000
-_CLOSING = b".,;:!?"
-_ASCII = "".join(map(chr, range(33, 127)))
+MEMO_WORDS, MEMO_PARTS = 500_000, 300_000
+_CLOSING = ".,;:!?"
+#: Up to here no letter combines with another, and none looks at its neighbours to change case.
+_LAST_LATIN = "\u024f"
 #: Counts of the pieces by task and length are broadcast up to this size, of about so many bytes a row.
 BROADCAST_BYTES, COUNT_BYTES = 32 << 20, 64
 
@@ -49,46 +51,76 @@ def word_coder(path: str) -> Memo:
     """Token ids by word, as little-endian unsigned 32-bit bytes.
 
     The vocabulary drops white space and never joins across it, so the ids of a text are those
-    of its words in order. Splitting at ASCII white space is safe for any finer rule inside. New words
-    are looked up once more without closing punctuation and case, where that gives the same ids.
+    of its words in order. Splitting at ASCII white space is safe for any finer rule inside.
     """
     if path not in _coders:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-
-        def encode(words: list[bytes]) -> list[bytes]:
-            """All new parts of a text in one call, which tells the part of each id."""
-            found = tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            cuts = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1))
-            return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-        known = Memo(encode, MEMO_PARTS)
-        simple = _parts_alone(tokenizer)
-
-        def by_parts(words: list[bytes]) -> list[bytes]:
-            split = [_parts(w) if simple else (w, b"") for w in words]
-            cores, tails = zip(*split, strict=True)
-            return [a + b for a, b in zip(known.of(list(cores)), known.of(list(tails)), strict=True)]
-
-        _coders[path] = Memo(by_parts, MEMO_WORDS)
+        _coders[path] = Memo(Words(Tokenizer.from_file(path)), MEMO_WORDS)
     return _coders[path]
 
 
-def _parts(word: bytes) -> tuple[bytes, bytes]:
-    """A word of ASCII letters and its closing punctuation; any other word stays whole."""
-    core = word.rstrip(_CLOSING)
-    return (core.lower(), word[len(core) :]) if core.isalpha() else (word, b"")
+class Words:
+    """Ids of words, all words of a call at a time.
 
+    Most words are Latin letters with closing punctuation. What the tokenizer does to such a word before
+    its merges is done here letter by letter, as the tokenizer itself spells each letter, and the merges are
+    called alone; letters without case and punctuation recur, so their ids are remembered. Any other word goes through
+    the whole tokenizer, and so do all words where it does not cut letters from punctuation.
+    """
 
-def _parts_alone(tokenizer) -> bool:
-    """Whether the tokenizer lower-cases ASCII and cuts between a letter and closing punctuation."""
-    lowered = tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str(_ASCII) == _ASCII.lower()
-    probe = "a".join(chr(c) for c in _CLOSING)
-    cuts = tokenizer.pre_tokenizer.pre_tokenize_str(probe) if tokenizer.pre_tokenizer is not None else []
-    return lowered and [part for part, _ in cuts] == list(probe)
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.letters: dict[str, str | None] = {}
+        self.spelled = Memo(lambda cores: map(self.merged, cores), MEMO_PARTS)
+        self.whole = Memo(self.encoded, MEMO_PARTS)
+        self.simple = self._cuts_letters_off()
+
+    def _cuts_letters_off(self) -> bool:
+        if self.tokenizer.normalizer is None or self.tokenizer.pre_tokenizer is None:
+            return False
+        probe = "a".join(_CLOSING)
+        cuts = [part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)]
+        named = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        return cuts == list(probe) and not any(set(_CLOSING) & set(n) or n.isalpha() for n in named)
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        texts = [word.decode() for word in words]
+        cores = [text.rstrip(_CLOSING) for text in texts]
+        self._learn(set("".join(cores)))
+        spelled, tails, others, kinds = [], [], [], []
+        for text, core in zip(texts, cores, strict=True):
+            letters = [*map(self.letters.get, core)]
+            plain = bool(letters) and None not in letters
+            kinds.append(plain)
+            if plain:
+                spelled.append("".join(letters))
+                tails.append(text[len(core) :])
+            else:
+                others.append(text)
+        plain = iter([a + b for a, b in zip(self.spelled.of(spelled), self.whole.of(tails), strict=True)])
+        rest = iter(self.whole.of(others))
+        return [next(plain) if kind else next(rest) for kind in kinds]
+
+    def _learn(self, seen: set[str]) -> None:
+        """How the tokenizer spells each letter; None for what is no letter, or is cut in two."""
+        for letter in seen.difference(self.letters):
+            self.letters[letter] = None
+            if self.simple and letter.isalpha() and letter <= _LAST_LATIN:
+                pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(letter))
+                if len(pieces) == 1:
+                    self.letters[letter] = pieces[0][0]
+
+    def merged(self, spelled: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """One call, which tells the text of each id."""
+        found = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        cuts = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(texts) + 1))
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def piece_lengths(tokens: int, capacity: int = CAPACITY) -> list[int]:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 LATE_AFTER_MIN = 5
 NEAR_KM = 25.0
+#: Lowest quality levels of temperature and wind readings; a higher level has been checked more.
+LEAST_QUALITY = (3, 3)
 
 _DELAY = "delay_in_min"
 
@@ -144,14 +146,15 @@ def delay_by_weather(
     temperature_edges: Sequence[int] = (0, 10, 20),
     wind_edges: Sequence[int] = (5, 10),
     near_km: float = NEAR_KM,
+    least_quality: tuple[int, int] = LEAST_QUALITY,
 ) -> DataFrame:
     """Delay distribution per temperature and wind band, as context and not as a cause.
 
-    Readings count only when their quality level is known and the sensor is near enough;
-    any other stop is kept in the ``unknown`` bands.
+    Readings count only when their quality level is known and high enough, for temperature and wind, and the
+    sensor is near enough; any other stop is kept in the ``unknown`` bands.
     """
-    near_tu = (F.col("nearest_tu_dist_km") <= near_km) & F.col("qn_tu").isNotNull()
-    near_ff = (F.col("nearest_ff_dist_km") <= near_km) & F.col("qn_ff").isNotNull()
+    near_tu = (F.col("nearest_tu_dist_km") <= near_km) & (F.col("qn_tu") >= least_quality[0])
+    near_ff = (F.col("nearest_ff_dist_km") <= near_km) & (F.col("qn_ff") >= least_quality[1])
     usable = gold.withColumns(
         {
             "temp_celsius": F.when(near_tu, F.col("temp_celsius")),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railctx.contracts import CONTRACTS, conform
-from railctx.operators.enrich import train_stop_weather
+from railctx.operators.enrich import find_crowds, train_stop_weather
 from railctx.operators.readings import temperature_hourly, wind_hourly
 from railctx.operators.sensors import station_weather_mapping, weather_stations
 from railctx.operators.stations import stations
@@ -120,6 +120,7 @@ class MonthlyRun:
             "station_weather_mapping", station_weather_mapping(self.own("stations"), self.own("weather_stations"))
         )
         matches = match_counters()
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         gold = self.store(
             "train_stop_weather",
             train_stop_weather(
@@ -129,6 +130,7 @@ class MonthlyRun:
                 self.own("temperature_hourly"),
                 self.own("wind_hourly"),
                 flags=True,
+                crowds=find_crowds(self.own("train_stops"), self.own("station_weather_mapping"), tasks),
             ),
             {f"met:{name}": counter for name, counter in matches.items()},
         )

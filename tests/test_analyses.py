@@ -81,6 +81,9 @@ def test_weather_bands_need_near_and_graded_readings(spark):
         "delay_in_min int, arrival_is_canceled boolean, departure_is_canceled boolean, temp_celsius double, qn_tu int, "
         "nearest_tu_dist_km double, wind_speed_ms double, qn_ff int, nearest_ff_dist_km double",
     )
+    strict = {(r["temperature_band"], r["wind_band"]): r["stops"] for r in delays.delay_by_weather(df, least_quality=(4, 10)).collect()}
+    assert {t for t, _ in strict} == {"unknown"} and strict["unknown", "below 5 m/s"] == 1
+    assert {w for _, w in ((r["temperature_band"], r["wind_band"]) for r in delays.delay_by_weather(df, least_quality=(3, 11)).collect())} == {"unknown"}
     bands = {(r["temperature_band"], r["wind_band"]): r["stops"] for r in delays.delay_by_weather(df).collect()}
     assert bands == {
         ("below 0 C", "below 5 m/s"): 1,

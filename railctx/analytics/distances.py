@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railctx.analytics.ranks import quantiles
-from railctx.operators.sensors import nearest_sensors
+from railctx.operators.sensors import nearest_sensors, side_by_side
 from railctx.session import materialize
 
 NEAR_KM = 25.0
@@ -37,19 +37,10 @@ def joint_sensor_penalty(stations: DataFrame, sensors: DataFrame) -> DataFrame:
         "ff": "has_wind",
         "joint": "has_temperature AND has_wind",
     }
-    found = nearest_sensors(stations, sensors, networks)
-
-    def of(network: str, column: str) -> Column:
-        value = F.when(F.col("network") == network, F.col(column))
-        return F.any_value(value, ignoreNulls=True).alias(f"{network}_{column}")
-
-    per_eva = found.groupBy("eva").agg(
-        *[of(n, c) for n in networks for c in ("dwd_station_id", "distance_km")]
-    )
-    complete = per_eva.dropna()
-    extra_tu = F.col("joint_distance_km") - F.col("tu_distance_km")
-    extra_ff = F.col("joint_distance_km") - F.col("ff_distance_km")
-    same = F.col("tu_dwd_station_id") == F.col("ff_dwd_station_id")
+    complete = side_by_side(nearest_sensors(stations, sensors, networks), list(networks))
+    extra_tu = F.col("joint_km") - F.col("tu_km")
+    extra_ff = F.col("joint_km") - F.col("ff_km")
+    same = F.col("tu_id") == F.col("ff_id")
     return complete.agg(
         F.count(F.lit(1)).alias("stations"),
         F.round(F.count_if(same) / F.count(F.lit(1)), 6).alias("same_site_share"),

@@ -31,10 +31,34 @@ def unit_vector(lat: Column, lon: Column) -> dict[str, Column]:
     return {"x": F.cos(phi) * F.cos(lam), "y": F.cos(phi) * F.sin(lam), "z": F.sin(phi)}
 
 
-def cube_cell(x: Column, y: Column, z: Column, size: float) -> Column:
-    """Cell number of a cubic grid over the unit sphere; grids of dividing sizes nest."""
-    i, j, k = (F.floor((part + 1) / F.lit(size)).cast("long") for part in (x, y, z))
-    return F.shiftleft(i, 40) + F.shiftleft(j, 20) + k
+# Fixed masks and shifts that put two zero bits between the bits of a 21-bit number.
+_SPREAD = (
+    (32, 0x1F00000000FFFF),
+    (16, 0x1F0000FF0000FF),
+    (8, 0x100F00F00F00F00F),
+    (4, 0x10C30C30C30C30C3),
+    (2, 0x1249249249249249),
+)
+
+
+def z_order(x: Column, y: Column, z: Column, bits: int) -> Column:
+    """Number of the cell, among ``2**bits`` per axis over the unit sphere, in Z-order.
+
+    Without its last three bits it is the number of the cell of twice the size around it, so
+    the prefixes of one number name the cells of all coarser grids.
+    """
+    if not 1 <= bits <= 21:
+        raise ValueError("from 1 to 21 bits per axis")
+
+    def spread(part: Column) -> Column:
+        place = F.floor((part + 1) * F.lit(float(2 ** (bits - 1)))).cast("long")
+        # A coordinate of exactly 1 belongs to the last cell.
+        out = F.least(F.greatest(place, F.lit(0)), F.lit(2**bits - 1)).cast("long")
+        for shift, mask in _SPREAD:
+            out = out.bitwiseOR(F.shiftleft(out, shift)).bitwiseAND(F.lit(mask))
+        return out
+
+    return F.shiftleft(spread(x), 2).bitwiseOR(F.shiftleft(spread(y), 1)).bitwiseOR(spread(z))
 
 
 def chord(p: Sequence[Column], q: Sequence[Column]) -> Column:
@@ -46,3 +70,9 @@ def box_gap(p: Sequence[Column], low: Sequence[Column], high: Sequence[Column])
     """Straight-line distance to a box; no point inside is nearer."""
     gaps = (F.greatest(a - v, v - b, F.lit(0.0)) for v, a, b in zip(p, low, high, strict=True))
     return F.sqrt(sum((F.pow(gap, 2) for gap in gaps), F.lit(0.0)))
+
+
+def box_reach(p: Sequence[Column], low: Sequence[Column], high: Sequence[Column]) -> Column:
+    """Straight-line distance to the farthest corner of a box; no point inside is farther."""
+    far = (F.greatest(F.abs(v - a), F.abs(v - b)) for v, a, b in zip(p, low, high, strict=True))
+    return F.sqrt(sum((F.pow(part, 2) for part in far), F.lit(0.0)))

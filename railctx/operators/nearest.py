@@ -1,11 +1,11 @@
 """Nearest site by great-circle distance, without pairing every point with every site.
 
-Sites are put on nested cubic grids over the unit sphere. Each grid cell keeps the box
-around its sites and one of them as a sample. A point walks down from a coarse grid: it
-looks at the cells inside those it is still interested in, learns from their samples a
-distance it can surely reach, and drops every cell whose box lies farther away. What
-remains is a handful of leaf cells, whose sites are measured. The result is the exact
-minimum of (distance, site id); the samples only decide what need not be measured.
+Sites are numbered by a Z-order curve through a fine cubic grid over the unit sphere; prefixes of the
+number name the cells of the coarser grids. One aggregate over these prefixes gives every occupied
+cell of all grids with the box around its sites. A point walks down from a coarse grid: the farthest
+corner of a box is a distance it can surely reach, and every cell whose box begins farther away than the
+least of these is dropped. What remains is a handful of leaf cells, whose sites are measured. The result is
+the exact minimum of (distance, site id); boxes only decide what need not be measured.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railctx.functions.geo import box_gap, chord, cube_cell, haversine_km, unit_vector
+from railctx.functions.geo import box_gap, box_reach, chord, haversine_km, unit_vector, z_order
 from railctx.session import BROADCAST_BYTES, materialize
 
-FANOUT = 4
+#: Bits per axis from one grid to the next, and the number of grids.
+STEP_BITS = 2
 DEPTHS = 10
 ROOT_CELLS = 32
 LEAF_SITES = 16
@@ -32,7 +33,6 @@ _TOLERANCE = 1e-9
 _ROW_BYTES = 160
 
 _AXES = ("x", "y", "z")
-_SAMPLE = tuple(f"sample_{axis}" for axis in _AXES)
 _LOW = tuple(f"low_{axis}" for axis in _AXES)
 _HIGH = tuple(f"high_{axis}" for axis in _AXES)
 
@@ -41,8 +41,15 @@ def _columns(names: Sequence[str]) -> list[Column]:
     return [F.col(name) for name in names]
 
 
-def _cell(axes: Sequence[str], depth: int) -> Column:
-    return cube_cell(*_columns(axes), 1.0 / FANOUT**depth)
+def _prefix(depth: int | str) -> Column:
+    """The cell of a grid, from the number in the finest one."""
+    return F.expr(f"shiftright(place, {3 * STEP_BITS} * ({DEPTHS - 1} - {depth}))")
+
+
+def _first(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
+    """One row per key, the first in order; each task keeps one per key before rows are moved."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
 def _distinct_sites(sites: DataFrame, on: str, site_id: str, lat: str, lon: str) -> DataFrame:
@@ -50,11 +57,22 @@ def _distinct_sites(sites: DataFrame, on: str, site_id: str, lat: str, lon: str)
     placed = sites.select(
         on, F.col(site_id).alias("id"), F.col(lat).alias("site_lat"), F.col(lon).alias("site_lon")
     )
+    first = _first(placed.dropna(), [on, "site_lat", "site_lon"], "id")
+    vectors = first.withColumns(unit_vector(F.col("site_lat"), F.col("site_lon")))
+    return vectors.withColumn("place", z_order(*_columns(_AXES), 1 + STEP_BITS * (DEPTHS - 1)))
+
+
+def _tree(sites: DataFrame, on: str) -> DataFrame:
+    """The occupied cells of all grids, by prefix, with the box around their sites."""
+    depths = F.explode(F.sequence(F.lit(0), F.lit(DEPTHS - 1))).alias("depth")
     return (
-        placed.dropna()
-        .groupBy(on, "site_lat", "site_lon")
-        .agg(F.min("id").alias("id"))
-        .withColumns(unit_vector(F.col("site_lat"), F.col("site_lon")))
+        sites.select(on, "place", *_AXES, depths)
+        .groupBy(on, "depth", _prefix("depth").alias("cell"))
+        .agg(
+            F.count(F.lit(1)).alias("sites"),
+            *[F.min(axis).alias(name) for axis, name in zip(_AXES, _LOW, strict=True)],
+            *[F.max(axis).alias(name) for axis, name in zip(_AXES, _HIGH, strict=True)],
+        )
     )
 
 
@@ -67,16 +85,10 @@ class _Grid:
     fullest: int
 
 
-def _profile(sites: DataFrame, on: str) -> list[_Grid]:
-    """Occupation of every grid, coarse to fine, from one aggregate over the sites."""
-    cells = F.array(
-        *[F.struct(F.lit(d).alias("depth"), _cell(_AXES, d).alias("cell")) for d in range(DEPTHS)]
-    )
+def _profile(tree: DataFrame, on: str) -> list[_Grid]:
+    """Occupation of every grid, coarse to fine."""
     rows = (
-        sites.select(on, F.explode(cells).alias("in"))
-        .groupBy(on, "in.depth", "in.cell")
-        .agg(F.count(F.lit(1)).alias("sites"))
-        .groupBy("depth")
+        tree.groupBy("depth")
         .agg(
             F.count(F.lit(1)).alias("cells"),
             F.approx_count_distinct(on).alias("groups"),
@@ -88,37 +100,24 @@ def _profile(sites: DataFrame, on: str) -> list[_Grid]:
     return [_Grid(row["cells"], row["groups"], row["fullest"]) for row in ordered]
 
 
-def _grid_cells(sites: DataFrame, on: str, depth: int, root: int) -> DataFrame:
+def _grid_cells(tree: DataFrame, on: str, depth: int, root: int) -> DataFrame:
     """The occupied cells of one grid with the cell of the next coarser grid they are in."""
-    cells = sites.groupBy(on, _cell(_AXES, depth).alias("cell")).agg(
-        F.min(F.struct(*_AXES)).alias("sample"),
-        *[F.min(axis).alias(name) for axis, name in zip(_AXES, _LOW, strict=True)],
-        *[F.max(axis).alias(name) for axis, name in zip(_AXES, _HIGH, strict=True)],
-    )
-    sample = [F.col(f"sample.{axis}").alias(name) for axis, name in zip(_AXES, _SAMPLE, strict=True)]
-    cells = cells.select(on, "cell", *sample, *_LOW, *_HIGH)
-    # Every site of a cell lies in the same coarser cell, so the sample locates it.
-    return cells if depth == root else cells.withColumn("parent", _cell(_SAMPLE, depth - 1))
+    cells = tree.where(F.col("depth") == depth).select(on, "cell", *_LOW, *_HIGH)
+    return cells if depth == root else cells.withColumn("parent", F.shiftright("cell", 3 * STEP_BITS))
 
 
 def _descend(frontier: DataFrame, cells: DataFrame, on: Sequence[str], point: Sequence[str]) -> DataFrame:
     """Replace each cell by the finer cells that can still hold the nearest site."""
-    here = _columns(_AXES)
-    reached = F.min("to_sample").over(Window.partitionBy(*point)) + F.lit(_TOLERANCE)
+    here, low, high = _columns(_AXES), _columns(_LOW), _columns(_HIGH)
+    reached = F.min("far").over(Window.partitionBy(*point)) + F.lit(_TOLERANCE)
     return (
         frontier.join(cells, on)
-        .withColumn("gap", box_gap(here, _columns(_LOW), _columns(_HIGH)))
+        .withColumn("gap", box_gap(here, low, high))
         .where(F.col("gap") <= F.col("reach"))
-        .select(
-            *point,
-            *_AXES,
-            F.col("cell").alias("parent"),
-            "gap",
-            chord(here, _columns(_SAMPLE)).alias("to_sample"),
-        )
+        .select(*point, *_AXES, F.col("cell").alias("parent"), "gap", box_reach(here, low, high).alias("far"))
         .withColumn("reach", reached)
         .where(F.col("gap") <= F.col("reach"))
-        .drop("gap", "to_sample")
+        .drop("gap", "far")
     )
 
 
@@ -149,7 +148,8 @@ def nearest_site(
     spark = points.sparkSession
     # Read once per grid, so computed once.
     unique = materialize(_distinct_sites(sites, on, site_id, *site_coordinates))
-    grids = _profile(unique, on) or [_Grid(0, 1, 0)]
+    tree = materialize(_tree(unique, on))
+    grids = _profile(tree, on) or [_Grid(0, 1, 0)]
     # Start at the finest grid that is still a short list, stop at the first one whose
     # leaves are short (the finest one if places stay crowded).
     leaf = next((d for d, g in enumerate(grids) if g.fullest <= leaf_sites), len(grids) - 1)
@@ -169,23 +169,22 @@ def nearest_site(
         .withColumn("reach", F.lit(2.0 + _TOLERANCE))  # the diameter reaches everything
     )
     for depth in range(root, leaf + 1):
-        cells = sized(_grid_cells(unique, on, depth, root), grids[depth].cells)
+        cells = sized(_grid_cells(tree, on, depth, root), grids[depth].cells)
         frontier = _descend(frontier, cells, [on] if depth == root else [on, "parent"], point)
 
     site = [f"site_{axis}" for axis in _AXES]
     leaves = unique.select(
         on,
-        _cell(_AXES, leaf).alias("parent"),
+        _prefix(leaf).alias("parent"),
         "id",
         "site_lat",
         "site_lon",
         *[F.col(axis).alias(name) for axis, name in zip(_AXES, site, strict=True)],
     )
     km = haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
-    return (
+    measured = (
         frontier.join(sized(leaves, grids[leaf].cells * grids[leaf].fullest), [on, "parent"])
         .where(chord(_columns(_AXES), _columns(site)) <= F.col("reach"))
-        .groupBy(*key, on)
-        .agg(F.min(F.struct(km.alias("distance_km"), F.col("id"))).alias("best"))
-        .select(*key, on, F.col("best.id").alias(site_id), F.col("best.distance_km").alias("distance_km"))
+        .select(*key, on, F.col("id").alias(site_id), km.alias("distance_km"))
     )
+    return _first(measured, [*key, on], "distance_km", site_id)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railctx.functions.keys import false_if_null
@@ -64,21 +66,30 @@ def nearest_sensors(stations: DataFrame, sensors: DataFrame, networks: dict[str,
     return nearest_site(points, sites, key=["eva"], on="network", site_id="dwd_station_id")
 
 
+def side_by_side(found: DataFrame, networks: Sequence[str]) -> DataFrame:
+    """One row per EVA that has a sensor in all of the networks: ``<network>_id`` and ``<network>_km``."""
+    order = Window.partitionBy("eva").orderBy("network")
+    ordered = sorted(networks)
+    columns = {
+        f"{name}_{short}": F.lead(column, place).over(order)
+        for place, name in enumerate(ordered)
+        for short, column in (("id", "dwd_station_id"), ("km", "distance_km"))
+    }
+    # An EVA has one row per network at most, so the last of them follows the first only if none is missing.
+    whole = (F.row_number().over(order) == 1) & F.lead("network", len(ordered) - 1).over(order).isNotNull()
+    return found.withColumns({**columns, "_whole": whole}).where("_whole").select("eva", *columns)
+
+
 def station_weather_mapping(stations: DataFrame, sensors: DataFrame) -> DataFrame:
     """One row per EVA with its nearest temperature and its nearest wind sensor.
 
     An EVA that lacks either is left out, as an inner join of the two halves would do.
     """
     found = nearest_sensors(stations, sensors, {"tu": "has_temperature", "ff": "has_wind"})
-    hit = F.struct("dwd_station_id", "distance_km")
-    per_eva = found.groupBy("eva").agg(
-        F.any_value(F.when(F.col("network") == "tu", hit), ignoreNulls=True).alias("tu"),
-        F.any_value(F.when(F.col("network") == "ff", hit), ignoreNulls=True).alias("ff"),
-    )
-    return per_eva.where(F.col("tu").isNotNull() & F.col("ff").isNotNull()).select(
+    return side_by_side(found, ["tu", "ff"]).select(
         "eva",
-        F.col("tu.dwd_station_id").alias("nearest_tu_station_id"),
-        F.col("tu.distance_km").alias("nearest_tu_dist_km"),
-        F.col("ff.dwd_station_id").alias("nearest_ff_station_id"),
-        F.col("ff.distance_km").alias("nearest_ff_dist_km"),
+        F.col("tu_id").alias("nearest_tu_station_id"),
+        F.col("tu_km").alias("nearest_tu_dist_km"),
+        F.col("ff_id").alias("nearest_ff_station_id"),
+        F.col("ff_km").alias("nearest_ff_dist_km"),
     )

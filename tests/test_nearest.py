@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from railctx.functions.geo import box_gap, chord, haversine_km, unit_vector
+from railctx.functions.geo import box_gap, box_reach, chord, haversine_km, unit_vector, z_order
 from railctx.operators import nearest
 from railctx.operators.nearest import nearest_site
 from railctx.operators.sensors import station_weather_mapping
@@ -191,3 +191,44 @@ def test_plan_has_no_cross_join_and_one_point_shuffle(spark):
     plan = station_weather_mapping(points, sites)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert plan.count("REPARTITION_BY_NUM") == 1
+
+
+def test_z_order_prefixes_are_the_coarser_cells(spark):
+    rng = random.Random(8)
+    rows = [tuple(rng.uniform(-1, 1) for _ in range(3)) for _ in range(200)] + [(1.0, 1.0, 1.0), (-1.0, -1.0, -1.0), (0.0, -0.0, 1.0)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    columns = [F.col(c) for c in "xyz"]
+    out = df.select(*columns, *[z_order(*columns, bits).alias(f"b{bits}") for bits in (1, 7, 21)]).collect()
+
+    def number(row, bits):
+        cells = [min(int((row[c] + 1) * 2 ** (bits - 1)), 2**bits - 1) for c in "xyz"]
+        return sum((cell >> b & 1) << (3 * b + 2 - axis) for axis, cell in enumerate(cells) for b in range(bits))
+
+    for row in out:
+        assert [row["b1"], row["b7"], row["b21"]] == [number(row, 1), number(row, 7), number(row, 21)]
+        assert row["b21"] >> 3 * 14 == row["b7"] and row["b7"] >> 3 * 6 == row["b1"]
+
+
+def test_far_corner_is_beyond_every_point_of_the_box(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(100):
+        low = [rng.uniform(-1, 1) for _ in range(3)]
+        high = [a + rng.uniform(0, 0.5) for a in low]
+        inside = [rng.uniform(a, b) for a, b in zip(low, high)]
+        rows.append((*[rng.uniform(-1, 1) for _ in range(3)], *low, *high, *inside))
+    df = spark.createDataFrame(rows, [f"{n}{c}" for n in "plhi" for c in "xyz"])
+    p, low, high, inside = ([F.col(f"{n}{c}") for c in "xyz"] for n in "plhi")
+    assert df.where(chord(p, inside) > box_reach(p, low, high) + 1e-12).isEmpty()
+    assert df.where(chord(p, inside) < box_gap(p, low, high) - 1e-12).isEmpty()
+
+
+def test_no_sort_aggregate(spark):
+    points = spark.createDataFrame([("p", "x", 50.0, 8.0)], POINTS)
+    sites = spark.createDataFrame([("s", "x", 51.0, 8.0)], SITES)
+    plan = nearest_site(points, sites, key=["k"], on="net", site_id="sid")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    stations = spark.createDataFrame([("1", 50.0, 8.0)], "eva string, latitude double, longitude double")
+    sensors = spark.createDataFrame([("t", 50.0, 8.0, True, True)], "dwd_station_id string, latitude double, longitude double, has_temperature boolean, has_wind boolean")
+    plan = station_weather_mapping(stations, sensors)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

@@ -109,6 +109,7 @@ def gains(corpus: DataFrame, target: DataFrame) -> list[int]:
     spark = corpus.sparkSession
     counts = spark.range(BUCKETS).withColumnRenamed("id", "bucket")
     counts = counts.join(corpus.withColumnRenamed("n", "s"), "bucket", "left").join(target.withColumnRenamed("n", "t"), "bucket", "left").fillna(0)
+    counts = written(counts)
     sums = counts.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("S"), F.coalesce(F.sum("t"), F.lit(0)).alias("T")).first()
     s, t = F.col("s").cast("double"), F.col("t").cast("double")
     ratio = (t + 1) * F.lit(float(sums["S"] + BUCKETS)) / ((s + 1) * F.lit(float(sums["T"] + BUCKETS)))

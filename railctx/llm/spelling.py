@@ -1,8 +1,8 @@
 """Spelling variants by reduced-alphabet generation.
 
-Letters are hashed to a few symbols. Of every word the full one-edit neighbourhood of its reduced form is
-generated: itself and all deletions, replacements and insertions over the few symbols, far fewer
-than over all letters. Joined with the reduced vocabulary it finds every word one edit away, as an edit
+Letters are hashed to a few symbols, each of them used about as often. Of every word the full
+one-edit neighbourhood of its reduced form is generated: itself and all deletions, replacements and
+insertions over the few symbols, far fewer than over all letters. Joined with the reduced vocabulary it finds every word one edit away, as an edit
 of the word is at most one edit of its reduced form; candidates are then verified on the original
 strings. Each word generates its own neighbourhood without repeats, so a pair is met once from either side.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from railctx.llm.arrow import written
 
-#: Letters that make up a word, after A-Z are lower-cased.
+#: Letters that make up a word, after A-Z are lower-cased; none beyond one byte.
 LETTERS = "a-zÀ-ÿ"
 LEAST_LETTERS, LEAST_COUNT = 6, 5
 #: One in so many runs of a document loses a letter.
@@ -42,7 +42,6 @@ SYMBOLS = 8
 HELD_WORDS, HELD_VARIANTS = 200_000, 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_WRAP = (1 << 64) - 1
 _UNBASE = pow(_BASE, -1, 1 << 64)
 
 
@@ -84,10 +83,32 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return plain.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def reduced(word: str, symbols: int = SYMBOLS) -> np.ndarray:
-    """Symbols from 1 on, by a hash of each letter."""
-    letters = np.frombuffer(word.encode("utf-32-le"), "<u4").astype(np.uint64)
-    return (letters * np.uint64(0x9E3779B1) >> np.uint64(16)) % np.uint64(symbols) + np.uint64(1)
+def letter_counts(words: DataFrame) -> list[tuple[str, int]]:
+    """How many letters of the vocabulary are this letter; a row per letter of the alphabet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        for batch in batches:
+            held.update("".join(batch.column(0).to_pylist()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["letter", "n"])
+
+    rows = words.select("word").mapInArrow(run, "letter string, n long").groupBy("letter").agg(F.sum("n").alias("n")).collect()
+    return [(row["letter"], row["n"]) for row in rows]
+
+
+def dealt_letters(counts: list[tuple[str, int]], symbols: int = SYMBOLS) -> np.ndarray:
+    """The symbol of every letter, from 1 on. Frequent letters come first and go to the symbol that is used
+    least, so that the symbols are used alike and few words share a reduced form."""
+    table, used = np.zeros(256, np.uint64), [0] * symbols
+    for letter, n in sorted(counts, key=lambda c: (-c[1], c[0])):
+        symbol = used.index(min(used))
+        used[symbol] += n
+        table[ord(letter)] = symbol + 1
+    return table
+
+
+def reduced(word: str, table: np.ndarray) -> np.ndarray:
+    return table[np.frombuffer(word.encode("latin-1"), np.uint8)]
 
 
 def _powers(n: int) -> np.ndarray:
@@ -114,24 +135,27 @@ def variant_keys(forms: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
     return np.unique(np.concatenate([deleted, replaced.ravel(), inserted.ravel()])).view(np.int64)
 
 
-def vocabulary(counts: DataFrame) -> DataFrame:
-    """Words that occur often enough, with an id and the key of their reduced form."""
+def vocabulary(counts: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """Words that occur often enough, with an id and the key of their reduced form; and the symbols of the letters."""
+    words = written(counts.where(F.col("n") >= LEAST_COUNT))
+    table = dealt_letters(letter_counts(words))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.array([form_key(reduced(w)) for w in batch.column(0).to_pylist()], np.uint64).view(np.int64)
+            keys = np.array([form_key(reduced(w, table)) for w in batch.column(0).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys)], names=["word", "n", "key"])
 
-    keyed = counts.where(F.col("n") >= LEAST_COUNT).mapInArrow(run, "word string, n long, key long")
-    return written(keyed.withColumn("id", F.monotonically_increasing_id()))
+    keyed = words.mapInArrow(run, "word string, n long, key long")
+    return written(keyed.withColumn("id", F.monotonically_increasing_id())), table
 
 
-def variants(words: DataFrame) -> DataFrame:
+def variants(words: DataFrame, table: np.ndarray) -> DataFrame:
     """id and the keys of its neighbourhood."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, size = [], [], 0
         for batch in batches:
             for of, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                near = variant_keys(reduced(word))
+                near = variant_keys(reduced(word, table))
                 ids.append(np.full(len(near), of))
                 keys.append(near)
                 size += len(near)
@@ -156,9 +180,9 @@ def one_edit(a: str, b: str) -> bool:
     return a[same + (len(a) == len(b)) :] == b[same + 1 :]
 
 
-def near_words(words: DataFrame) -> DataFrame:
+def near_words(words: DataFrame, table: np.ndarray) -> DataFrame:
     """word, n, near, near_n for every word one edit away, from either side."""
-    met = variants(words).join(words.select(F.col("id").alias("near_id"), "key"), "key").where("id <> near_id").select("id", "near_id")
+    met = variants(words, table).join(words.select(F.col("id").alias("near_id"), "key"), "key").where("id <> near_id").select("id", "near_id")
     named = met.join(words.select("id", "word", "n"), "id").join(words.select(F.col("id").alias("near_id"), F.col("word").alias("near"), F.col("n").alias("near_n")), "near_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,5 +230,5 @@ def with_roots(formed: DataFrame) -> DataFrame:
 
 def spelling_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """word, form, root, n, n_near, form_n for every word of the corpus that is long and frequent enough."""
-    words = vocabulary(word_counts(docs, doc_id, text))
-    return with_roots(forms(words, near_words(words))).select("word", "form", "root", "n", "n_near", "form_n")
+    words, table = vocabulary(word_counts(docs, doc_id, text))
+    return with_roots(forms(words, near_words(words, table))).select("word", "form", "root", "n", "n_near", "form_n")

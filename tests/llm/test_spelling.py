@@ -104,6 +104,12 @@ def test_variant_keys_are_the_neighbourhood():
         assert len(got) == len(set(got)) == len(keys) and set(got) == keys
 
 
+def test_letters_are_dealt_evenly():
+    table = spelling.dealt_letters([("e", 9), ("a", 5), ("b", 4), ("c", 1), ("é", 1)], 2)
+    assert [table[ord(c)] for c in "eabcé"] == [1, 2, 2, 1, 2]
+    assert spelling.reduced("béa", table).tolist() == [table[ord(c)] for c in "béa"]
+
+
 def test_one_edit():
     assert spelling.one_edit("abcdef", "abcdeg") and spelling.one_edit("abcdef", "abdef") and spelling.one_edit("aab", "ab")
     assert not spelling.one_edit("abc", "abc") and not spelling.one_edit("abcd", "abdc") and not spelling.one_edit("ab", "abcd")

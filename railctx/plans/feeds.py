@@ -33,6 +33,25 @@ LISTING = widened(7)
 STAMP_HOURS = 756
 
 
+# Columns of the tables, declared as the railway feed's are: a scan then asks no file for them first.
+_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def _spread(key: Column, factor: int, size: int, base: int) -> Column:
     """A coordinate with three decimals that spreads consecutive keys over a range."""
     return (F.lit(base) + (key * factor) % size) / F.lit(1000.0)
@@ -240,7 +259,7 @@ class Feeds:
     period: Period = PERIOD
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        return self.spark.read.schema(_TABLES[name]).parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
 
     @property
     def raw_stops(self) -> DataFrame:

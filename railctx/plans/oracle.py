@@ -688,6 +688,27 @@ ORACLE: dict[str, str] = {
     "retention_window": """
         SELECT * FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS period FROM orders)
         WHERE o_orderdate >= TIMESTAMP '2000-08-01' AND o_orderdate < TIMESTAMP '2001-08-01'""",
+    "monthly_checks": """
+        WITH known AS (
+            SELECT strftime(o_orderdate, '%Y-%m') AS period, year(o_orderdate) * 12 + month(o_orderdate) AS m,
+                   o_orderkey, day(o_orderdate) AS d, o_orderstatus <> 'P' AND c_custkey IS NOT NULL AS met
+            FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+        ),
+        counted AS (
+            SELECT period, m, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) - count(DISTINCT o_orderkey) AS DOUBLE) AS surplus,
+                   count(*) FILTER (WHERE met) / count(*) AS met, CAST(count(DISTINCT d) AS DOUBLE) AS days
+            FROM known GROUP BY ALL
+        ),
+        checked AS (
+            SELECT period, m, 'count' AS kind, 'rows' AS item, n AS value FROM counted
+            UNION ALL SELECT period, m, 'grain', 'surplus_rows', surplus FROM counted
+            UNION ALL SELECT period, m, 'match', 'customer', met FROM counted
+            UNION ALL SELECT period, m, 'coverage', 'days', days FROM counted
+        )
+        SELECT c.period, 'orders' AS table_name, c.kind, c.item, round(c.value, 6) AS value,
+               round(p.value, 6) AS previous_value, round(c.value - p.value, 6) AS change,
+               CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS previous_text, FALSE AS differs
+        FROM checked c JOIN checked p ON p.m = c.m - 1 AND p.kind = c.kind""",
     "month_over_month": """
         WITH monthly AS (
             SELECT l_suppkey, l_returnflag, strftime(l_shipdate, '%Y-%m') AS period, count(*) AS line_items,

@@ -24,12 +24,14 @@ from railctx.functions.time import (
 )
 from railctx.operators import months
 from railctx.operators.enrich import with_context
+from railctx.operators.stations import station_objects, stations
 from railctx.plans import feeds
-from railctx.plans.feeds import PERIOD, Feeds
+from railctx.plans.feeds import PERIOD, Feeds, raw_station_objects
 from railctx.period import Period
+from railctx.plans.publication import compare_with_previous
 from railctx.quality import coverage, expectations, fact_audit, grain, snapshot
-from railctx.session import materialize
-from railctx.sources import api_archive, delimited, fixed_width
+from railctx.session import materialize, shared_path
+from railctx.sources import api_archive, delimited, fixed_width, station_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +78,13 @@ def stops_normalized(f: Feeds) -> DataFrame:
 
 
 def stations_flattened(f: Feeds) -> DataFrame:
-    return f.stations
+    """The station feed written as a file of JSON objects, read back and flattened."""
+    objects = station_objects(raw_station_objects(f.table("customer"), f.table("nation"), f.table("region")))
+    path = shared_path(f.spark)
+    if path is None:  # a cluster without a shared folder
+        return stations(objects)
+    station_json.write_station_objects(objects, path)
+    return stations(station_json.read_station_lines(f.spark, path))
 
 
 def response_archive(f: Feeds) -> DataFrame:
@@ -466,6 +474,45 @@ def month_over_month(f: Feeds) -> DataFrame:
     return months.month_over_month(shipped, measures, ["l_suppkey", "l_returnflag"])
 
 
+def monthly_checks(f: Feeds) -> DataFrame:
+    """Counts, grain, coverage and join rates of every month of orders beside those of the month before."""
+    known = f.table("customer").select(F.col("c_custkey").alias("o_custkey"), F.lit(True).alias("known"))
+    orders = _monthly_orders(f).join(known, "o_custkey", "left")
+    month = orders.groupBy("period", "o_orderkey").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("known") & (F.col("o_orderstatus") != "P")).alias("met"),
+        F.min(F.dayofmonth("o_orderdate")).alias("day"),
+    )
+    counted = month.groupBy("period").agg(
+        F.sum("rows").alias("rows"),
+        (F.sum("rows") - F.count(F.lit(1))).alias("surplus"),
+        F.sum("met").alias("met"),
+        F.bit_count(F.bit_or(F.expr("shiftleft(1L, day)"))).alias("days"),
+    )
+
+    def check(kind: str, item: str, value: Column) -> Column:
+        return F.struct(
+            F.lit("orders").alias("table_name"),
+            F.lit(kind).alias("kind"),
+            F.lit(item).alias("item"),
+            value.cast("double").alias("value"),
+            F.lit(None).cast("string").alias("text"),
+        )
+
+    checks = counted.select(
+        "period",
+        F.inline(
+            F.array(
+                check("count", "rows", F.col("rows")),
+                check("grain", "surplus_rows", F.col("surplus")),
+                check("match", "customer", F.col("met") / F.col("rows")),
+                check("coverage", "days", F.col("days")),
+            )
+        ),
+    )
+    return _rounded(compare_with_previous(materialize(checks)), "value", "previous_value", "change")
+
+
 QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     function.__name__: function
     for function in (
@@ -515,6 +562,7 @@ QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
         month_replace,
         retention_window,
         month_over_month,
+        monthly_checks,
     )
 }
 

@@ -64,15 +64,20 @@ def _shared_folder(spark: SparkSession) -> str | None:
     return folder
 
 
+def shared_path(spark: SparkSession) -> str | None:
+    """A new path in the shared folder, if there is one."""
+    folder = _shared_folder(spark)
+    return None if folder is None else f"{folder.rstrip('/')}/railctx-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a shared input once, as a table in the shared folder.
 
     Later plans read it with column pruning and known sizes, and survive lost executors.
     Without a shared folder the plan stays lazy.
     """
-    folder = _shared_folder(df.sparkSession)
-    if folder is None:
+    path = shared_path(df.sparkSession)
+    if path is None:
         return df
-    path = f"{folder.rstrip('/')}/railctx-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -161,8 +161,9 @@ def observation_lines(f: Feeds) -> DataFrame:
         .otherwise("STATIONS_ID;MESS_DATUM;  QN_9;TT_TU; RF_TU;eor")
         .alias("value"),
     )
-    return readings.unionByName(headers).select(
-        F.concat(F.lit("produkt_tu_stunde_"), "sensor", F.lit(".txt")).alias("file"), "value"
+    lines = readings.withColumn("at_start", F.lit(False)).unionByName(headers.withColumn("at_start", F.lit(True)))
+    return lines.select(
+        F.concat(F.lit("produkt_tu_stunde_"), "sensor", F.lit(".txt")).alias("file"), "at_start", "value"
     )
 
 

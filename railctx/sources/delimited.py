@@ -34,7 +34,10 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_observation_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines with the file they come from: ``file``, ``value``."""
+    """Raw lines with the file they come from: ``file``, ``at_start``, ``value``.
+
+    ``at_start`` marks the lines of a file's first block, the only place a header can stand.
+    """
     lines = (
         spark.read.schema("value string")
         .option("sep", "\u0001")
@@ -44,7 +47,9 @@ def read_observation_lines(spark: SparkSession, path: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
-    return lines.select(F.col("_metadata.file_name").alias("file"), "value")
+    return lines.select(
+        F.col("_metadata.file_name").alias("file"), (F.col("_metadata.file_block_start") == 0).alias("at_start"), "value"
+    )
 
 
 def _fields(value: Column) -> Column:
@@ -56,13 +61,18 @@ def _is_header(value: Column) -> Column:
 
 
 def file_headers(lines: DataFrame) -> DataFrame:
-    """One row per file that has a header line, with its field names in order."""
+    """One row per file that has a header line, with its field names in order.
+
+    Looks at file starts only, so that later blocks, and parts of ``lines`` known to hold none, are not looked at.
+    Lines that don't tell, such as those of unpacked archives, are all looked at.
+    """
     value = F.col("value")
+    starts = lines.where("at_start") if "at_start" in lines.columns else lines
     return (
-        lines.where(_is_header(value))
+        starts.where(_is_header(value))
         .groupBy("file")
         .agg(F.max(value).alias("header"))
-        .select("file", _fields(F.col("header")).alias("fields"))
+        .select("file", "header", _fields(F.col("header")).alias("fields"))
     )
 
 
@@ -75,7 +85,7 @@ def named_fields(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     value = F.col("value")
     return (
         lines.where(~_is_header(value) & (F.length(F.trim(value)) > 0))
-        .join(file_headers(lines), "file")
+        .join(file_headers(lines).drop("header"), "file")
         .select(
             "file",
             *[
@@ -101,7 +111,7 @@ def observation_file_audit(lines: DataFrame, required: Sequence[str], period: Pe
         lines.join(file_headers(lines), "file", "left")
         .groupBy("file")
         .agg(
-            F.max(F.when(header, value)).alias("header"),
+            F.max("header").alias("header"),
             F.count_if(reading).alias("readings"),
             F.count_if(reading & period.holds_instant(stamp)).alias("in_period"),
         )

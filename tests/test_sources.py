@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from railctx.operators.readings import temperature_hourly
 from railctx.operators.stops import train_stops
 from railctx.period import Period
+from railctx.plans import queries
+from railctx.plans.feeds import Feeds
 from railctx.sources import api_archive, delimited, fixed_width, railway, station_json, zip_members
 from railctx.sources.landing import LandingPaths
 
@@ -228,3 +230,17 @@ def test_archive_faults_end_the_read(spark):
     bad = ordered([(api_archive.STATION_INTERFACE, 200, '{"result": [{"number": "12a"}, {"number": 7}]}')])
     audit = api_archive.archive_audit(bad).first()
     assert (audit["malformed"], audit["stations_listed"], audit["unreadable_numbers"]) == (0, 2, 1)
+
+
+def test_lines_are_read_once_where_headers_are_known_to_be_apart(spark):
+    feeds = Feeds(spark, "/root/testdata/sf0.001")
+    for query in (queries.readings_by_header, queries.source_header_audit):
+        plan = query(feeds)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("l_shipdate") <= 1 and plan.count("Relation [l_orderkey") == 1
+
+
+def test_a_second_header_line_in_a_later_block_is_no_header(spark):
+    rows = [("f", True, HEADER), ("f", False, "STATIONS_ID;RF_TU;TT_TU;QN_9;MESS_DATUM;eor"), ("f", False, "1;2026060100;3;15.4;81.0;eor")]
+    lines = spark.createDataFrame(rows, "file string, at_start boolean, value string")
+    (row,) = delimited.named_fields(lines, delimited.TEMPERATURE_FIELDS).collect()
+    assert (row["TT_TU"], row["RF_TU"]) == ("15.4", "81.0")

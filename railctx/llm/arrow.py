@@ -94,12 +94,17 @@ class Memo(dict):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the cluster's checkpoint folder; one of our own only where that is unset."""
+    """A new path in the cluster's checkpoint folder; a local session without one gets a folder of its own.
+
+    On a cluster a folder of this machine would be missing on all others, so the setting must be there.
+    """
     global _own_folder
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir()
     if folder is not None and not isinstance(folder, str):
         folder = folder.get() if folder.isDefined() else None
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         _own_folder = _own_folder or tempfile.mkdtemp(prefix="llm-")
         folder = _own_folder
     return f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"

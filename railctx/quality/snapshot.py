@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
+from pyarrow import fs as filesystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,19 +53,57 @@ def digest(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def file_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """Every file below a folder with its size and digest, hashed where it is read."""
+#: Files up to this size are read whole by Spark; larger ones, which it cannot hold in a value, as streams.
+WHOLE_BYTES = 1 << 30
+BLOCK_BYTES = 8 << 20
+
+
+def _address(path: str) -> str:
+    """Spark's form of a path as an address: local ones with three slashes, blanks and the like encoded."""
+    return quote(re.sub("^file:/+", "file:///", path), safe="/:@")
+
+
+def streamed_digests(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``path``, ``byte_size`` and ``sha256`` of files of any size, a block at a time, one file after the other in a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                system, place = filesystem.FileSystem.from_uri(_address(path))
+                total, size = hashlib.sha256(), 0
+                with system.open_input_stream(place) as stream:
+                    while block := stream.read(block_bytes):
+                        total.update(block)
+                        size += len(block)
+                found.append((path, size, total.hexdigest()))
+            if found:
+                yield pa.RecordBatch.from_pydict(dict(zip(("path", "byte_size", "sha256"), zip(*found, strict=True), strict=True)))
+
+    return files.select("path").mapInArrow(run, "path string, byte_size bigint, sha256 string")
+
+
+def file_inventory(spark: SparkSession, base: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """Every file below a folder with its size and digest, hashed where it is read.
+
+    Files above ``whole_bytes`` are opened by their address, so that store must be one that pyarrow reads.
+    """
     folder = re.sub("^[a-z0-9]+:/*", "/", base).rstrip("/") + "/"
     below = F.instr("path", folder) + len(folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+    whole = files.where(F.col("length") <= whole_bytes).select(
+        "path", F.octet_length("content").cast("long").alias("byte_size"), digest(F.col("content")).alias("sha256")
+    )
+    # Sizes come from the listing: nothing of these files is read here. One file each to a task.
+    large = files.where(F.col("length") > whole_bytes).select("path").repartition("path")
+    # A scan passes over files without a byte; the listing has them.
+    listed = [(re.sub("^file:/+", "file:/", unquote(path)),) for path in files.inputFiles()]
+    empty = spark.createDataFrame(listed, "path string").join(files.select("path"), "path", "left_anti")
+    empty = empty.select("path", F.lit(0).cast("long").alias("byte_size"), digest(F.lit(b"")).alias("sha256"))
     return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(base)
-        .select(
-            F.substr(F.col("path"), below).alias("relative_path"),
-            F.octet_length("content").cast("long").alias("byte_size"),
-            digest(F.col("content")).alias("sha256"),
-        )
+        whole.unionByName(streamed_digests(large))
+        .unionByName(empty)
+        .select(F.substr(F.col("path"), below).alias("relative_path"), "byte_size", "sha256")
         .where(F.col("relative_path") != MANIFEST_FILE)
     )
 

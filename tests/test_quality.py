@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,6 +215,16 @@ def test_inventory_and_audit(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("whole_bytes", [0, 5, 6, 1000])
+def test_large_files_are_hashed_as_streams(spark, tmp_path, monkeypatch, whole_bytes):
+    monkeypatch.setattr(snapshot.streamed_digests, "__defaults__", (4,))
+    contents = {"a.bin": b"", "b.bin": b"12345", "deep/c d.bin": b"123456", "e.bin": bytes(range(256)) * 3}
+    for name, content in contents.items():
+        write(tmp_path / name, content)
+    found = {r["relative_path"]: (r["byte_size"], r["sha256"]) for r in snapshot.file_inventory(spark, str(tmp_path), whole_bytes).collect()}
+    assert found == {name: (len(content), hashlib.sha256(content).hexdigest()) for name, content in contents.items()}
+
+
 def test_manifest_rules(spark):
     good = "a" * 64
     claimed = entries(

@@ -136,12 +136,7 @@ class MonthlyRun:
         )
         met = {name: gold.pop(f"met:{name}") for name in matches}
         report["train_stop_weather"] = gold
-        checks = self.checks(report, met)
-        if self.database is not None:
-            self.publications.declare(self.database)
-        self.publications.publish(period.label, self.run_id, checks)
-        if self.database is not None:
-            self.publications.refresh(self.database, period.label, self.run_id)
+        self.publications.publish(period.label, self.run_id, self.checks(report, met), self.database)
         return report
 
     def _independent(self) -> dict[str, Callable[[], dict[str, int]]]:

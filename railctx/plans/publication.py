@@ -77,11 +77,20 @@ class Publications:
         said = [(period, run, now, visible) for period, run, visible in rows]
         self.spark.createDataFrame(said, PUBLICATION_SCHEMA).coalesce(1).write.mode("append").parquet(self.path(PUBLICATIONS))
 
-    def publish(self, period: str, run: str, checks: Iterable[Check]) -> None:
-        """Record what the run counted, then let readers see it."""
+    def publish(self, period: str, run: str, checks: Iterable[Check], database: str | None = None) -> None:
+        """Record what the run counted, then let readers see it.
+
+        The catalog learns of the run's partitions before: until the last step no view shows them.
+        """
         rows = self.spark.createDataFrame(list(checks), CHECK_SCHEMA)
         rows.coalesce(1).write.mode("overwrite").parquet(self.folder(CHECKS, period, run))
+        if database is not None:
+            self.declare(database)
+            self._add_partitions(database, period, run)
         self._say([(period, run, True)])
+        if database is not None:
+            # Other sessions see the new row when they refresh this one table, or list it anew.
+            self.spark.catalog.refreshTable(f"{database}.{PUBLICATIONS}")
 
     # Reading
 
@@ -134,14 +143,12 @@ class Publications:
             f"(SELECT period, {last}) c ON s.period = c.period AND s.run = c.last.run WHERE c.last.visible"
         )
 
-    def refresh(self, database: str, period: str, run: str) -> None:
-        """Tell the catalog of a run's partitions; they are shown once the run is published."""
+    def _add_partitions(self, database: str, period: str, run: str) -> None:
         for name in CONTRACTS:
             self.spark.sql(
                 f"ALTER TABLE {database}.{name}_runs ADD IF NOT EXISTS PARTITION ({PERIOD_COLUMN}={_quoted(period)}, {RUN_COLUMN}={_quoted(run)}) "
                 f"LOCATION {_quoted(self.folder(name, period, run))}"
             )
-        self.spark.catalog.refreshTable(f"{database}.{PUBLICATIONS}")
 
     # Retirement
 
@@ -163,6 +170,8 @@ class Publications:
         old = [(r["period"], r["run"]) for r in self.current().where(F.col(PERIOD_COLUMN) < first).collect()]
         if old:
             self._say([(period, last, False) for period, last in old])
+            if database is not None:
+                self.spark.catalog.refreshTable(f"{database}.{PUBLICATIONS}")
         shown = {(r["period"], r["run"]) for r in self.current().collect()}  # one row per month
         # Every run that was ever published and is not shown now; a run that is under way has no row.
         gone = sorted({(r["period"], r["run"]) for r in self._log().select("period", "run").distinct().collect()} - shown)

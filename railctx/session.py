@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -59,7 +61,10 @@ def _shared_folder(spark: SparkSession) -> str | None:
     global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None and spark.sparkContext.master.startswith("local"):
-        _local_folder = _local_folder or tempfile.mkdtemp(prefix="railctx-")
+        if _local_folder is None:
+            _local_folder = tempfile.mkdtemp(prefix="railctx-")
+            # Nobody else knows this folder; what lies in a cluster's folder is the cluster's to clear.
+            atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
         folder = _local_folder
     return folder
 

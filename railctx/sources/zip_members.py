@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,6 +31,10 @@ def read_archives(spark: SparkSession, path: str, name_filter: str = "*.zip") ->
     )
 
 
+#: What reading a damaged, encrypted or oddly compressed member raises.
+_BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError)
+
+
 def archive_members(archives: DataFrame, pattern: str) -> DataFrame:
     """Matching members with their bytes, or the reason they cannot be read.
 
@@ -52,17 +57,22 @@ def archive_members(archives: DataFrame, pattern: str) -> DataFrame:
 def _open(archive: str, content: bytes, wanted: re.Pattern) -> Iterator[tuple]:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as bundle:
-            names = [n for n in bundle.namelist() if wanted.match(n.rsplit("/", 1)[-1])]
-            broken = bundle.testzip()
-            if broken is not None:
-                yield archive, broken, "bad checksum", None
-            elif not names:
-                yield archive, None, None, None
-            else:
-                for name in names:
-                    yield archive, name, None, bundle.read(name)
+            found, broken = [], None
+            for name in bundle.namelist():
+                try:
+                    content = bundle.read(name)  # checks the sum of every member, wanted or not
+                except _BROKEN:
+                    broken = name
+                    break
+                if wanted.match(name.rsplit("/", 1)[-1]):
+                    found.append((archive, name, None, content))
     except zipfile.BadZipFile:
         yield archive, None, "not a readable archive", None
+        return
+    if broken is not None:
+        yield archive, broken, "bad checksum", None
+    else:
+        yield from found or [(archive, None, None, None)]
 
 
 def archive_audit(members: DataFrame) -> DataFrame:

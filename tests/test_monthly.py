@@ -240,6 +240,25 @@ def test_catalog_tables_follow_the_publication(spark, tmp_path):
     assert refused == 1 and spark.table(view).count() == 2
 
 
+def test_views_never_miss_a_month_while_it_is_replaced(spark, tmp_path, monkeypatch):
+    output, base = str(tmp_path / "tables"), "railctx_replace"
+    spark.sql(f"DROP DATABASE IF EXISTS {base} CASCADE")
+    run = MonthlyRun(spark, land(tmp_path / "a", JUNE, STOPS), JUNE, output, database=base)
+    run.run()
+    shown = []
+    real = Publications._say
+
+    def say(self, rows):
+        shown.append(spark.table(f"{base}.train_stop_weather").count())
+        real(self, rows)
+        spark.catalog.refreshTable(f"{base}.publications")
+        shown.append(spark.table(f"{base}.train_stop_weather").count())
+
+    monkeypatch.setattr(Publications, "_say", say)
+    MonthlyRun(spark, land(tmp_path / "b", JUNE, STOPS[:1]), JUNE, output, database=base).run()
+    assert shown == [3, 1]
+
+
 LENIENT = Limits({"station": 0.0, "temperature": 0.0}, 800)
 
 

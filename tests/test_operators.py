@@ -269,16 +269,16 @@ def test_key_filters_reach_the_scan(spark, tmp_path):
 
 @pytest.fixture
 def gold_inputs(spark):
-    stop_rows = [stop(f"s{i}", "8000261" if i % 2 else "8000105") for i in range(8)]
+    stop_rows = [stop(f"s{i}", "8000261" if i % 2 else "8077701") for i in range(8)]
     stop_rows += [stop("far", "9999999"), stop("timeless", "8000261", None)]
     return {
         "stops": train_stops(spark.createDataFrame(stop_rows, STOP.format(t="bigint"))),
         "stations": spark.createDataFrame(
-            [("08000261", "München Hbf", 1, 2, "Bayern"), ("08000105", None, 1, 1, "Hessen")],
+            [("08000261", "München Hbf", 1, 2, "Bayern"), ("08077701", None, 1, 1, "Hessen")],
             "eva string, station_name string, category int, price_category int, federal_state string",
         ),
         "mapping": spark.createDataFrame(
-            [("08000261", "03379", 3.5, "03380", 4.5), ("08000105", "01420", 7.25, "01420", 7.25)],
+            [("08000261", "03379", 3.5, "03380", 4.5), ("08077701", "07771", 7.25, "07771", 7.25)],
             "eva string, nearest_tu_station_id string, nearest_tu_dist_km double, nearest_ff_station_id string, nearest_ff_dist_km double",
         ),
         "temperature": spark.createDataFrame(
@@ -341,7 +341,7 @@ def check_enriched(gold):
         "nearest_ff_dist_km": 4.5,
     }
     assert out["s0"]["station_name"] == "Munich" and out["s0"]["federal_state"] == "Hessen"
-    assert out["s0"]["temp_celsius"] is None and out["s0"]["nearest_tu_station_id"] == "01420"
+    assert out["s0"]["temp_celsius"] is None and out["s0"]["nearest_tu_station_id"] == "07771"
     assert out["far"]["station_name"] == "Munich" and out["far"]["nearest_ff_station_id"] is None
     assert out["timeless"]["category"] == 1 and out["timeless"]["temp_celsius"] is None
 

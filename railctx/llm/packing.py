@@ -39,6 +39,8 @@ BATCH_IDS = 1 << 20
 #: Words, and their parts, that a worker remembers.
 MEMO_WORDS, MEMO_PARTS = 500_000, 300_000
 _CLOSING = ".,;:!?"
+#: Stands for a character that is left to the tokenizer; no letter is spelled so.
+_ODD = "\0"
 #: Up to here no letter combines with another, and none looks at its neighbours to change case.
 _LAST_LATIN = "\u024f"
 #: Counts of the pieces by task and length are broadcast up to this size, of about so many bytes a row.
@@ -72,7 +74,7 @@ class Words:
 
     def __init__(self, tokenizer):
         self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.letters: dict[str, str | None] = {}
+        self.letters: dict[int, str] = {ord("\n"): "\n"}
         self.spelled = Memo(lambda cores: map(self.merged, cores), MEMO_PARTS)
         self.whole = Memo(self.encoded, MEMO_PARTS)
         self.simple = self._cuts_letters_off()
@@ -86,31 +88,27 @@ class Words:
         return cuts == list(probe) and not any(set(_CLOSING) & set(n) or n.isalpha() for n in named)
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
-        texts = [word.decode() for word in words]
+        # Words hold no white space, so all of them are handled as lines of one text.
+        texts = b"\n".join(words).decode().split("\n")
         cores = [text.rstrip(_CLOSING) for text in texts]
-        self._learn(set("".join(cores)))
-        spelled, tails, others, kinds = [], [], [], []
-        for text, core in zip(texts, cores, strict=True):
-            letters = [*map(self.letters.get, core)]
-            plain = bool(letters) and None not in letters
-            kinds.append(plain)
-            if plain:
-                spelled.append("".join(letters))
-                tails.append(text[len(core) :])
-            else:
-                others.append(text)
-        plain = iter([a + b for a, b in zip(self.spelled.of(spelled), self.whole.of(tails), strict=True)])
-        rest = iter(self.whole.of(others))
-        return [next(plain) if kind else next(rest) for kind in kinds]
+        joined = "\n".join(cores)
+        self._learn(set(joined))
+        spelled = joined.translate(self.letters).split("\n")
+        plain = [bool(letters) and _ODD not in letters for letters in spelled]
+        known = iter(self.spelled.of([letters for letters, is_plain in zip(spelled, plain, strict=True) if is_plain]))
+        rest = iter(self.whole.of([text[len(core) :] if p else text for text, core, p in zip(texts, cores, plain, strict=True)]))
+        return [next(known) + ids if is_plain else ids for is_plain, ids in zip(plain, rest, strict=True)]
 
     def _learn(self, seen: set[str]) -> None:
-        """How the tokenizer spells each letter; None for what is no letter, or is cut in two."""
-        for letter in seen.difference(self.letters):
-            self.letters[letter] = None
+        """How the tokenizer spells each letter; ``_ODD`` for what is no letter, or is cut in two."""
+        for letter in seen:
+            if ord(letter) in self.letters:
+                continue
+            self.letters[ord(letter)] = _ODD
             if self.simple and letter.isalpha() and letter <= _LAST_LATIN:
                 pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(letter))
                 if len(pieces) == 1:
-                    self.letters[letter] = pieces[0][0]
+                    self.letters[ord(letter)] = pieces[0][0]
 
     def merged(self, spelled: str) -> bytes:
         return array("I", [token.id for token in self.model.tokenize(spelled)]).tobytes()

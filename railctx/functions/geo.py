@@ -66,13 +66,29 @@ def chord(p: Sequence[Column], q: Sequence[Column]) -> Column:
     return F.sqrt(sum((F.pow(a - b, 2) for a, b in zip(p, q, strict=True)), F.lit(0.0)))
 
 
+def boxes_gap(
+    low: Sequence[Column], high: Sequence[Column], other_low: Sequence[Column], other_high: Sequence[Column]
+) -> Column:
+    """Straight-line distance between two boxes; no point of one is nearer to a point of the other."""
+    ends = zip(low, high, other_low, other_high, strict=True)
+    gaps = (F.greatest(c - b, a - d, F.lit(0.0)) for a, b, c, d in ends)
+    return F.sqrt(sum((F.pow(gap, 2) for gap in gaps), F.lit(0.0)))
+
+
+def boxes_reach(
+    low: Sequence[Column], high: Sequence[Column], other_low: Sequence[Column], other_high: Sequence[Column]
+) -> Column:
+    """Straight-line distance between the farthest corners; no two points are farther from each other."""
+    ends = zip(low, high, other_low, other_high, strict=True)
+    far = (F.greatest(F.abs(b - c), F.abs(d - a)) for a, b, c, d in ends)
+    return F.sqrt(sum((F.pow(part, 2) for part in far), F.lit(0.0)))
+
+
 def box_gap(p: Sequence[Column], low: Sequence[Column], high: Sequence[Column]) -> Column:
     """Straight-line distance to a box; no point inside is nearer."""
-    gaps = (F.greatest(a - v, v - b, F.lit(0.0)) for v, a, b in zip(p, low, high, strict=True))
-    return F.sqrt(sum((F.pow(gap, 2) for gap in gaps), F.lit(0.0)))
+    return boxes_gap(p, p, low, high)
 
 
 def box_reach(p: Sequence[Column], low: Sequence[Column], high: Sequence[Column]) -> Column:
     """Straight-line distance to the farthest corner of a box; no point inside is farther."""
-    far = (F.greatest(F.abs(v - a), F.abs(v - b)) for v, a, b in zip(p, low, high, strict=True))
-    return F.sqrt(sum((F.pow(part, 2) for part in far), F.lit(0.0)))
+    return boxes_reach(p, p, low, high)

@@ -2,10 +2,12 @@
 
 Sites are numbered by a Z-order curve through a fine cubic grid over the unit sphere; prefixes of the
 number name the cells of the coarser grids. One aggregate over these prefixes gives every occupied
-cell of all grids with the box around its sites. A point walks down from a coarse grid: the farthest
-corner of a box is a distance it can surely reach, and every cell whose box begins farther away than the
-least of these is dropped. What remains is a handful of leaf cells, whose sites are measured. The result is
-the exact minimum of (distance, site id); boxes only decide what need not be measured.
+cell of all grids with the box around its sites. Points of one small cell are a region, and the box around
+them walks down from a coarse grid for all of them: the distance between the farthest corners of two boxes is
+one that each of its points can surely reach, and every cell whose box begins farther away than the least of
+these is dropped. What remains is a handful of leaf cells, whose sites are sifted the same way, and every
+point is measured against the sites left to its region. The result is the exact minimum of (distance, site
+id); boxes only decide what need not be measured.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railctx.functions.geo import box_gap, box_reach, chord, haversine_km, unit_vector, z_order
+from railctx.functions.geo import boxes_gap, boxes_reach, haversine_km, unit_vector, z_order
 from railctx.session import BROADCAST_BYTES, materialize
 
 #: Bits per axis from one grid to the next, and the number of grids.
@@ -29,12 +31,18 @@ LEAF_SITES = 16
 # A wider tolerance keeps more candidates and never changes the result.
 _TOLERANCE = 1e-9
 
+#: Regions of points are cells of so many bits per axis more than the leaves.
+REGION_BITS = 1
+
 # Bytes of one grid cell or site as a hashed row.
 _ROW_BYTES = 160
 
 _AXES = ("x", "y", "z")
 _LOW = tuple(f"low_{axis}" for axis in _AXES)
 _HIGH = tuple(f"high_{axis}" for axis in _AXES)
+# The box around the points of a region.
+_FROM = tuple(f"from_{axis}" for axis in _AXES)
+_TO = tuple(f"to_{axis}" for axis in _AXES)
 
 
 def _columns(names: Sequence[str]) -> list[Column]:
@@ -58,21 +66,28 @@ def _distinct_sites(sites: DataFrame, on: str, site_id: str, lat: str, lon: str)
         on, F.col(site_id).alias("id"), F.col(lat).alias("site_lat"), F.col(lon).alias("site_lon")
     )
     first = _first(placed.dropna(), [on, "site_lat", "site_lon"], "id")
-    vectors = first.withColumns(unit_vector(F.col("site_lat"), F.col("site_lon")))
+    return _placed(first, F.col("site_lat"), F.col("site_lon"))
+
+
+def _placed(df: DataFrame, lat: Column, lon: Column) -> DataFrame:
+    """The place on the unit sphere, and its number in the finest grid."""
+    vectors = df.withColumns(unit_vector(lat, lon))
     return vectors.withColumn("place", z_order(*_columns(_AXES), 1 + STEP_BITS * (DEPTHS - 1)))
 
 
+def _box(low: Sequence[str], high: Sequence[str]) -> list[Column]:
+    """The ends of the places of a group."""
+    ends = ((F.min, low), (F.max, high))
+    return [end(axis).alias(name) for end, names in ends for axis, name in zip(_AXES, names, strict=True)]
+
+
 def _tree(sites: DataFrame, on: str) -> DataFrame:
     """The occupied cells of all grids, by prefix, with the box around their sites."""
     depths = F.explode(F.sequence(F.lit(0), F.lit(DEPTHS - 1))).alias("depth")
     return (
         sites.select(on, "place", *_AXES, depths)
         .groupBy(on, "depth", _prefix("depth").alias("cell"))
-        .agg(
-            F.count(F.lit(1)).alias("sites"),
-            *[F.min(axis).alias(name) for axis, name in zip(_AXES, _LOW, strict=True)],
-            *[F.max(axis).alias(name) for axis, name in zip(_AXES, _HIGH, strict=True)],
-        )
+        .agg(F.count(F.lit(1)).alias("sites"), *_box(_LOW, _HIGH))
     )
 
 
@@ -106,15 +121,22 @@ def _grid_cells(tree: DataFrame, on: str, depth: int, root: int) -> DataFrame:
     return cells if depth == root else cells.withColumn("parent", F.shiftright("cell", 3 * STEP_BITS))
 
 
-def _descend(frontier: DataFrame, cells: DataFrame, on: Sequence[str], point: Sequence[str]) -> DataFrame:
-    """Replace each cell by the finer cells that can still hold the nearest site."""
-    here, low, high = _columns(_AXES), _columns(_LOW), _columns(_HIGH)
-    reached = F.min("far").over(Window.partitionBy(*point)) + F.lit(_TOLERANCE)
+def _descend(frontier: DataFrame, boxes: DataFrame, on: Sequence[str], region: Sequence[str], kept: dict[str, str]) -> DataFrame:
+    """Replace each cell by the finer boxes that can still hold the nearest site of a point of the region."""
+    points, box = (_columns(_FROM), _columns(_TO)), (_columns(_LOW), _columns(_HIGH))
+    reached = F.min("far").over(Window.partitionBy(*region)) + F.lit(_TOLERANCE)
     return (
-        frontier.join(cells, on)
-        .withColumn("gap", box_gap(here, low, high))
+        frontier.join(boxes, on)
+        .withColumn("gap", boxes_gap(*points, *box))
         .where(F.col("gap") <= F.col("reach"))
-        .select(*point, *_AXES, F.col("cell").alias("parent"), "gap", box_reach(here, low, high).alias("far"))
+        .select(
+            *region,
+            *_FROM,
+            *_TO,
+            *[F.col(name).alias(alias) for name, alias in kept.items()],
+            "gap",
+            boxes_reach(*points, *box).alias("far"),
+        )
         .withColumn("reach", reached)
         .where(F.col("gap") <= F.col("reach"))
         .drop("gap", "far")
@@ -139,10 +161,10 @@ def nearest_site(
     of them; points and sites without coordinates take no part; a key with no site to
     choose from is absent. Returns ``key``, ``on``, ``site_id``, ``distance_km``.
 
-    Grids that measure below ``broadcast_bytes`` are broadcast, and then points are
-    shuffled once, by ``key``. Larger grids are joined on their cell, where the adaptive
+    Tables that measure below ``broadcast_bytes`` are broadcast, and then points are
+    shuffled once, by ``key``. Larger ones are joined on their cell, where the adaptive
     skew join splits a crowded cell: it meets at most a few dozen rows of the site side.
-    The walk is compute-bound, so points go into as many partitions as the session asks
+    The walk is compute-bound, so regions go into as many partitions as the session asks
     for and small ones must not be merged.
     """
     spark = points.sparkSession
@@ -159,32 +181,41 @@ def nearest_site(
     def sized(table: DataFrame, rows: int) -> DataFrame:
         return F.broadcast(table) if rows * _ROW_BYTES <= broadcast_bytes else table
 
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lat, lon = point_coordinates
-    point = [*key, on, "lat", "lon"]
+    region = [on, "region"]
+    located = _placed(
+        points.select(*key, on, F.col(lat).alias("lat"), F.col(lon).alias("lon")).dropna(), F.col("lat"), F.col("lon")
+    )
+    # A place that is not finite reaches nothing, and would widen the box of its region to nothing.
+    finite = ~(F.isnan("x") | F.isnan("y") | F.isnan("z"))
+    finer = max(0, STEP_BITS * (DEPTHS - 1 - leaf) - REGION_BITS)
+    cell = F.shiftright("place", 3 * finer).alias("region")
+    asked = materialize(located.where(finite).select(*key, on, "lat", "lon", *_AXES, cell))
+
     frontier = (
-        points.select(*key, on, F.col(lat).alias("lat"), F.col(lon).alias("lon"))
-        .dropna()
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key)
-        .withColumns(unit_vector(F.col("lat"), F.col("lon")))
+        asked.groupBy(*region)
+        .agg(*_box(_FROM, _TO))
+        .repartition(partitions, *region)
         .withColumn("reach", F.lit(2.0 + _TOLERANCE))  # the diameter reaches everything
     )
     for depth in range(root, leaf + 1):
         cells = sized(_grid_cells(tree, on, depth, root), grids[depth].cells)
-        frontier = _descend(frontier, cells, [on] if depth == root else [on, "parent"], point)
+        frontier = _descend(frontier, cells, [on] if depth == root else [on, "parent"], region, {"cell": "parent"})
 
-    site = [f"site_{axis}" for axis in _AXES]
+    site = ["id", "site_lat", "site_lon"]
     leaves = unique.select(
         on,
         _prefix(leaf).alias("parent"),
-        "id",
-        "site_lat",
-        "site_lon",
-        *[F.col(axis).alias(name) for axis, name in zip(_AXES, site, strict=True)],
+        *site,
+        *[F.col(axis).alias(name) for names in (_LOW, _HIGH) for axis, name in zip(_AXES, names, strict=True)],
     )
+    leaves = sized(leaves, grids[leaf].cells * grids[leaf].fullest)
+    left = materialize(_descend(frontier, leaves, [on, "parent"], region, {c: c for c in site}).select(*region, *site))
+
+    candidates = left.count()
+    near = sized(left, candidates)
+    moved = asked if candidates * _ROW_BYTES > broadcast_bytes else asked.repartition(partitions, *key)
     km = haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
-    measured = (
-        frontier.join(sized(leaves, grids[leaf].cells * grids[leaf].fullest), [on, "parent"])
-        .where(chord(_columns(_AXES), _columns(site)) <= F.col("reach"))
-        .select(*key, on, F.col("id").alias(site_id), km.alias("distance_km"))
-    )
+    measured = moved.join(near, region).select(*key, on, F.col("id").alias(site_id), km.alias("distance_km"))
     return _first(measured, [*key, on], "distance_km", site_id)

@@ -149,7 +149,7 @@ def wind_readings(f: Feeds) -> DataFrame:
 
 def observation_lines(f: Feeds) -> DataFrame:
     """One observation file per supplier. Headers lack a field, are swapped, or are absent."""
-    readings = feeds.raw_temperature(f.table("lineitem")).select(
+    readings = feeds.raw_temperature(feeds.sensor_hours(f.table("lineitem"))).select(
         F.trim("STATIONS_ID").alias("sensor"),
         F.concat_ws(";", "STATIONS_ID", "MESS_DATUM", "  QN_9", "TT_TU", " RF_TU", F.lit("eor")).alias("value"),
     )

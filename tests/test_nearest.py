@@ -232,3 +232,25 @@ def test_no_sort_aggregate(spark):
     sensors = spark.createDataFrame([("t", 50.0, 8.0, True, True)], "dwd_station_id string, latitude double, longitude double, has_temperature boolean, has_wind boolean")
     plan = station_weather_mapping(stations, sensors)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_points_of_one_place_walk_as_one_region(spark, monkeypatch):
+    walked = []
+    real = nearest._descend
+
+    def descend(frontier, *args):
+        walked.append(frontier.count())
+        return real(frontier, *args)
+
+    monkeypatch.setattr(nearest, "_descend", descend)
+    rng = random.Random(10)
+    crowd = [(50 + rng.uniform(0, 1e-9), 8 + rng.uniform(0, 1e-9)) for _ in range(40)]
+    check(spark, crowd, [(rng.uniform(47, 55), rng.uniform(6, 15)) for _ in range(60)])
+    assert walked and max(walked) < 40  # and not a row for each of the 80 points
+
+
+def test_a_place_that_is_not_finite_hides_no_other(spark):
+    points = spark.createDataFrame([("a", "x", 50.0, 8.0), ("b", "x", float("inf"), 8.0)], POINTS)
+    sites = spark.createDataFrame([("1", "x", 50.0, 9.0), ("2", "x", -50.0, 8.0)], SITES)
+    found = nearest_site(points, sites, key=["k"], on="net", site_id="sid").collect()
+    assert [(row["k"], row["sid"]) for row in found] == [("a", "1")]

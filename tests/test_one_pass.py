@@ -42,6 +42,22 @@ def test_events_are_read_once(spark, query):
     assert sum(counter.value for counter in feeds.counters) == rows
 
 
+def test_line_items_are_grouped_once_for_both_readings(spark):
+    read = []
+
+    class Lines(Feeds):
+        def table(self, name):
+            read.append(name)
+            return super().table(name)
+
+    tables = Lines(spark, SF_DIR).lookups
+    assert read.count("lineitem") == 1
+    whole = Feeds(spark, SF_DIR)
+    for name, alone in (("temperature", whole.temperature), ("wind", whole.wind)):
+        assert tables[name].exceptAll(alone).isEmpty() and alone.exceptAll(tables[name]).isEmpty()
+        assert tables[name].columns == alone.columns and tables[name].count() > 0
+
+
 def test_counters_at_two_nodes(spark):
     left = spark.range(100).repartition(3)
     right = spark.createDataFrame([(7,), (7,), (8,)], "id long").withColumn("met", F.lit(True))

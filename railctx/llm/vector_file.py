@@ -3,7 +3,8 @@
 Components become the integers floor(scale * x). Every vector is kept twice: exactly, and as an
 approximation that names, in a few bits per dimension, the cell its component lies in. A query scans
 the approximations only: the limits of the cells bound its inner product with a vector from both
-sides, and a vector whose upper bound is beaten by k lower bounds is out. Exact vectors are then read
+sides. One scan finds the k best lower bounds of a query; their exact scores are what any result must
+reach, and a second scan keeps only vectors whose upper bound does. Exact vectors are then read
 in the order of their bounds, a batch of each query at a time, until the k-th result beats the best
 bound that is left. The cells decide what is read, never the result.
 
@@ -109,8 +110,8 @@ class Cells:
         return self.low[axis, cells], self.high[axis, cells]
 
 
-def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bound of the inner product of every query with every vector between the limits.
+def bounds_of(queries: np.ndarray, low: np.ndarray, high: np.ndarray, upper: bool) -> np.ndarray:
+    """Lower or upper bound of the inner product of every query with every vector between the limits.
 
     Products run in doubles, which are exact below 2^53; beyond, the bounds give way by more than
     any rounding error.
@@ -119,22 +120,29 @@ def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
     low, high = low.T.astype(float), high.T.astype(float)
     most = max(np.abs(low).max(initial=0), np.abs(high).max(initial=0)) * max(up.max(initial=0), -down.min(initial=0)) * queries.shape[1]
     slack = 0.0 if most < 2**53 else most * 2.0**-50
-    return (up @ low + down @ high - slack).astype(np.int64), (up @ high + down @ low + slack).astype(np.int64)
+    return (up @ high + down @ low + slack if upper else up @ low + down @ high - slack).astype(np.int64)
+
+
+def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds."""
+    return bounds_of(queries, low, high, False), bounds_of(queries, low, high, True)
+
+
+def shown_ids(asked: np.ndarray, first: np.ndarray, second: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest id that every point of a block can show to every query, and whether it can show any."""
+    mine = first[None, :] == asked[:, None]
+    return np.where(mine, second[None, :], first[None, :]), ~(mine & single[None, :])
 
 
-def survivors(own: int, k: int, lower: np.ndarray, upper: np.ndarray, first: np.ndarray, second: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Points of a block that k others do not surely beat, and the smallest id each of them can show."""
-    mine = first == own
-    shown, valid = first, np.ones(len(first), bool)
-    if mine.any():
-        shown, valid = np.where(mine, second, first), ~(mine & single)
-    if valid.sum() <= k:
-        return np.flatnonzero(valid), shown
-    sure = lower[valid]
-    least = np.partition(sure, -k)[-k]
-    ties = np.sort(shown[valid][sure == least])
-    last = ties[k - int((sure > least).sum()) - 1]
-    return np.flatnonzero(valid & ((upper > least) | ((upper == least) & (shown <= last)))), shown
+def _surest(k: int, lower: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """Which points of a block have the k highest lower bounds of each query; of equal bounds, any."""
+    kept = valid.copy()
+    if kept.shape[1] > k:
+        kept[:] = False
+        # No bound of a point is as low as this.
+        order = np.argpartition(np.where(valid, lower, np.iinfo(np.int64).min), -k, axis=1)[:, -k:]
+        np.put_along_axis(kept, order, True, axis=1)
+    return kept & valid
 
 
 def _integers(held: list[bytes], dimension: int) -> np.ndarray:
@@ -153,11 +161,16 @@ def _every(blocks: int) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
 
 
-def scan(queries: DataFrame, approximations: DataFrame, cells: Cells, dimension: int, k: int, blocks: tuple[int, int]) -> DataFrame:
-    """query_id, point, the smallest id it can show, and both bounds, for all that may be among the k best."""
+def scan(queries: DataFrame, approximations: DataFrame, cells: Cells, dimension: int, k: int, blocks: tuple[int, int], reached: bool) -> DataFrame:
+    """query_id, point, the smallest id it can show, and one bound.
+
+    The k highest lower bounds of every block, or, where a k-th score is ``reached``, the upper bounds of all that may
+    be among the k best: ``queries`` then hold that score and its id as ``kth`` and ``kth_shown``, null if there is none.
+    """
     left = queries.withColumn("asked", _block("query_id", blocks[0])).withColumn("block", _every(blocks[1]))
     right = approximations.withColumn("block", _block("point", blocks[1])).withColumn("asked", _every(blocks[0]))
-    schema = pa.schema([(c, pa.int64()) for c in ("query_id", "point", "shown", "lower", "upper")])
+    schema = pa.schema([(c, pa.int64()) for c in ("query_id", "point", "shown", "bound")])
+    least = np.iinfo(np.int64).min
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -165,25 +178,35 @@ def scan(queries: DataFrame, approximations: DataFrame, cells: Cells, dimension:
         asked, points, first = (np.asarray(c.combine_chunks()) for c in (left["query_id"], right["point"], right["first"]))
         single = np.asarray(right["second"].combine_chunks().is_null())
         second = np.asarray(right["second"].combine_chunks().fill_null(0))
-        lower, upper = bounds(_integers(left["vector"].to_pylist(), dimension), *cells.limits(right["cells"].to_pylist()))
-        parts = []
-        for own, low, high in zip(asked.tolist(), lower, upper, strict=True):
-            kept, shown = survivors(own, k, low, high, first, second, single)
-            parts.append((np.full(len(kept), own), points[kept], shown[kept], low[kept], high[kept]))
-        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], schema=schema)
+        bound = bounds_of(_integers(left["vector"].to_pylist(), dimension), *cells.limits(right["cells"].to_pylist()), reached)
+        shown, valid = shown_ids(asked, first, second, single)
+        if reached:
+            none = np.asarray(left["kth"].combine_chunks().is_null())[:, None]
+            kth, last = (np.asarray(left[c].combine_chunks().fill_null(least))[:, None] for c in ("kth", "kth_shown"))
+            kept = valid & (none | (bound > kth) | ((bound == kth) & (shown <= last)))
+        else:
+            kept = _surest(k, bound, valid)
+        own, place = np.nonzero(kept)
+        return pa.Table.from_arrays([pa.array(c) for c in (asked[own], points[place], shown[kept], bound[kept])], schema=schema)
 
     keys = ["asked", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id long, point long, shown long, lower long, upper long")
-    # Blocks cut by their own points; the same cut once more over all blocks of a query.
-    query = Window.partitionBy("query_id")
-    sure = F.row_number().over(query.orderBy(F.desc("lower"), "shown"))
-    kth = found.withColumn("sure", sure).withColumns({c: F.max(F.when(F.col("sure") == k, F.col(of))).over(query) for c, of in (("least", "lower"), ("last", "shown"))})
-    return kth.where(_may_enter("least", "last")).drop("sure", "least", "last")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id long, point long, shown long, bound long")
 
 
 def _may_enter(score: str, shown: str) -> Column:
     """A point that a k-th result of this score and id does not surely beat."""
-    return F.col(score).isNull() | (F.col("upper") > F.col(score)) | ((F.col("upper") == F.col(score)) & (F.col("shown") <= F.col(shown)))
+    return F.col(score).isNull() | (F.col("bound") > F.col(score)) | ((F.col("bound") == F.col(score)) & (F.col("shown") <= F.col(shown)))
+
+
+def _place(*order: Column | str) -> Column:
+    return F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
+
+
+def with_kth(queries: DataFrame, scored: DataFrame, k: int) -> DataFrame:
+    """Queries with the k-th best of some exact scores, null where there are fewer."""
+    best = scored.withColumn("rank", _place(F.desc("score"), "shown")).where(F.col("rank") <= k)
+    kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"), F.col("shown").alias("kth_shown"))
+    return queries.join(kth, "query_id", "left")
 
 
 def exact_scores(pairs: DataFrame, queries: DataFrame, points: DataFrame, dimension: int) -> DataFrame:
@@ -227,8 +250,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64,
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], held], names=["point", "first", "second", "cells"])
 
     approximations = points.select("point", "first", "second", "vector").mapInArrow(approximate, "point long, first long, second long, cells binary")
-    found = scan(queries, approximations, cells, dimension, k, (_blocks(asked, BLOCK_QUERIES), _blocks(rows, BLOCK_POINTS)))
-    in_order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("upper"), "shown"))
+    blocks = (_blocks(asked, BLOCK_QUERIES), _blocks(rows, BLOCK_POINTS))
+    surest = scan(queries, approximations, cells, dimension, k, blocks, False).withColumn("place", _place(F.desc("bound"), "shown"))
+    sure = exact_scores(surest.where(F.col("place") <= k), queries, points, dimension)
+    limited = written(with_kth(queries, sure, k))
+    found = scan(limited, approximations, cells, dimension, k, blocks, True)
+    in_order = _place(F.desc("bound"), "shown")
     best = _read_until_certain(written(found.withColumn("place", in_order)), queries, points, dimension, k)
 
     shown = best.join(points.select("point", "members"), "point").select("query_id", "score", F.explode("members").alias("member")).where("member.vec_id <> query_id")

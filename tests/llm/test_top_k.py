@@ -83,3 +83,21 @@ def test_bounds_beyond_the_doubles():
     lower, upper = vector_file.bounds(some, some, some)
     exact = [[sum(int(a) * int(b) for a, b in zip(q, v)) for v in some] for q in some]
     assert all(low <= e <= high for ls, es, hs in zip(lower, exact, upper) for low, e, high in zip(ls, es, hs))
+
+
+def test_exact_scores_of_the_surest_points_cut_the_candidates(spark, monkeypatch):
+    kept = []
+    real = vector_file._read_until_certain
+
+    def read(left, *args):
+        kept.append(left.count())
+        return real(left, *args)
+
+    monkeypatch.setattr(vector_file, "_read_until_certain", read)
+    monkeypatch.setattr(vector_file, "BLOCK_POINTS", 64)
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(600)]
+    got = found(vector_file.top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, 5, bits=3))
+    assert len(got) == 30
+    # Of 30 times 600 points; the k best lower bounds alone left 7617.
+    assert kept[0] < 30 * 180

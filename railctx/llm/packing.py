@@ -17,10 +17,12 @@ looked at.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,12 @@ CAPACITY = 4096
 END = 2
 #: Rows leave a task when they hold so many ids.
 BATCH_IDS = 1 << 20
+#: Texts whose words are looked up in one call.
+TOGETHER = 64
 #: Words, and their parts, that a worker remembers.
 MEMO_WORDS, MEMO_PARTS = 500_000, 300_000
-_CLOSING = ".,;:!?"
+#: Punctuation after which a word may end; not the apostrophe, which some tokenizers leave with letters.
+_CLOSING = "".join(sorted(set(string.punctuation) - {"'"}))
 #: Stands for a character that is left to the tokenizer; no letter is spelled so.
 _ODD = "\0"
 #: Up to here no letter combines with another, and none looks at its neighbours to change case.
@@ -77,20 +82,21 @@ class Words:
         self.letters: dict[int, str] = {ord("\n"): "\n"}
         self.spelled = Memo(lambda cores: map(self.merged, cores), MEMO_PARTS)
         self.whole = Memo(self.encoded, MEMO_PARTS)
-        self.simple = self._cuts_letters_off()
+        named = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        self.closing = "".join(c for c in _CLOSING if not any(c in name for name in named))
+        self.simple = not any(name.isalpha() for name in named) and self._cuts_letters_off()
 
     def _cuts_letters_off(self) -> bool:
-        if self.tokenizer.normalizer is None or self.tokenizer.pre_tokenizer is None:
+        if self.tokenizer.normalizer is None or self.tokenizer.pre_tokenizer is None or not self.closing:
             return False
-        probe = "a".join(_CLOSING)
-        cuts = [part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)]
-        named = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        return cuts == list(probe) and not any(set(_CLOSING) & set(n) or n.isalpha() for n in named)
+        one_by_one, run = "a".join(self.closing), "a" + self.closing
+        cuts, run_cuts = ([part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)] for probe in (one_by_one, run))
+        return cuts == list(one_by_one) and run_cuts[0] == "a"
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
         # Words hold no white space, so all of them are handled as lines of one text.
         texts = b"\n".join(words).decode().split("\n")
-        cores = [text.rstrip(_CLOSING) for text in texts]
+        cores = [text.rstrip(self.closing) for text in texts]
         joined = "\n".join(cores)
         self._learn(set(joined))
         spelled = joined.translate(self.letters).split("\n")
@@ -127,6 +133,16 @@ def piece_lengths(tokens: int, capacity: int = CAPACITY) -> list[int]:
     return [capacity] * (tokens // capacity) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+def _coded(part: pa.RecordBatch, coder: Memo) -> Iterator[tuple[int | None, bytes]]:
+    """Ids of each text of a batch; the words of ``TOGETHER`` texts are looked up in one call."""
+    for start in range(0, part.num_rows, TOGETHER):
+        some = part.slice(start, TOGETHER)
+        words = [text.encode().split() for text in some.column(1).to_pylist()]
+        ids = iter(coder.of(list(chain.from_iterable(words))))
+        for doc_id, own in zip(some.column(0).to_pylist(), words, strict=True):
+            yield doc_id, b"".join(islice(ids, len(own)))
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True, **columns: str) -> DataFrame:
     """One row per piece: place in its document, checksum, task, place among the task's pieces of its length and, unless turned off, its ids."""
     if capacity < 1 or capacity & (capacity - 1):
@@ -147,21 +163,19 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
         coder = word_coder(tokenizer)
         rows, held, room = [], [], BATCH_IDS
         task, taken = TaskContext.get().partitionId(), Counter()
-        for part in batches:
-            for k in range(part.num_rows):
-                doc_id, text = part.column(0)[k].as_py(), part.column(1)[k].as_py()
-                data = b"".join(coder.of(text.encode().split())) + last
-                total, start = len(data) // 4, 0
-                for length in piece_lengths(total, capacity):
-                    ids = data[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, length, zlib.crc32(ids), total, task, taken[length]))
-                    taken[length] += 1
-                    held.append(ids if with_ids else b"")
-                    start += length
-                    room -= length
-                    if room <= 0 or len(rows) >= 2048:
-                        yield batch(rows, held)
-                        rows, held, room = [], [], BATCH_IDS
+        for doc_id, coded in (found for part in batches for found in _coded(part, coder)):
+            data = coded + last
+            total, start = len(data) // 4, 0
+            for length in piece_lengths(total, capacity):
+                ids = data[4 * start : 4 * (start + length)]
+                rows.append((doc_id, start, length, zlib.crc32(ids), total, task, taken[length]))
+                taken[length] += 1
+                held.append(ids if with_ids else b"")
+                start += length
+                room -= length
+                if room <= 0 or len(rows) >= 2048:
+                    yield batch(rows, held)
+                    rows, held, room = [], [], BATCH_IDS
         if rows:
             yield batch(rows, held)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from railctx.llm import packing, pieces, quality_rules, token_counts
+from railctx.llm.arrow import Memo
 
 ODD = [
     "", " ", "\n", "  two  spaces  ", "tab\tand\nlines\n\n", "\nfirst line empty", "▁mark ▁▁ x▁", "日本語 テスト 🎉", "é́ combining",
@@ -138,6 +139,34 @@ def test_packing(docs, empty):
         packing.pack(docs, path, 100)
 
 
+def test_words_with_closing_punctuation_share_their_letters(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    words = packing.Words(library)
+    ends = ["", ".", "***", ".$$$", '"', "&&&", ")", "%%%]", "_", "-", "<", "'", "'s", "\u0338", "é"]
+    texts = [core + end for core in ("word", "Ndth", "Straße", "12", "don't", "") for end in ends if core + end]
+    asked = []
+    monkeypatch.setattr(words.whole, "compute", lambda some: asked.extend(some) or words.encoded(some))
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in words([text.encode() for text in texts])]
+    assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    # Only the ends of words of letters go through the whole tokenizer.
+    assert not {"word***", "Ndth.$$$", "Straße&&&", 'word"', "word)"} & set(asked) and {"***", ".$$$"} <= set(asked)
+
+
+def test_memo_looks_up_known_words_once():
+    class Counted(Memo):
+        looked_up = 0
+
+        def get(self, word):
+            Counted.looked_up += 1
+            return super().get(word)
+
+    memo = Counted(lambda words: [w * 2 for w in words], limit=3)
+    assert memo.of(["a", "b", "a", "c"]) == ["aa", "bb", "aa", "cc"] and Counted.looked_up == 4
+    assert memo.of(["c", "d", "a"]) == ["cc", "dd", "aa"] and Counted.looked_up == 7  # emptied on the way
+    assert memo.of(["c"]) == ["cc"] and memo.of([]) == [] and len(memo) <= 3
+
+
 def test_piece_lengths():
     assert packing.piece_lengths(5000, 4096) == [4096, 512, 256, 128, 8]
     assert packing.piece_lengths(0) == [] and packing.piece_lengths(1) == [1]

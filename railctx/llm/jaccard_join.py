@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railctx.llm.arrow import keyed_text, written
+from railctx.llm.arrow import keyed_text, only, written
 from railctx.llm.components import components
 
 WORDS = 5
@@ -58,7 +58,7 @@ class _Hashes(dict):
     """Hash of each word; emptied when it grows beyond a fixed size."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -67,6 +67,10 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def _begin() -> None:
+    only("jaccard_join", _hashes.clear)
+
+
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """The set of a text as sorted distinct 64-bit hashes. Words end at ASCII white space; A-Z become a-z."""
     # Both methods of bytes look at ASCII only.
@@ -128,6 +132,7 @@ def levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     bits = _bits(docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for batch in _slices(batches):
             sets = [shingles(t, words) for t in batch.column(0).to_pylist()]
             every = np.concatenate([np.zeros(0, np.uint64), *sets])
@@ -176,6 +181,7 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
     table = docs.sparkSession.sparkContext.broadcast(levels(docs, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         level_of, shift = table.value, np.uint64(64 - PLACES)
         for batch in _slices(batches):
             sizes, points, rare, common = [], [], [], []
@@ -210,6 +216,7 @@ def _dealt(points: DataFrame, set_of: Callable[[Any], np.ndarray]) -> DataFrame:
     bits = _bits(points)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for batch in _slices(batches):
             sets = [set_of(x) for x in batch.column(1).to_pylist()]
             values = np.concatenate([np.zeros(0, np.uint64), *sets])
@@ -329,6 +336,7 @@ def measured(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFram
     both = pairs.join(left, "a").join(right, "b").select("a", "text_a", "b", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         held: dict[int, np.ndarray] = {}
         room = _HELD_SHINGLES
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from railctx.llm.arrow import Memo, keyed_text, written
+from railctx.llm.arrow import Memo, keyed_text, only, written
 
 CAPACITY = 4096
 END = 2
@@ -68,6 +68,10 @@ def word_coder(path: str) -> Memo:
     return _coders[path]
 
 
+def _begin() -> None:
+    only("packing", _coders.clear)
+
+
 class Words:
     """Ids of words, all words of a call at a time.
 
@@ -160,6 +164,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         coder = word_coder(tokenizer)
         rows, held, room = [], [], BATCH_IDS
         task, taken = TaskContext.get().partitionId(), Counter()

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railctx.llm.arrow import keyed_text, map_rows
+from railctx.llm.arrow import keyed_text, map_rows, only
 
 CLASS_ROWS = 1500
 MOST_CHARS = 20_000
@@ -148,6 +148,7 @@ def scores(docs: DataFrame, classifier: Classifier, **columns: str) -> DataFrame
     packed = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def rows():
+        only("quality_classifier")
         score = packed.value.scorer()
         return lambda row: [(row[0], score(row[1]))]
 
@@ -160,6 +161,7 @@ def keep(docs: DataFrame, classifier: Classifier, least: float, text: str = "tex
     at = docs.columns.index(text)
 
     def run(batches):
+        only("quality_classifier")
         score = packed.value.scorer()
         for batch in batches:
             kept = [score(t or "") >= least for t in batch.column(at).to_pylist()]

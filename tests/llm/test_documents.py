@@ -6,12 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from railctx.llm import packing, pieces, quality_rules, token_counts
+from railctx.llm import arrow, jaccard_join, packing, pieces, quality_rules, token_counts
 from railctx.llm.arrow import Memo
 
 ODD = [
@@ -153,6 +154,30 @@ def test_words_with_closing_punctuation_share_their_letters(monkeypatch):
     assert not {"word***", "Ndth.$$$", "Straße&&&", 'word"', "word)"} & set(asked) and {"***", ".$$$"} <= set(asked)
 
 
+def test_a_worker_keeps_the_memos_of_one_operator():
+    """What packing remembers in a worker is gone when that worker hashes shingles, and the other way round."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packing._begin()
+    coder = packing.word_coder(path)
+    coder.of([b"some", b"words"])
+    packing._begin()  # the next task of the same operator
+    assert packing.word_coder(path) is coder and len(coder) == 2
+    jaccard_join._begin()
+    assert not packing._coders
+    jaccard_join.shingles("some words")
+    jaccard_join._begin()
+    assert len(jaccard_join._hashes) == 2
+    packing._begin()
+    assert not jaccard_join._hashes
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["bytes"]) for b in batches)
+    long = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    arrow.ship(spark)
+    assert long.mapInArrow(sizes, "bytes long").agg(F.max("bytes")).first()[0] <= arrow.BATCH_BYTES + 200_000
+
+
 def test_memo_looks_up_known_words_once():
     class Counted(Memo):
         looked_up = 0

@@ -1,16 +1,19 @@
 """Counters at several nodes of one plan, and uniqueness by hashes."""
 
 import random
+from datetime import datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from railctx.operators import readings
 from railctx.operators.enrich import train_stop_weather, with_context
 from railctx.period import Period
 from railctx.plans import queries
 from railctx.plans.feeds import Feeds
 from railctx.quality import fact_audit, grain, one_pass, uniqueness
+from railctx.session import HASHED_PART
 
 JANUARY = Period.month("2024-01")
 SF_DIR = "/root/testdata/sf0.001"
@@ -58,6 +61,49 @@ def test_line_items_are_grouped_once_for_both_readings(spark):
         assert tables[name].columns == alone.columns and tables[name].count() > 0
 
 
+def test_hour_stamps_are_parsed_once_for_both_readings(spark):
+    feeds = Feeds(spark, SF_DIR)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" in plan(feeds.temperature)
+    for name in ("temperature", "wind"):
+        assert "gettimestamp" not in plan(feeds.lookups[name])
+
+
+def test_shared_hour_keys_keep_the_readings_of_each_feed(spark):
+    stamps = ["2024010100", " 2024013123 ", "2023123123", "2024020100", "2024010599", "20240101", "", None]
+    sensors = ["        7", "123456", None, ""]
+    raw = spark.createDataFrame(
+        [(s, t, str(i), "3", "4", "5") for i, (s, t) in enumerate((s, t) for s in sensors for t in stamps)],
+        "STATIONS_ID string, MESS_DATUM string, TT_TU string, ` RF_TU` string, `  QN_9` string, other string",
+    )
+    shared = readings.temperature_hourly(readings.hourly_keys(raw, JANUARY), None)
+    found = {tuple(r)[:3] for r in shared.collect()}
+    first, last = datetime(2024, 1, 1), datetime(2024, 1, 31, 23)
+    keys = [("00007", 0), ("123456", 8), ("00000", 24)]
+    assert found == {(k, hour, float(i + at)) for k, i in keys for at, hour in enumerate((first, last))}
+    assert sorted(map(tuple, readings.temperature_hourly(raw, JANUARY).collect())) == sorted(map(tuple, shared.collect()))
+
+
+def test_short_parts_of_the_enrichment_are_joined_by_hash(spark):
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", HASHED_PART: "0b"}
+    before = {key: spark.conf.get(key) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        hashed = queries.stops_enriched(Feeds(spark, SF_DIR))
+        rows = sorted(map(str, hashed.collect()))
+        joins = hashed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ShuffledHashJoin" in joins and "SortMergeJoin" not in joins
+        # A limit of the session's own is kept.
+        spark.conf.set(HASHED_PART, "1b")
+        again = queries.stops_enriched(Feeds(spark, SF_DIR))
+        assert rows == sorted(map(str, again.collect())) and spark.conf.get(HASHED_PART) == "1b"
+        assert "ShuffledHashJoin" not in again._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_counters_at_two_nodes(spark):
     left = spark.range(100).repartition(3)
     right = spark.createDataFrame([(7,), (7,), (8,)], "id long").withColumn("met", F.lit(True))

@@ -22,10 +22,10 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,10 +38,10 @@ CAPACITY = 4096
 END = 2
 #: Rows leave a task when they hold so many ids.
 BATCH_IDS = 1 << 20
-#: Texts whose words are looked up in one call.
-TOGETHER = 64
-#: Words, and their parts, that a worker remembers.
-MEMO_WORDS, MEMO_PARTS = 500_000, 300_000
+#: Bytes of text, and at most so many words of them, of which each distinct word is looked up once; words, or places, in one step.
+TOGETHER_BYTES, TOGETHER, AT_ONCE = 4 << 20, 1 << 20, 1 << 14
+#: Words without their closing punctuation, and other words, that a worker remembers.
+MEMO_CORES, MEMO_PARTS = 340_000, 300_000
 #: Punctuation after which a word may end; not the apostrophe, which some tokenizers leave with letters.
 _CLOSING = "".join(sorted(set(string.punctuation) - {"'"}))
 #: Stands for a character that is left to the tokenizer; no letter is spelled so.
@@ -51,10 +51,10 @@ _LAST_LATIN = "\u024f"
 #: Counts of the pieces by task and length are broadcast up to this size, of about so many bytes a row.
 BROADCAST_BYTES, COUNT_BYTES = 32 << 20, 64
 
-_coders: dict[str, Memo] = {}
+_coders: dict[str, Words] = {}
 
 
-def word_coder(path: str) -> Memo:
+def word_coder(path: str) -> Words:
     """Token ids by word, as little-endian unsigned 32-bit bytes.
 
     The vocabulary drops white space and never joins across it, so the ids of a text are those
@@ -64,7 +64,7 @@ def word_coder(path: str) -> Memo:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _coders[path] = Memo(Words(Tokenizer.from_file(path)), MEMO_WORDS)
+        _coders[path] = Words(Tokenizer.from_file(path))
     return _coders[path]
 
 
@@ -77,14 +77,14 @@ class Words:
 
     Most words are Latin letters with closing punctuation. What the tokenizer does to such a word before
     its merges is done here letter by letter, as the tokenizer itself spells each letter, and the merges are
-    called alone; letters without case and punctuation recur, so their ids are remembered. Any other word goes through
+    called alone; letters recur with other punctuation, so their ids are remembered without it. Any other word goes through
     the whole tokenizer, and so do all words where it does not cut letters from punctuation.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.letters: dict[int, str] = {ord("\n"): "\n"}
-        self.spelled = Memo(lambda cores: map(self.merged, cores), MEMO_PARTS)
+        self.cores = Memo(self.lettered, MEMO_CORES)
         self.whole = Memo(self.encoded, MEMO_PARTS)
         named = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.closing = "".join(c for c in _CLOSING if not any(c in name for name in named))
@@ -97,17 +97,26 @@ class Words:
         cuts, run_cuts = ([part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)] for probe in (one_by_one, run))
         return cuts == list(one_by_one) and run_cuts[0] == "a"
 
+    def __len__(self) -> int:
+        return len(self.cores)
+
     def __call__(self, words: list[bytes]) -> list[bytes]:
         # Words hold no white space, so all of them are handled as lines of one text.
         texts = b"\n".join(words).decode().split("\n")
         cores = [text.rstrip(self.closing) for text in texts]
+        found = self.cores.of(cores)
+        # A word that is no letters goes whole; of others, what is left is the punctuation, if any.
+        rest = [text[len(core) :] if ids else text for text, core, ids in zip(texts, cores, found, strict=True)]
+        return [ids + end if end else ids for ids, end in zip(found, self.whole.of(rest), strict=True)]
+
+    of = __call__
+
+    def lettered(self, cores: list[str]) -> Iterator[bytes]:
+        """Ids of the cores that are letters, none for others."""
         joined = "\n".join(cores)
         self._learn(set(joined))
         spelled = joined.translate(self.letters).split("\n")
-        plain = [bool(letters) and _ODD not in letters for letters in spelled]
-        known = iter(self.spelled.of([letters for letters, is_plain in zip(spelled, plain, strict=True) if is_plain]))
-        rest = iter(self.whole.of([text[len(core) :] if p else text for text, core, p in zip(texts, cores, plain, strict=True)]))
-        return [next(known) + ids if is_plain else ids for is_plain, ids in zip(plain, rest, strict=True)]
+        return (self.merged(letters) if letters and _ODD not in letters else b"" for letters in spelled)
 
     def _learn(self, seen: set[str]) -> None:
         """How the tokenizer spells each letter; ``_ODD`` for what is no letter, or is cut in two."""
@@ -137,14 +146,52 @@ def piece_lengths(tokens: int, capacity: int = CAPACITY) -> list[int]:
     return [capacity] * (tokens // capacity) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def _coded(part: pa.RecordBatch, coder: Memo) -> Iterator[tuple[int | None, bytes]]:
-    """Ids of each text of a batch; the words of ``TOGETHER`` texts are looked up in one call."""
-    for start in range(0, part.num_rows, TOGETHER):
-        some = part.slice(start, TOGETHER)
-        words = [text.encode().split() for text in some.column(1).to_pylist()]
-        ids = iter(coder.of(list(chain.from_iterable(words))))
-        for doc_id, own in zip(some.column(0).to_pylist(), words, strict=True):
-            yield doc_id, b"".join(islice(ids, len(own)))
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``TOGETHER_BYTES``, or larger ones as they came."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= TOGETHER_BYTES:
+            joined, held, size = pa.concat_batches(held), [], 0
+            del batch
+            yield joined
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _coded(part: pa.RecordBatch, coder: Words) -> Iterator[tuple[int | None, bytes]]:
+    """Ids of each text of a batch. Each distinct word is looked up once; its ids go to all of its places at once."""
+    split = pc.ascii_split_whitespace(part.column(1))
+    words, bounds = split.flatten(), np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))
+    data, at, total = [], np.zeros(len(bounds), np.int64), 0
+    for first in range(0, len(words), TOGETHER):
+        some = words.slice(first, TOGETHER).dictionary_encode()
+        sizes, ids = [], []
+        for k in range(0, len(some.dictionary), AT_ONCE):
+            found = coder.of(_listed(some.dictionary.slice(k, AT_ONCE)))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+            ids.append(b"".join(found))
+        sizes, ids = np.concatenate(sizes), np.frombuffer(b"".join(ids), "<u4")
+        starts, places = np.cumsum(sizes) - sizes, some.indices.to_numpy()
+        for k in range(0, len(places), AT_ONCE):
+            place = places[k : k + AT_ONCE]
+            size = sizes[place]
+            ends = np.cumsum(size)
+            # The k-th id of a place lies k behind the first one of its word in ``ids``.
+            data.append(ids[np.repeat(starts[place] - (ends - size), size) + np.arange(ends[-1])])
+            here = (bounds > first + k) & (bounds <= first + k + len(place))
+            at[here] = total + ends[bounds[here] - first - k - 1]
+            total += int(ends[-1])
+    held = np.concatenate(data) if data else np.empty(0, "<u4")
+    for doc_id, a, b in zip(part.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+        yield doc_id, held[a:b].tobytes()
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    """Words, which hold no line break, as bytes."""
+    one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string()))
+    return pc.binary_join(one, "\n")[0].as_buffer().to_pybytes().split(b"\n")
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = True, **columns: str) -> DataFrame:
@@ -168,7 +215,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
         coder = word_coder(tokenizer)
         rows, held, room = [], [], BATCH_IDS
         task, taken = TaskContext.get().partitionId(), Counter()
-        for doc_id, coded in (found for part in batches for found in _coded(part, coder)):
+        for doc_id, coded in (found for part in _joined(batches) for found in _coded(part, coder)):
             data = coded + last
             total, start = len(data) // 4, 0
             for length in piece_lengths(total, capacity):

@@ -154,6 +154,36 @@ def test_words_with_closing_punctuation_share_their_letters(monkeypatch):
     assert not {"word***", "Ndth.$$$", "Straße&&&", 'word"', "word)"} & set(asked) and {"***", ".$$$"} <= set(asked)
 
 
+def test_a_batch_looks_up_each_word_once(monkeypatch):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words, asked = packing.Words(library), []
+
+    class Counted:
+        def of(self, some):
+            asked.extend(some)
+            return words(some)
+
+    texts = ["the end of\tthe  end", "", " \n\x0b", "of the\r\nend", "don't word*** 12 \u00a0x\u0085y \x1c \u4e2d\u6587 the", "\x00 ends. Ends. \u0338", "Stra\u00dfe \u0130 e\u0301"] * 90
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    right = [(i, library.encode(text, add_special_tokens=False).ids) for i, text in enumerate(texts)]
+    read = lambda part: [(i, np.frombuffer(ids, "<u4").tolist()) for i, ids in packing._coded(part, Counted())]
+    assert read(batch) == right
+    assert len(asked) == len(set(asked))
+    assert read(batch.slice(100, 200)) == right[100:300] and read(batch.slice(0, 0)) == []
+    assert read(batch.slice(1, 2)) == [(1, []), (2, [])]
+    # Steps may end inside a text.
+    monkeypatch.setattr(packing, "AT_ONCE", 3)
+    monkeypatch.setattr(packing, "TOGETHER", 7)
+    assert read(batch) == right
+
+
+def test_small_batches_are_looked_up_together(monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b", "c" * 50])], names=["doc_id", "text"])
+    monkeypatch.setattr(packing, "TOGETHER_BYTES", 2 * batch.nbytes)
+    assert [b.num_rows for b in packing._joined(iter([batch] * 5))] == [4, 4, 2]
+    assert list(packing._joined(iter([]))) == []
+
+
 def test_a_worker_keeps_the_memos_of_one_operator():
     """What packing remembers in a worker is gone when that worker hashes shingles, and the other way round."""
     path = public_tokenizers.path("word_bpe_49k.json")
